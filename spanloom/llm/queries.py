@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format
+from . import chat_format, fingerprints, pii
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": lambda spark, d: fingerprints.op1(table(spark, d, "documents")),
     "op2_chat_formatting": lambda spark, d: chat_format.op2(table(spark, d, "conversations")),
+    "op10_pii": lambda spark, d: pii.op10(table(spark, d, "documents")),
 }
 ORACLES: dict[str, str] = {"op2_chat_formatting": chat_format.OP2_SQL}
