@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, fingerprints, packing, pii
+from . import chat_format, fingerprints, licenses, packing, pii, sharding
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": lambda spark, d: fingerprints.op1(table(spark, d, "documents")),
     "op2_chat_formatting": lambda spark, d: chat_format.op2(table(spark, d, "conversations")),
     "op4_packing": lambda spark, d: packing.op4(table(spark, d, "documents")),
+    "op6_licenses": lambda spark, d: licenses.op6(table(spark, d, "documents")),
+    "op7_sharding": lambda spark, d: sharding.op7(table(spark, d, "documents")),
     "op10_pii": lambda spark, d: pii.op10(table(spark, d, "documents")),
 }
-ORACLES: dict[str, str] = {"op2_chat_formatting": chat_format.OP2_SQL}
+ORACLES: dict[str, str] = {"op2_chat_formatting": chat_format.OP2_SQL, "op7_sharding": sharding.OP7_SQL}
