@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, embedding_dedup, fingerprints, licenses, packing, pii, sharding
+from . import chat_format, embedding_dedup, fingerprints, jaccard_join, licenses, packing, pii, sharding
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": lambda spark, d: fingerprints.op1(table(spark, d, "documents")),
     "op2_chat_formatting": lambda spark, d: chat_format.op2(table(spark, d, "conversations")),
+    "op3_jaccard_join": lambda spark, d: jaccard_join.op3(table(spark, d, "documents")),
     "op4_packing": lambda spark, d: packing.op4(table(spark, d, "documents")),
     "op6_licenses": lambda spark, d: licenses.op6(table(spark, d, "documents")),
     "op7_sharding": lambda spark, d: sharding.op7(table(spark, d, "documents")),
