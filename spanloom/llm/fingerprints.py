@@ -80,7 +80,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprint_by(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """(keys, lanes) over all texts of each key; the sums are pre-aggregated before any shuffle."""
-    rows = df.select(*keys, F.explode(units(F.coalesce(F.col(text), F.lit("")))).alias("u")).select(*keys, "u.whole", "u.h")
+    rows = df.select(*keys, units(F.coalesce(F.col(text), F.lit(""))).alias("us")).select(*keys, F.explode("us").alias("u")).select(*keys, "u.whole", "u.h")
     return rows.groupBy(*keys).agg(*lane_sums()).select(*keys, lanes().alias("lanes"))
 
 
@@ -117,12 +117,14 @@ def op1(documents: DataFrame) -> DataFrame:
     edited = F.when(~F.col("guest"), F.concat(F.substr("text", F.lit(1), n - half), F.substr("next", F.lit(1), half)))
     both = rows.withColumn("n_chars", n.cast("long")).withColumn("edited", edited).withColumn("sha", F.sha2("edited", 256))
     texts = both.select("bucket", "rn", "doc_id", "guest", "n_chars", "sha", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("t")).filter("t.text is not null")
-    rows = texts.select("bucket", "rn", "doc_id", "guest", "n_chars", "sha", "t.which", F.explode(units(F.col("t.text"))).alias("u")).select("*", "u.whole", "u.h")
-    kept = [F.first(c).alias(c) for c in ("doc_id", "guest", "n_chars", "sha")]
-    sums = rows.groupBy("bucket", "rn", "which").agg(*lane_sums(), *kept)
-    sides = sums.select("bucket", "rn", "which", lanes().alias("lanes"), "doc_id", "guest", "n_chars", "sha")
-    pick = lambda k: F.max(F.when(F.col("which") == k, F.col("lanes")))
-    rows = sides.groupBy("bucket", "rn").agg(pick(0).alias("own"), pick(1).alias("ed"), *kept)
+    rows = texts.select("bucket", "rn", "doc_id", "guest", "n_chars", "sha", "t.which", units(F.col("t.text")).alias("us"))  # apart from the generator, which then is compiled
+    rows = rows.select("bucket", "rn", "doc_id", "guest", "n_chars", "sha", "which", F.explode("us").alias("u")).select("*", "u.whole", "u.h")
+    # What goes along is part of the key, so that all buffers are numbers and the sums stay in a hash aggregate.
+    along = ["doc_id", "guest", "n_chars", "sha"]
+    sums = rows.groupBy("bucket", "rn", "which", *along).agg(*lane_sums())
+    sides = sums.select("bucket", "rn", "which", lanes().alias("lanes"), *along)
+    pick = lambda k, value: F.max(F.when(F.col("which") == k, value))
+    rows = sides.groupBy("bucket", "rn", "doc_id", "guest", "n_chars", "sha").agg(pick(0, F.col("lanes")).alias("own"), pick(1, F.col("lanes")).alias("ed"))
     rows = rows.withColumn("following", F.lead("own").over(W.partitionBy("bucket").orderBy("rn"))).filter(~F.col("guest"))
     return rows.select(
         "doc_id", "n_chars", F.col("sha").alias("edited_sha256"), as_string(F.col("own")).alias("fingerprint"), as_string(F.col("ed")).alias("edited_fingerprint"),
