@@ -90,25 +90,34 @@ def contexts(found: DataFrame) -> DataFrame:
     return rows.select("doc_id", "h", "entity", "ctx", F.explode(clear).alias("t")).select("doc_id", "h", "entity", "ctx", F.col("t.value").alias("term"), "t.start", "t.end")
 
 
-def disclosure(near: DataFrame, documents: DataFrame, min_support: int = MIN_SUPPORT) -> DataFrame:
-    """(entity, term, share) of the pairs with enough support.  Counts are over all contexts, document frequencies over all texts."""
-    pairs = near.select("entity", "term", "ctx").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    pairs = checkpoint(pairs.filter(F.col("n_both") >= min_support))
+def _share(total: int, n_both: str, n_entity: str, n_term: str) -> Column:
+    """The pointwise mutual information of term and entity over the entity's own information."""
+    n = F.lit(float(max(total, 2)))
+    own = F.log2(n / F.least(F.col(n_entity), n - 1))
+    return F.log2(F.col(n_both) * n / (F.col(n_entity) * F.greatest(n_term, n_both))) / own
+
+
+def disclosure(near: DataFrame, documents: DataFrame, min_support: int = MIN_SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+    """(entity, term, share) of the pairs with enough support and share.  Counts are over all contexts, document frequencies over all texts.
+
+    A term is in at least as many texts as there are texts with it near entities.  Pairs whose share would be
+    too low even at that frequency (those of common words) are out before texts are read again.
+    """
+    pairs = near.select("entity", "term", "ctx").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= min_support)
     entities = near.select("entity", "ctx").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    least = near.select("term", "doc_id", "h").distinct().groupBy("term").agg(F.count("*").alias("n_least"))
+    total = documents.count()
+    pairs = pairs.join(entities, "entity").join(least, "term")
+    pairs = checkpoint(pairs.filter(_share(total, "n_both", "n_entity", "n_least") >= generalise).drop("n_least"))
     terms = small(checkpoint(pairs.select("term").distinct()))
     words = documents.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
     df = words.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    total = documents.count()
-    scored = pairs.join(entities, "entity").join(df, "term")
-    n = F.lit(float(max(total, 2)))
-    own = F.log2(n / F.least(F.col("n_entity"), n - 1))
-    pmi = F.log2(F.col("n_both") * n / (F.col("n_entity") * F.greatest("n_term", "n_both")))
-    return scored.select("entity", "term", (pmi / own).alias("share"))
+    return pairs.join(df, "term").select("entity", "term", _share(total, "n_both", "n_entity", "n_term").alias("share")).filter(F.col("share") >= generalise)
 
 
 def term_spans(near: DataFrame, documents: DataFrame, min_support: int = MIN_SUPPORT, generalise: float = GENERALISE) -> DataFrame:
     """(doc_id, h, terms): spans of disclosing terms as (start, kind number, end, share), one row for a document that has any."""
-    told = small(checkpoint(disclosure(near, documents, min_support).filter(F.col("share") >= generalise)))
+    told = small(checkpoint(disclosure(near, documents, min_support, generalise)))
     hits = near.join(told, ["entity", "term"]).groupBy("doc_id", "h", "start", "end").agg(F.max("share").alias("share"))
     return hits.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end", "share"))).alias("terms"))
 
@@ -119,12 +128,6 @@ def scan(documents: DataFrame) -> DataFrame:
     return rows.withColumn("base", base_spans(F.col("text"))).withColumn("h", F.xxhash64("text"))
 
 
-def _with_terms(found: DataFrame, near: DataFrame, **limits) -> DataFrame:
-    terms = small(checkpoint(term_spans(near, found.select("text"), **limits)))
-    key = terms.select(F.col("doc_id").alias("t_id"), F.col("h").alias("t_h"), "terms")
-    return found.join(key, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("h") == F.col("t_h")), "left").drop("t_id", "t_h")
-
-
 def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), s["start"], s["end"])), ",")
 
