@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, embedding_dedup, fingerprints, jaccard_join, licenses, packing, pii, sharding
+from . import chat_format, embedding_dedup, fingerprints, jaccard_join, licenses, packing, pii, sharding, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": lambda spark, d: packing.op4(table(spark, d, "documents")),
     "op6_licenses": lambda spark, d: licenses.op6(table(spark, d, "documents")),
     "op7_sharding": lambda spark, d: sharding.op7(table(spark, d, "documents")),
+    "op8_toxicity": lambda spark, d: toxicity.op8(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_embedding_dedup": lambda spark, d: embedding_dedup.op9(table(spark, d, "embeddings")),
     "op10_pii": lambda spark, d: pii.op10(table(spark, d, "documents")),
 }
