@@ -203,14 +203,14 @@ def scores(texts: pa.Array, model: Model) -> np.ndarray:
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """documents' columns with `toxic_score`."""
     columns = documents.columns
-    rows = documents.withColumn("t_text", text_of())
+    rows = documents.select("*", text_of().alias("t_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, column = 0, batch.schema.get_field_index("t_text")
-            for texts in shingles.slices(batch.column(column)):
-                own = batch.slice(at, len(texts)).select(columns)
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(scores(texts, model))], names=[*columns, "toxic_score"])
+            at = 0
+            for texts in shingles.slices(batch.column(batch.num_columns - 1)):
+                own = batch.slice(at, len(texts)).columns[:-1]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(scores(texts, model))], names=[*columns, "toxic_score"])
                 at += len(texts)
 
     schema = documents.schema.add("toxic_score", "double")
@@ -225,6 +225,7 @@ def op8(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select("doc_id", held_out.alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= PREDICT).cast("int").alias("predicted"))
 
 
-def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    model = train(*training_texts(documents, labels))
+def without_toxic(documents: DataFrame, labels: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+    """documents that aren't predicted toxic; the model is trained on `labelled` documents, these by default."""
+    model = train(*training_texts(documents if labelled is None else labelled, labels))
     return score(documents, model).filter(F.col("toxic_score") < PREDICT).select(documents.columns)
