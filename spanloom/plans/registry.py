@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import driver_queries
+
+QUERIES: dict = {**driver_queries.QUERIES}
+ORACLES: dict = {**driver_queries.ORACLES}
