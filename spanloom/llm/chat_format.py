@@ -100,6 +100,10 @@ def _canonical_role(role: Column) -> Column:
     return role
 
 
+def _message_turns(messages: Column, role: str, text: str) -> Column:
+    return F.transform(messages, lambda m: _turn(_canonical_role(m[role]), m[text]))
+
+
 def canonical_turns(df: DataFrame) -> DataFrame:
     """(record, turn, role, text) rows of a table in any known layout with a column per field; record is its id column `record`, or conv_id for turn rows."""
     mapping = MAPPINGS[select_mapping(df)]
@@ -108,7 +112,7 @@ def canonical_turns(df: DataFrame) -> DataFrame:
         return df.select(F.col(key).alias("record"), F.col(order).cast("long").alias("turn"), _text(F.col(role)).alias("role"), _text(F.col(text)).alias("text"))
     if "messages" in mapping:
         array, role, text = mapping["messages"]
-        turns = F.transform(F.col(array), lambda m: _turn(_canonical_role(m[role]), m[text]))
+        turns = _message_turns(F.col(array), role, text)
     else:
         turns = F.array(*[_turn(F.lit(role), F.col(path)) for role, path in mapping["turns"]])
     return df.select("record", F.posexplode(turns).alias("turn", "t")).select("record", F.col("turn").cast("long").alias("turn"), "t.role", "t.text")
@@ -125,7 +129,7 @@ def canonical_turns_json(df: DataFrame, record: str, json: str) -> DataFrame:
         mapping = MAPPINGS[name]
         if "messages" in mapping:
             array, role, text = mapping["messages"]
-            made = F.transform(get(array, f"array<struct<`{role}`:string,`{text}`:string>>"), lambda m, role=role, text=text: _turn(_canonical_role(m[role]), m[text]))
+            made = _message_turns(get(array, f"array<struct<`{role}`:string,`{text}`:string>>"), role, text)
         elif "turns" in mapping:
             made = F.array(*[_turn(F.lit(role), get(path)) for role, path in mapping["turns"]])
         else:
