@@ -95,18 +95,50 @@ def features(difference: np.ndarray, first: np.ndarray, threshold: int) -> np.nd
     return np.stack([np.log1p(over), np.log1p(100 * over / n), (over > 0).astype(float), np.log1p(far), (far > 0).astype(float), np.clip(most, 0, 20) / 10, np.log(n) / 10, np.ones(len(n))], 1)
 
 
-def _runs(word: str) -> set[str]:
-    w = f" {word} "
-    return {w[k : k + RUN] for k in range(max(1, len(w) - RUN + 1))}
+def _runs(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(letters, hash of the run at each place) of a text's words with single blanks between; 0 where a run would reach into another word."""
+    x = np.frombuffer(f" {' '.join(text.lower().split())} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    n = len(x) - RUN + 1
+    if n <= 0:
+        return x, np.zeros(0, np.uint64)
+    h, inner = np.zeros(n, np.uint64), np.zeros(n, bool)
+    for k in range(RUN):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + x[k : n + k]
+        if 0 < k < RUN - 1:
+            inner |= x[k : n + k] == 32
+    return x, np.where(inner, 0, shingles.mix(h))
+
+
+def _frequencies(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(run, number of texts that have it)."""
+    every = [np.unique(_runs(t)[1]) for t in texts]
+    return np.unique(np.concatenate(every), return_counts=True)
+
+
+def _distinctive(toxic: list[str], ordinary: list[str]) -> np.ndarray:
+    """Runs that toxic texts have more often than ordinary ones, by the ratio of their shares and the G statistic of both counts; sorted."""
+    (run, c), (other, d_) = _frequencies(toxic), _frequencies(ordinary)
+    p, n = len(toxic), len(ordinary)
+    often = (c >= max(4, LEAST_SHARE * p)) & (run != 0)
+    run, c = run[often], c[often].astype(float)
+    at = np.minimum(np.searchsorted(other, run), len(other) - 1)
+    d = np.where(other[at] == run, d_[at], 0).astype(float)
+    share = (c + d) / (p + n)
+    g = np.zeros(len(run))
+    for x, y in ((c, p * share), (p - c, p * (1 - share)), (d, n * share), (n - d, n * (1 - share))):
+        g += np.where(x > 0, 2 * x * np.log(np.maximum(x, 1e-9) / np.maximum(y, 1e-9)), 0)
+    ratio = np.log(((c + 0.5) / (p + 1)) / ((d + 0.5) / (n + 1)))
+    return run[(ratio >= LEAST_RATIO) & (g >= LEAST_G)]
 
 
-def _tells(c: int, d: int, p: int, n: int) -> bool:
-    """Is a run that c of p toxic and d of n ordinary texts have distinctive: by the ratio of its shares, and by the G statistic of both counts?"""
-    if np.log(((c + 0.5) / (p + 1)) / ((d + 0.5) / (n + 1))) < LEAST_RATIO:
-        return False
-    share = (c + d) / (p + n)
-    g = sum(2 * x * np.log(x / y) for x, y in ((c, p * share), (p - c, p * (1 - share)), (d, n * share), (n - d, n * (1 - share))) if x > 0)
-    return g >= LEAST_G
+def _passages(text: str, told: np.ndarray) -> list[str]:
+    """The text's stretches of distinctive runs."""
+    x, h = _runs(text)
+    at = np.flatnonzero(np.isin(h, told))
+    if not len(at):
+        return []
+    cut = np.flatnonzero(np.diff(at) > 1)
+    return [x[a : b + RUN].tobytes().decode("utf-32-le", "surrogatepass") for a, b in zip(at[[0, *(cut + 1)]], at[[*cut, len(at) - 1]], strict=True)]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -126,40 +158,23 @@ def train(toxic: list[str], ordinary: list[str], n_toxic: int, n_ordinary: int)
     if not toxic or not ordinary:
         share = n_toxic / max(1, n_toxic + n_ordinary)
         return Model(b"", b"", 1, (0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3)))))
-    lists = [[t.lower().split() for t in kind] for kind in (toxic, ordinary)]
-    cache: dict[str, set[str]] = {}
-    seen = []
-    for kind in lists:
-        count: Counter = Counter()
-        for words in kind:
-            own: set[str] = set()
-            for w in set(words):
-                own |= cache.setdefault(w, _runs(w))
-            count.update(own)
-        seen.append(count)
-    (a, b), p, n = seen, len(toxic), len(ordinary)
-    told = {m for m, c in a.items() if c >= max(4, LEAST_SHARE * p) and _tells(c, b[m], p, n)}
-    passages: Counter = Counter()
-    for word, times in Counter(w for words in lists[0] for w in words).items():
-        w, k = f" {word} ", 0
-        while k + RUN <= len(w):
-            if w[k : k + RUN] in told:
-                end = k
-                while end + 1 + RUN <= len(w) and w[end + 1 : end + 1 + RUN] in told:
-                    end += 1
-                passages[w[k : end + RUN]] += times
-                k = end
-            k += 1
-    usual = Counter(w for words in lists[1] for w in words if not cache[w] & told)
+    p, n = len(toxic), len(ordinary)
+    told = _distinctive(toxic, ordinary)
+    passages = Counter(x for t in toxic for x in _passages(t, told))
+    usual = Counter(w for t in ordinary[:1000] for w in t.lower().split())
+    usual = Counter({w: c for w, c in usual.most_common(500) if not np.isin(_runs(w)[1], told).any()})
     # zstandard reaches a dictionary's end most cheaply: what is most frequent comes last.
     join = lambda found: b"".join(coded([x for x, _ in found])[::-1])[-DICTIONARY:]
     # Passages are kept as they are, without further blanks.
     distinctive = b"".join(c[2:-2] for c in coded([x for x, _ in passages.most_common(400)])[::-1])[-DICTIONARY:]
     model = Model(distinctive, join(usual.most_common(250)), 1, ())
     compressors = Compressors(model)
-    texts = pa.array([*toxic, *ordinary], pa.large_string())
-    words, number, first = window_lists(texts)
-    difference = compressors.differences(words)[number]
+    parts = []
+    for texts in shingles.slices(pa.array([*toxic, *ordinary], pa.large_string())):
+        words, number, first = window_lists(texts)
+        parts.append((compressors.differences(words)[number].astype(np.int16), np.diff(first)))
+    difference = np.concatenate([d for d, _ in parts])
+    first = np.concatenate([[0], np.cumsum(np.concatenate([c for _, c in parts]))])
     y = np.array([1.0] * p + [0.0] * n)
     weight = np.array([n_toxic / p] * p + [n_ordinary / n] * n)
     weight = weight / weight.mean()
