@@ -26,8 +26,8 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 #: A necessary condition that is cheap to check.
-_HINT = {"email": "[A-Za-z0-9-]@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": "[0-9](?:[ -]?[0-9]){13}", "phone": r"\+[0-9]"}
-_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_HINT = {"email": "[A-Za-z0-9._%+-]@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": "[0-9](?:[ -]?[0-9]){13}", "phone": r"\+[0-9]"}
+_BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 TERM = r"\p{L}{3,}+"
 #: Characters on either side of an entity whose words are its context.
 CONTEXT = 64
