@@ -28,6 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import shingles
 from .common import small, text_of
@@ -228,7 +229,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*own, pa.array(scores(texts, model))], names=[*columns, "toxic_score"])
                 at += len(texts)
 
-    schema = documents.schema.add("toxic_score", "double")
+    schema = T.StructType([*documents.schema.fields, T.StructField("toxic_score", T.DoubleType())])
     return rows.mapInArrow(run, schema)
 
 
