@@ -1,0 +1,326 @@
+"""Every operator against a plain version, on texts with nulls, ties, repeated rows and clashing columns, and on an empty table."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from spanloom.llm import chat_format, embedding_dedup, fingerprints, graphs, jaccard_join, licenses, packing, pii, sentencepieces, sharding, shingles, toxicity
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+FOLD = {c: c + 32 for c in range(65, 91)}
+
+
+def sha(s):
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+def test_fingerprints(documents, empty, texts):
+    rows = fingerprints.op1(documents).collect()
+    assert len(rows) == len(texts) and fingerprints.op1(empty).count() == 0
+    own = {(r.doc_id, r.fingerprint): r for r in rows}
+    by_text = {}
+    order = sorted([(i, t or "") for i, t, _ in texts if i is not None], key=lambda x: -x[0])
+    unique = [x for x in order if sum(y[0] == x[0] for y in order) == 1]
+    for k, (i, t) in enumerate(order[:-1]):
+        if (i, t) in unique and order[k + 1] in unique:
+            r = next(r for r in rows if r.doc_id == i)
+            half = len(t) // 2
+            assert r.n_chars == len(t) and r.edited_sha256 == sha(t[: len(t) - half] + order[k + 1][1][:half])
+            by_text.setdefault(t, set()).add(r.fingerprint)
+            assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+    assert all(len(x) == 1 for x in by_text.values()) and len(own) >= len(by_text)
+    long = [r for r in rows if r.n_chars > 800 and r.doc_id >= 100]
+    assert np.mean([r.near_edited for r in long]) > 0.3
+
+
+def test_fingerprints_add_up(spark):
+    df = spark.createDataFrame([("ab", "x y z\nb c d e"), ("ba", "b c d e\nx y z"), ("a", "x y z"), ("b", "b c d e")], "k string, text string")
+    f = {r.k: r.lanes for r in fingerprints.fingerprint_by(df, ["k"]).collect()}
+    assert f["ab"] == f["ba"] != f["a"]
+    both = fingerprints.fingerprint_by(df, ["k"])
+    a, b, ab = (both.filter(F.col("k") == k).select(F.col("lanes").alias(k)) for k in ("a", "b", "ab"))
+    r = a.join(b).join(ab).select(fingerprints.combine(F.col("a"), F.col("b")).alias("sum"), fingerprints.combine(F.col("ab"), F.col("b"), -1).alias("rest"), "a", "ab").first()
+    assert r.sum == r.ab and r.rest == r.a
+
+
+@pytest.mark.parametrize("text", ["", "</s>[INST] ok [/INST]", "\\", "[\\INST] <\\s>", "a<|im_end|>b<|im_sep|>", "<<SYS>> \\\\[INST]\\", "<|im_end|", "x\n\n<"])
+def test_chat_round_trip(spark, text):
+    df = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", text), (1, 2, "assistant", text), (1, None, None, None)], "conv_id long, turn long, role string, text string")
+    formatted = chat_format.format_turns(chat_format.canonical_turns(df))
+    r = formatted.select(chat_format.read_turns(F.col("formatted")).alias("t"), chat_format.read_loss(F.col("formatted"), F.col("loss_mask")).alias("l"), "formatted", "loss_mask").first()
+    assert [tuple(x) for x in r.t] == [("", ""), ("user", text), ("assistant", text), ("assistant", text)] and r.l == text * 2
+    for m in r.loss_mask:
+        assert r.formatted[: m.start].endswith("<|im_sep|>") and r.formatted[m.start + m.length :].startswith("<|im_end|>")
+
+
+def test_chat_layouts(spark):
+    rows = ['{"messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}], "id": 5}', '{"instruction": "a", "output": "b"}', '{"conversations": [{"from": "human", "value": "a"}, {"from": "gpt", "value": "b"}]}', '{"prompt": "a", "completion": "b"}', '{"odd": 1}', "no json", None]
+    df = spark.createDataFrame(list(enumerate(rows)), "id long, j string")
+    got = {}
+    for r in chat_format.canonical_turns_json(df, "id", "j").collect():
+        got.setdefault(r.record, []).append((r.turn, r.role, r.text))
+    assert set(got) == {0, 1, 2, 3} and all(sorted(x) == [(0, "user", "a"), (1, "assistant", "b")] for x in got.values())
+    nested = spark.sql("select 1 record, array(struct('user' role, 'hi' content)) messages, 'x' extra")
+    assert chat_format.select_mapping(nested) == "messages" and chat_format.canonical_turns(nested).first().text == "hi"
+    with pytest.raises(ValueError):
+        chat_format.select_mapping(spark.sql("select 1 nothing"))
+
+
+def test_chat_query(spark):
+    df = spark.createDataFrame([(5, 0, "user", "q"), (5, 1, "assistant", "a"), (6, 0, "user", None)], "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat_format.op2(df).collect()}
+    assert set(got) == {-7, 5, 6} and got[5].turns_sha256 == sha("user\nq\nassistant\na\n") and got[5].loss_sha256 == sha("a") and got[6].loss_chars == 0
+    assert got[-7].loss_sha256 == sha("</s>[INST] ok [/INST]") and got[-7].n_turns == 2
+    assert chat_format.op2(df.limit(0)).count() == 1
+
+
+def shingle_set(t):
+    w = WORD.findall((t or "").translate(FOLD))
+    return frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)])
+
+
+def brute_links(texts):
+    n, sets = len(texts), [shingle_set(t) for _, t, _ in texts]
+    ids = [i if i is not None else -(2**63) for i, _, _ in texts]
+    links, root = [0] * n, list(ids)
+    pairs = []
+    for i in range(n):
+        for j in range(i + 1, n):
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                links[i] += 1
+                links[j] += 1
+                pairs.append((i, j))
+    for _ in range(n):
+        for i, j in pairs:
+            root[i] = root[j] = min(root[i], root[j])
+    return sorted((t if t != -(2**63) else -1, r if r != -(2**63) else -1, x) for t, r, x in zip(ids, root, links, strict=True))
+
+
+@pytest.mark.parametrize("block", [256, 7])
+def test_jaccard_join(documents, empty, texts, block, monkeypatch):
+    monkeypatch.setattr(jaccard_join.in_blocks, "__defaults__", (block,))
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.class_id if r.class_id is not None else -1, r.n_links) for r in jaccard_join.op3(documents).collect())
+    assert got == brute_links(texts)
+    if block == 256:
+        assert jaccard_join.op3(empty).count() == 0
+
+
+def test_one_of_each(documents, texts):
+    kept = jaccard_join.one_of_each(documents)
+    assert kept.columns == documents.columns
+    want = Counter(r for _, r, _ in brute_links(texts))
+    got = Counter(r.doc_id if r.doc_id is not None else -1 for r in kept.collect())
+    assert set(got) == set(want) and all(n <= 2 for n in got.values())
+
+
+def test_pruning_keeps_true_pairs():
+    rng = np.random.default_rng(0)
+    need = jaccard_join.needed(160)
+    assert 80 < need < 128 and jaccard_join.needed(16) <= 6
+    sig = np.zeros((2, 160), np.uint16)
+    lost = 0
+    for _ in range(2000):
+        sig[1] = rng.random(160) > 0.8
+        lost += not len(jaccard_join.surviving(sig, np.array([0]), np.array([1]), 0.8, 1e-6)[0])
+    assert lost == 0
+
+
+def test_subset_sum():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        lengths = Counter(rng.integers(1, 40, rng.integers(0, 12)).tolist())
+        capacity = int(rng.integers(0, 120))
+        items = list(lengths.elements())
+        sums = {0}
+        for x in items:
+            sums |= {s + x for s in sums}
+        total, counts = packing.best_counts(lengths, capacity)
+        assert total == max(s for s in sums if s <= capacity) == sum(n * c for n, c in counts.items()) and all(c <= lengths[n] for n, c in counts.items())
+
+
+def test_packing(documents, empty, texts):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.tokenizer_path())
+    rows = packing.op4(documents).collect()
+    pieces = {}
+    for r in rows:
+        pieces.setdefault(r.doc_id, []).append(r)
+    for i, text, _ in texts:
+        if sum(x[0] == i for x in texts) == 1:
+            ids, at = np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], "<u4"), 0
+            for r in sorted(pieces[i], key=lambda r: r.start):
+                assert r.start == at and r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+                at += r.length
+            assert at == len(ids)
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 4096 and at & (at - 1) == 0
+    assert packing.op4(empty).count() == 0
+
+
+def test_sentencepieces(documents, empty, texts):
+    rows = sentencepieces.op5(documents).collect()
+    assert len(rows) == len(texts) and all(r.round_trip for r in rows)
+    assert Counter((r.doc_id, r.decoded_sha256, r.n_chars) for r in rows) == Counter((i, sha(t or ""), len(t or "")) for i, t, _ in texts)
+    assert sentencepieces.op5(empty).count() == 0
+
+
+def test_viterbi_is_best():
+    v = sentencepieces.load(sentencepieces.model_path())
+    pieces = {v.flat[a:b].tobytes(): v.scores[k] for k, (a, b) in enumerate(zip(v.ends[:-1], v.ends[1:], strict=True)) if v.scores[k] < 0}
+    for unit in (" the", " unbelievable", " naïveté", " xqzj", " 日本", " a\tb", "   x", " aaaaaaa", "\n"):
+        best, chars = [0.0], unit
+        for e in range(1, len(chars) + 1):
+            options = [best[s] + pieces[chars[s:e].encode()] for s in range(e) if chars[s:e].encode() in pieces]
+            if chars[e - 1 : e].encode() not in pieces:
+                options.append(best[e - 1] + v.unknown)
+            best.append(max(options))
+        ids, _, score = sentencepieces.viterbi([unit.encode()], v)
+        assert abs(score[0] - best[-1]) < 1e-9 and v.flat[np.concatenate([np.arange(v.ends[i], v.ends[i + 1]) for i in ids])].tobytes() == unit.encode()
+
+
+def test_licenses(documents, empty, texts):
+    rows = licenses.op6(documents).collect()
+    assert len(rows) == len(texts) and licenses.op6(empty).count() == 0
+    got = Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in rows)
+    want = Counter()
+    for i, t, _ in texts:
+        w, at, labels = WORD.findall((t or "").translate(FOLD)), [], set()
+        for phrase, label in licenses.BASE.items():
+            p = phrase.split()
+            for k in range(len(w) - len(p) + 1):
+                if w[k : k + len(p)] == p:
+                    at.append(k)
+                    labels.add(label)
+        want[(i, len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels)))] += 1
+    assert got == want
+    r = next(r for r in rows if r.doc_id == 10)
+    assert {"apache-2", "cc-by-nc", "mit"} <= set(r.labels.split(",")) and r.score == 1
+
+
+def test_shingles():
+    import pyarrow as pa
+
+    ts = ["", "A b", "c", "É1 x_y", " ", "aa bb cc"]
+    w = shingles.words(pa.array(ts, pa.large_string()))
+    got = [[w.data[w.starts[j] : w.ends[j]].tobytes().decode() for j in range(w.first[k], w.first[k + 1])] for k in range(len(ts))]
+    assert got == [WORD.findall(t.translate(FOLD)) for t in ts]
+
+
+def test_sharding(spark, documents, empty, tmp_path):
+    store = sharding.ShardStore(spark, f"file://{tmp_path}/store", fan_in=2)
+    for k in range(5):
+        store.append(documents.filter(F.pmod(F.xxhash64("text", "doc_id"), F.lit(5)) == k))
+        store.compact()
+    assert store.read().count() == documents.count() and store.read().exceptAll(documents).isEmpty()
+    assert store.version() > 5 and sum(len(store.files(r)) for r in store.runs()) == store.shards().count()
+    with pytest.raises(Exception, match="(?i)exist"):
+        store.commit([], store.version() - 1)
+    rows = sharding.op7(documents).collect()
+    assert Counter((r.doc_id, r.text_sha256) for r in rows) == Counter((r.doc_id, None if r.text is None else sha(r.text)) for r in documents.collect()) and all(r.listed and r.within_target for r in rows)
+    assert sharding.op7(empty).count() == 0
+
+
+def test_toxicity(spark, documents, texts):
+    rng = np.random.default_rng(3)
+    plain = [(i, t) for i, t, _ in texts if i is not None and 100 <= i < 1000]
+    rows = [(k, t, 0) for k, (_, t) in enumerate(plain * 4)]
+    rows += [(k + 10_000, " ".join([*t.split()[:10], rng.choice(["scumbagge", "vileperson"]), *t.split()[10:]]), 1) for k, (_, t) in enumerate(plain * 2)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t, _ in rows] + [(None, None, "x"), (99_999, "", "x")], "doc_id long, text string, toxic_score string")
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    got = toxicity.op8(docs, labels).collect()
+    y = {i: y for i, _, y in rows}
+    held = [(r.predicted, y[r.doc_id]) for r in got if r.held_out and r.doc_id in y]
+    assert len(got) == len(rows) + 2 and len(held) > 50 and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got if r.doc_id is not None)
+    assert np.mean([a == b for a, b in held]) > 0.95
+    assert {r.doc_id for r in got} >= {None, 99_999} and all(0 <= r.score <= 1 for r in got)
+    none = toxicity.op8(docs, labels.limit(0)).collect()
+    assert len(none) == len(rows) + 2 and toxicity.op8(docs.limit(0), labels).count() == 0
+
+
+def test_embeddings(spark):
+    rng = np.random.default_rng(2)
+    base = rng.standard_normal((60, 16))
+    rows = [(k, base[k % 60] + rng.standard_normal(16) * 0.03 * (k % 3), k % 4 // 2) for k in range(600)]
+    data = [(k, [float(np.float32(x)) for x in v], y) for k, v, y in rows]
+    data += [(1000, data[0][1], 0), (1001, data[0][1], 0), (1002, None, 0), (1003, [0.0] * 16, 0), (1004, [None] * 16, 0), (1005, [float("nan")] * 16, 0), (1006, data[0][1], None), (1007, [1.0, 2.0], 0), (1008, [2.0, 4.0], 0), (1009, [], 0)]
+    df = spark.createDataFrame([(*r, "x") for r in data], "vec_id long, embedding array<float>, label int, rep string")
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(df).collect()}
+    assert set(got) == {r[0] for r in data}
+    good = [(i, np.array(v, float), y) for i, v, y in data if v and y is not None and None not in v and np.isfinite(np.array(v, float)).all() and any(v)]
+    want = {i: 0 for i in got}
+    for a, (i, v, y) in enumerate(good):
+        for j, w, z in good[a + 1 :]:
+            if y == z and len(v) == len(w) and v @ w >= 0.98 * np.linalg.norm(v) * np.linalg.norm(w):
+                want[i] += 1
+                want[j] += 1
+    total = sum(want.values())
+    assert all(got[i].n_links <= want[i] for i in got) and sum(r.n_links for r in got.values()) >= 0.9 * total > 0
+    assert all(got[i].kept and got[i].n_links == 0 for i in (1002, 1003, 1004, 1005, 1006, 1009)) and got[1008].component_id == 1007
+    assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def luhn(s):
+    return sum(x - 9 * (x > 9) for x in (int(c) * (1 + k % 2) for k, c in enumerate(reversed(s)))) % 10 == 0
+
+
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def plain_spans(t):
+    out = []
+    for k, (kind, p) in enumerate(PLAIN.items()):
+        for m in re.finditer(p, t or ""):
+            v, digits = m.group(), re.sub("[^0-9]", "", m.group())
+            if kind == "email" or kind == "ip" and all(int(x) <= 255 for x in v.split(".")) or kind == "card" and 14 <= len(digits) <= 19 and luhn(digits) or kind == "phone" and 10 <= len(digits) <= 15:
+                out.append((m.start(), k, m.end(), kind))
+    return ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(out))
+
+
+def test_pii_base(spark, documents, empty, texts):
+    import random
+
+    rng = random.Random(9)
+    odd = ["".join(rng.choice("ab1@. -+()95_é\n") for _ in range(60)) for _ in range(300)] + ["1" * 40_000, "+" * 3000, "a." * 4000 + "@b.c", "1-" * 5000, "4111111111111111"]
+    df = documents.select("doc_id", "text").unionByName(spark.createDataFrame([(10_000 + k, t) for k, t in enumerate(odd)], "doc_id long, text string"))
+    got = Counter((r.doc_id, r.base_sha256) for r in pii.op10(df).collect())
+    assert got == Counter((i, sha(plain_spans(t))) for i, t in [(i, t) for i, t, _ in texts] + [(10_000 + k, t) for k, t in enumerate(odd)])
+    assert pii.op10(empty).count() == 0
+
+
+def test_pii_terms(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, f"filler{rng.integers(50)} text mostly{rng.integers(20)} the Zanzibarian trader wrote to secret.person@corp.example.com about lorem{k} things", 0) for k in range(6)]
+    rows += [(100 + k, f"the text has filler{k % 50} and other words that are about things mostly", 0) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, h int")
+    got = {r.doc_id: r for r in pii.op10(df.select("doc_id", "text")).collect()}
+    for i, t, _ in rows[:6]:
+        a = t.lower().index("zanzibarian")
+        assert f"term:{a}:{a + 11}" in got[i].spans and f"term:{t.index('the ')}:" not in got[i].spans and got[i].n_email == 1
+    assert all(got[i].spans == "" for i in range(100, 500))
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert all("[EMAIL]" in clean[i] and "Zanzibarian" not in clean[i] and "secret" not in clean[i] for i in range(6)) and clean[100] == rows[6][1]
+
+
+def test_components(spark):
+    rng = np.random.default_rng(6)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(k, k + 1) for k in range(1000, 1100)]
+    root = {x: x for e in edges for x in e}
+    for _ in range(200):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {r.node: r.root for r in graphs.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert {k: v for k, v in root.items() if k in got} == got and all(root[k] == k for k in root if k not in got)
