@@ -28,12 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import shingles
 from .common import text_of
 
 WIDTH, END_ID, POOL = 4096, 2, 2048
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Words whose ids a worker keeps; beyond, it starts anew.
-MOST_WORDS = 2_000_000
+MOST_WORDS = 1_000_000
 
 
 def best_counts(lengths: Counter, capacity: int) -> tuple[int, dict[int, int]]:
@@ -180,8 +181,7 @@ class WordIds:
         """Little-endian ids of each text, END_ID at the end."""
         if self.n > MOST_WORDS:
             self.clear()
-        if pa.types.is_string(texts.type):
-            texts = texts.cast(pa.large_string())
+        texts = shingles.fresh(texts)
         whole = pc.match_substring(texts, "<|")
         wide = pc.match_substring_regex(texts, "[\\x{0300}-\\x{10ffff}]")
         plain = pc.if_else(wide, texts, pc.ascii_lower(texts))
@@ -231,13 +231,11 @@ def pack(documents: DataFrame, path: str | None = None, width: int = WIDTH) -> D
             return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*made, strict=True)] or [pa.array([], pa.int64())] * len(names), names=names)
 
         for batch in batches:
-            at, sizes = 0, pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
-            while at < batch.num_rows:  # texts of some 16 MB at a time
-                n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), 1 << 24, "right")))
-                part = batch.slice(at, n)
-                for doc, ids in zip(part.column(0).to_pylist(), ids_of.encode(part.column(1)), strict=True):
+            at = 0
+            for part in shingles.slices(batch.column(1)):
+                for doc, ids in zip(batch.column(0).slice(at, len(part)).to_pylist(), ids_of.encode(part), strict=True):
                     packer.add(doc, ids)
-                at += n
+                at += len(part)
                 yield rows()
         packer.finish()
         yield rows()

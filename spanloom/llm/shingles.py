@@ -45,15 +45,26 @@ def _powers(base: np.uint64, n: int, kept: dict = {}) -> np.ndarray:  # noqa: B0
     return kept[int(base)][:n]
 
 
-def slices(texts: pa.Array, most: int = SLICE) -> Iterator[pa.Array]:
-    """The array in slices of some `most` bytes; a longer text is a slice of its own."""
+def fresh(texts: pa.Array) -> pa.Array:
+    """As large_string whose offsets begin at 0 (some of pyarrow's kernels misread arrays that begin elsewhere); texts aren't copied."""
     if not pa.types.is_large_string(texts.type):
         texts = texts.cast(pa.large_string())
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    if not len(texts):
+        return pa.array([], pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    data = data.slice(offsets[0], offsets[-1] - offsets[0]) if data is not None else pa.py_buffer(b"")
+    return pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(offsets - offsets[0]), data])
+
+
+def slices(texts: pa.Array, most: int = SLICE) -> Iterator[pa.Array]:
+    """An array without nulls in slices of some `most` bytes; a longer text is a slice of its own."""
+    texts = fresh(texts)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64) if len(texts) else np.zeros(1, np.int64)
     at = 0
     while at < len(texts):
         n = max(1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1 - at)
-        yield texts.slice(at, min(n, len(texts) - at))
+        yield fresh(texts.slice(at, min(n, len(texts) - at)))
         at += n
 
 

@@ -220,6 +220,20 @@ def test_shingles():
     assert got == [WORD.findall(t.translate(FOLD)) for t in ts]
 
 
+def test_slices_of_slices():
+    import pyarrow as pa
+
+    ts = [f"Text Número {k} " * (k % 7) for k in range(300)]
+    arr = pa.array(ts, pa.string()).slice(100, 150)
+    parts = list(shingles.slices(arr, 500))
+    assert len(parts) > 3 and [t for p in parts for t in p.to_pylist()] == ts[100:250]
+    encoder = packing.WordIds(packing.tokenizer_path())
+    whole = encoder.tokenizer.encode_batch(ts[100:250], add_special_tokens=False)
+    assert [x.tolist() for p in parts for x in encoder.encode(p)] == [[*e.ids, 2] for e in whole]
+    words, number, first = toxicity.window_lists(parts[1])
+    assert [[words[j] for j in number[a:b]] for a, b in zip(first[:-1], first[1:], strict=True)] == [t.encode().lower().decode().split(" ") for t in parts[1].to_pylist()]
+
+
 def test_sharding(spark, documents, empty, tmp_path):
     store = sharding.ShardStore(spark, f"file://{tmp_path}/store", fan_in=2)
     for k in range(5):
