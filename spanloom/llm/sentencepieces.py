@@ -78,6 +78,8 @@ def build_trie(pieces: list[tuple[bytes, int]]) -> Trie:
         keys = np.array(sorted(children[node]))
         free += int(np.argmin(used[free : free + 4096])) if used[free] else 0
         at, place = max(free, keys[0] + 1), 0
+        if len(keys) == 1 and not used[at]:
+            place = at - keys[0]
         while not place:
             if at + 8192 > len(used):
                 used = np.append(used, np.zeros(len(used), bool))
