@@ -70,14 +70,15 @@ def build_trie(pieces: list[tuple[bytes, int]]) -> Trie:
         ends[at] = number
     size = 2 * len(children) + 1024
     base, check, value = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
-    used, free, queue = np.zeros(size, bool), 1, [(0, 0)]
+    used, free, tail, queue = np.zeros(size, bool), 1, 0, [(0, 0)]
     used[0] = True
     for node, slot in queue:
         if not children[node]:
             continue
         keys = np.array(sorted(children[node]))
         free += int(np.argmin(used[free : free + 4096])) if used[free] else 0
-        at, place = max(free, keys[0] + 1), 0
+        # Nodes of several children look from near the last place that one of them found; single ones fill the gaps.
+        at, place = max(free if len(keys) == 1 else max(free, tail - 1024), keys[0] + 1), 0
         if len(keys) == 1 and not used[at]:
             place = at - keys[0]
         while not place:
@@ -87,6 +88,7 @@ def build_trie(pieces: list[tuple[bytes, int]]) -> Trie:
             open_ = at + np.flatnonzero(~used[at : at + 2048]) - keys[0]
             fits = open_[~used[open_[:, None] + keys].any(1)]
             place, at = int(fits[0]) if len(fits) else 0, at + 2048
+        tail = max(tail, place) if len(keys) > 1 else tail
         base[slot] = place
         slots = place + keys
         used[slots], check[slots] = True, slot
