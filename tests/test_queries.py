@@ -2,6 +2,7 @@
 
 import os
 
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -13,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(D), reason="no driver tables")
 
 def rows(frame):
     frame = frame[sorted(frame.columns)].astype(object)
-    return sorted(tuple("" if v is None or v != v else f"{v:.6g}" if isinstance(v, float) else str(v) for v in r) for r in frame.itertuples(index=False))
+    return sorted(tuple("" if pd.isna(v) else f"{v:.6g}" if isinstance(v, float) else str(v) for v in r) for r in frame.itertuples(index=False))
 
 
 @pytest.fixture(scope="module")
