@@ -133,3 +133,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, nearest: i
 
 def op9(embeddings: DataFrame) -> DataFrame:
     return near_duplicates(embeddings)
+
+
+#: All pairs of a label, compared in double precision.
+OP9_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r(node, root) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.u, r.root FROM l JOIN r ON r.node = l.v),
+c AS (SELECT u, count(*) AS n FROM l GROUP BY u)
+SELECT node AS vec_id, COALESCE(any_value(c.n), 0)::BIGINT AS n_links, min(root) AS component_id, node = min(root) AS kept FROM r LEFT JOIN c ON c.u = node GROUP BY node
+"""

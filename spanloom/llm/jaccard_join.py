@@ -207,3 +207,17 @@ def one_of_each(documents: DataFrame, **limits) -> DataFrame:
         return kept
     again = kept.withColumn("t_d", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL))).withColumn("t_h", F.xxhash64(text_of()))
     return again.dropDuplicates(["t_d", "t_h"]).select(documents.columns)
+
+
+#: All pairs that share a shingle, compared by plain counting.
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, unnest(CASE WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS same FROM s a JOIN s b USING (sh) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE same >= 0.8 * (x.n + y.n - same)),
+r(node, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.u, r.root FROM l JOIN r ON r.node = l.v),
+c AS (SELECT u, count(*) AS n FROM l GROUP BY u)
+SELECT node AS doc_id, min(root) AS class_id, COALESCE(any_value(c.n), 0)::BIGINT AS n_links FROM r LEFT JOIN c ON c.u = node GROUP BY node
+"""

@@ -21,4 +21,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_dedup": lambda spark, d: embedding_dedup.op9(table(spark, d, "embeddings")),
     "op10_pii": lambda spark, d: pii.op10(table(spark, d, "documents")),
 }
-ORACLES: dict[str, str] = {"op2_chat_formatting": chat_format.OP2_SQL, "op7_sharding": sharding.OP7_SQL}
+ORACLES: dict[str, str] = {"op2_chat_formatting": chat_format.OP2_SQL, "op3_jaccard_join": jaccard_join.OP3_SQL, "op7_sharding": sharding.OP7_SQL, "op9_embedding_dedup": embedding_dedup.OP9_SQL}
