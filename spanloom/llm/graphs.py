@@ -1,4 +1,4 @@
-"""Connected components, and all pairs of large groups in blocks."""
+"""All pairs of large groups in blocks; connected components are those of the engine."""
 
 from __future__ import annotations
 
@@ -9,34 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from ..operators.graph import components
+
+__all__ = ["BLOCK", "components", "grouped", "in_blocks", "roots"]
 
 #: Rows of a group that one task holds at a time are two blocks at most.
 BLOCK = 256
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, root) for every node of the edges (u, v): root is the smallest node that it reaches.
-
-    Alternating large-star and small-star steps; every round is written to the shared folder.  A node of
-    very many edges is pre-aggregated for its minimum, and Spark can split its rows in the join.
-    """
-    stars = checkpoint(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = None
-    for _ in range(most_rounds):
-        now = stars.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == before or not now[0]:
-            return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        before = now
-        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").unionByName(low.select("u", F.col("m").alias("v")))
-        stars = checkpoint(small.distinct())
-    raise RuntimeError(f"no end of components after {most_rounds} rounds")
-
-
 def in_blocks(members: DataFrame, keys: list[str], row: str, block: int = BLOCK) -> DataFrame:
     """members once for each pair of blocks (i <= j) of its group that it takes part in, with the number of blocks.
 
