@@ -166,7 +166,7 @@ def subtract(df: DataFrame, holes: DataFrame, keys: Sequence[str], ident: Sequen
     cut = overlap_join(df, holes.select(*keys, "start", "end"), keys, width).select(*keys, *ident, "start", "end", F.greatest("start", "start_r").alias("hs"), F.least("end", "end_r").alias("he"))
     by = W.partitionBy(*keys, *ident, "start", "end").orderBy("hs", "he")
     reach = F.max("he").over(by.rowsBetween(W.unboundedPreceding, 0))
-    pieces = cut.select(*keys, *ident, F.col("start").alias("s"), F.col("end").alias("e"), "hs", F.lag("he").over(by).alias("_"), F.max("he").over(by.rowsBetween(W.unboundedPreceding, -1)).alias("before"), reach.alias("reach"), F.lead("hs").over(by).alias("next"))
+    pieces = cut.select(*keys, *ident, F.col("start").alias("s"), F.col("end").alias("e"), "hs", F.max("he").over(by.rowsBetween(W.unboundedPreceding, -1)).alias("before"), reach.alias("reach"), F.lead("hs").over(by).alias("next"))
     left = pieces.filter("before is null").select(*keys, *ident, F.col("s").alias("start"), (F.col("hs") - 1).alias("end"))
     right = pieces.select(*keys, *ident, (F.col("reach") + 1).alias("start"), F.coalesce(F.col("next") - 1, F.col("e")).alias("end"))
     whole = df.join(cut.select(*ident).distinct(), list(ident), "left_anti").select(*keys, *ident, "start", "end")

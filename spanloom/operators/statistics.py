@@ -88,12 +88,10 @@ def framed_kmers(df: DataFrame, seq: str, k: int) -> DataFrame:
     return rows.groupBy("kmer", (F.col("p") % 3).alias("frame")).agg(F.count("*").alias("n"))
 
 
-def kmer_loglik(counts: DataFrame, base: dict[str, Column] | DataFrame) -> DataFrame:
+def kmer_loglik(counts: DataFrame, base: DataFrame) -> DataFrame:
     """Log of ((n + 1) / (prefix n + 4)) over the frequency of the last base.  counts: (kmer, frame, n); base: (base, p)."""
-    prefix = F.substring("kmer", 1, F.length("kmer") - 1)
     rows = counts.withColumn("prefix", F.expr("substring(kmer, 1, length(kmer) - 1)")).withColumn("base", F.right(F.col("kmer"), F.lit(1)))
     total = rows.groupBy("prefix", "frame").agg(F.sum("n").alias("n_prefix"))
-    del prefix
     return rows.join(total, ["prefix", "frame"]).join(F.broadcast(base), "base").select("kmer", "frame", "n", "n_prefix", F.log(((F.col("n") + 1) / (F.col("n_prefix") + 4)) / F.col("p")).alias("loglik"))
 
 
