@@ -54,7 +54,7 @@ def coded(words: list[str]) -> list[bytes]:
     x = np.frombuffer(data, np.uint32) * np.uint32(2654435761)
     flat = ((x >> np.uint32(13)) & np.uint32(0xFFFF)).astype("<u2").tobytes()
     ends = np.cumsum([2 * len(w) + 4 for w in words]).tolist()
-    return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 class Compressors:

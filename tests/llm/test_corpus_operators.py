@@ -248,6 +248,10 @@ def test_sharding(spark, documents, empty, tmp_path):
     assert sharding.op7(empty).count() == 0
 
 
+def test_windows_are_coded():
+    assert toxicity.coded([]) == [] and [len(c) for c in toxicity.coded(["a", "", "\u00e9x"])] == [6, 4, 8]
+
+
 def test_toxicity(spark, documents, texts):
     rng = np.random.default_rng(3)
     plain = [(i, t) for i, t, _ in texts if i is not None and 100 <= i < 1000]
