@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,3 +40,13 @@ def text_of(name: str = "text") -> Column:
 def small(df: DataFrame, most_rows: int = 200_000) -> DataFrame:
     """df marked for broadcast if it has few rows, else as it is, so that Spark joins it by a shuffle.  df is to be cheap to count (a checkpoint)."""
     return F.broadcast(df) if df.count() <= most_rows else df
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """A worker's store, kept from task to task.  A worker keeps one store: that of the next operator takes its place."""
+    module = sys.modules.setdefault("_spanloom_kept", types.ModuleType("_spanloom_kept"))
+    if getattr(module, "key", None) != key:
+        module.key = module.own = None
+        module.own = make()
+        module.key = key
+    return module.own

@@ -15,8 +15,6 @@ same rows.  Null texts are empty: they have the end id alone.
 from __future__ import annotations
 
 import re
-import sys
-import types
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -29,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import text_of
+from .common import kept, text_of
 
 WIDTH, END_ID, POOL = 4096, 2, 2048
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -205,11 +203,7 @@ class WordIds:
 
 
 def _word_ids(path: str) -> WordIds:
-    """The worker's own, kept from task to task."""
-    kept = sys.modules.setdefault("_spanloom_word_ids", types.ModuleType("_spanloom_word_ids"))
-    if path not in kept.__dict__:
-        kept.__dict__[path] = WordIds(path)
-    return kept.__dict__[path]
+    return kept(("words", path), lambda: WordIds(path))
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

@@ -17,8 +17,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import sys
-import types
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -29,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import text_of
+from .common import kept, text_of
 
 UNKNOWN = 10.0
 MARK = "▁"
@@ -256,11 +254,7 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
 
 
 def _encoder(path: str, v: Vocabulary) -> Encoder:
-    """The worker's own, kept from task to task."""
-    kept = sys.modules.setdefault("_spanloom_pieces", types.ModuleType("_spanloom_pieces"))
-    if path not in kept.__dict__:
-        kept.__dict__[path] = Encoder(v)
-    return kept.__dict__[path]
+    return kept(("pieces", path), lambda: Encoder(v))
 
 
 def op5(documents: DataFrame, path: str | None = None) -> DataFrame:

@@ -17,8 +17,6 @@ doesn't depend on the table.  Scoring reads every word of every text.  Null text
 
 from __future__ import annotations
 
-import sys
-import types
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -31,13 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import shingles
-from .common import small, text_of
+from .common import kept, text_of
 
 MOST_TOXIC, MOST_ORDINARY = 1500, 3000
 #: Letters of the runs that are counted; least share of toxic texts, log ratio and G statistic of a distinctive run.
 RUN, LEAST_SHARE, LEAST_RATIO, LEAST_G = 6, 0.02, 1.6, 30.0
 #: Bytes of a dictionary; windows whose differences a worker keeps.
-DICTIONARY, MOST_WORDS = 4096, 1_000_000
+DICTIONARY, MOST_WORDS = 4096, 500_000
 PREDICT = 0.3
 
 
@@ -202,11 +200,7 @@ def training_texts(documents: DataFrame, labels: DataFrame, most_toxic: int = MO
 
 
 def _compressors(model: Model) -> Compressors:
-    """The worker's own for this model, kept from task to task."""
-    kept = sys.modules.setdefault("_spanloom_compressors", types.ModuleType("_spanloom_compressors"))
-    if getattr(kept, "model", None) != model:
-        kept.model, kept.own = model, Compressors(model)
-    return kept.own
+    return kept(("compressors", model), lambda: Compressors(model))
 
 
 def scores(texts: pa.Array, model: Model) -> np.ndarray:
