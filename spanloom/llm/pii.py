@@ -2,8 +2,8 @@
 
 Every e-mail address, IP address, card number and phone number found is a protected entity.  Words near
 an entity's occurrences are terms; over the whole corpus, the pointwise mutual information of term and
-entity, as a share of the entity's own information, says how strongly the term discloses it (1: it gives
-the entity away).  Terms at or over a threshold are generalised, at or over a higher one removed.  Contexts
+entity, as a share of the entity's own information, says how strongly the term discloses it (1: it Entities,
+terms and pairs are counted over distinct texts, so copies of a text change nothing..  Terms at or over a threshold are generalised, at or over a higher one removed.  Contexts
 that are copies of one another count once.
 
 Patterns are written so that no scan is quadratic and no group recurses; they find what the base patterns
@@ -31,7 +31,7 @@ _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 TERM = r"\p{L}{3,}+"
 #: Characters on either side of an entity whose words are its context.
 CONTEXT = 64
-#: Distinct contexts of an entity that must hold a term; shares of the entity's information.
+#: Distinct texts of an entity that must hold a term; shares of the entity's information.
 MIN_SUPPORT, GENERALISE, REMOVE = 3, 0.85, 0.95
 
 
@@ -77,17 +77,16 @@ def base_spans(text: Column) -> Column:
 
 
 def contexts(found: DataFrame) -> DataFrame:
-    """(doc_id, h, entity, ctx, term, start, end): the words near each base span, but for words that the context cuts and words inside base spans."""
+    """(doc_id, h, entity, term, start, end): the words near each base span, but for words that the context cuts and words inside base spans."""
     kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("s.kind") + 1)
     start = F.greatest(F.lit(0), F.col("s.start") - CONTEXT)
     rows = found.filter(F.size("base") > 0).select("doc_id", "h", "text", "base", F.explode("base").alias("s"))
     rows = rows.select("doc_id", "h", "base", F.concat(kind, F.lit(":"), "s.value").alias("entity"), start.alias("l_at"), F.col("s.end").alias("r_at"), F.substr("text", start + 1, F.col("s.start") - start).alias("l"), F.substr("text", F.col("s.end") + 1, F.lit(CONTEXT)).alias("r"))
-    rows = rows.withColumn("ctx", F.xxhash64("l", "r"))
     shifted = lambda c, at, cut: F.transform(F.filter(find_spans(F.col(c), TERM), cut), lambda t: F.struct((t["start"] + F.col(at)).alias("start"), (t["end"] + F.col(at)).alias("end"), F.lower(t["value"]).alias("value")))
     left = shifted("l", "l_at", lambda t: (t["start"] > 0) | (F.col("l_at") == 0))
     right = shifted("r", "r_at", lambda t: t["end"] < CONTEXT)
     clear = F.filter(F.concat(left, right), lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return rows.select("doc_id", "h", "entity", "ctx", F.explode(clear).alias("t")).select("doc_id", "h", "entity", "ctx", F.col("t.value").alias("term"), "t.start", "t.end")
+    return rows.select("doc_id", "h", "entity", F.explode(clear).alias("t")).select("doc_id", "h", "entity", F.col("t.value").alias("term"), "t.start", "t.end")
 
 
 def _share(total: int, n_both: str, n_entity: str, n_term: str) -> Column:
@@ -98,20 +97,20 @@ def _share(total: int, n_both: str, n_entity: str, n_term: str) -> Column:
 
 
 def disclosure(near: DataFrame, documents: DataFrame, min_support: int = MIN_SUPPORT, generalise: float = GENERALISE) -> DataFrame:
-    """(entity, term, share) of the pairs with enough support and share.  Counts are over all contexts, document frequencies over all texts.
+    """(entity, term, share) of the pairs with enough support and share.  Everything is counted over distinct texts; documents are (h, text).
 
     A term is in at least as many texts as there are texts with it near entities.  Pairs whose share would be
     too low even at that frequency (those of common words) are out before texts are read again.
     """
-    pairs = near.select("entity", "term", "ctx").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= min_support)
-    entities = near.select("entity", "ctx").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    least = near.select("term", "doc_id", "h").distinct().groupBy("term").agg(F.count("*").alias("n_least"))
-    total = documents.count()
+    pairs = near.select("entity", "term", "h").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= min_support)
+    entities = near.select("entity", "h").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    least = near.select("term", "h").distinct().groupBy("term").agg(F.count("*").alias("n_least"))
+    total = documents.select("h").distinct().count()
     pairs = pairs.join(entities, "entity").join(least, "term")
     pairs = checkpoint(pairs.filter(_share(total, "n_both", "n_entity", "n_least") >= generalise).drop("n_least"))
     terms = small(checkpoint(pairs.select("term").distinct()))
-    words = documents.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    df = words.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
+    words = documents.select("h", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    df = words.join(terms, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
     return pairs.join(df, "term").select("entity", "term", _share(total, "n_both", "n_entity", "n_term").alias("share")).filter(F.col("share") >= generalise)
 
 
@@ -128,6 +127,11 @@ def scan(documents: DataFrame) -> DataFrame:
     return rows.withColumn("base", base_spans(F.col("text"))).withColumn("h", F.xxhash64("text"))
 
 
+def texts_of(documents: DataFrame) -> DataFrame:
+    """(h, text) of every row."""
+    return documents.select(text_of().alias("text")).select(F.xxhash64("text").alias("h"), "text")
+
+
 def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), s["start"], s["end"])), ",")
 
@@ -137,7 +141,7 @@ def op10(documents: DataFrame) -> DataFrame:
     found = scan(documents)
     near = checkpoint(contexts(found))
     spans = checkpoint(found.select("doc_id", "h", "base"))
-    terms = small(checkpoint(term_spans(near, documents.select(text_of().alias("text")))))
+    terms = small(checkpoint(term_spans(near, texts_of(documents))))
     key = terms.select(F.col("doc_id").alias("t_id"), F.col("h").alias("t_h"), "terms")
     rows = spans.join(key, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("h") == F.col("t_h")), "left")
     plain = lambda c: F.transform(F.col(c), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
@@ -150,7 +154,7 @@ def sanitise(documents: DataFrame, **limits) -> DataFrame:
     """documents with each span replaced: base matches and generalised terms by their kind in brackets, removed terms by nothing; overlapping spans become one, named after the first."""
     found = scan(documents)
     near = checkpoint(contexts(found))
-    terms = small(checkpoint(term_spans(near, documents.select(text_of().alias("text")), **limits)))
+    terms = small(checkpoint(term_spans(near, texts_of(documents), **limits)))
     key = terms.select(F.col("doc_id").alias("t_id"), F.col("h").alias("t_h"), "terms")
     rows = documents.withColumn("t_text", text_of()).withColumn("t_base", base_spans(F.col("t_text")))
     rows = rows.join(key, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.xxhash64("t_text") == F.col("t_h")), "left")

@@ -333,6 +333,19 @@ def test_pii_terms(spark):
     assert all("[EMAIL]" in clean[i] and "Zanzibarian" not in clean[i] and "secret" not in clean[i] for i in range(6)) and clean[100] == rows[6][1]
 
 
+def test_pii_units(spark):
+    """Copies of a text change no count; a passage that many different texts share is support."""
+    rows = [f"Zanzibarian broker{k} wrote to copied.person@corp.example.com" for k in range(3) for _ in range(200)]
+    rows += [f"text{k} other{k % 7} " + "words about things " * 10 + "please ask Quillfeather at shared.person@corp.example.com for the rest" for k in range(5)]
+    rows += [f"the text has filler{k % 50} and number{k} of words that ask about things please for rest" for k in range(800)]
+    got = pii.op10(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+    for r in (r for r in got if r.doc_id < 605):
+        word = "Zanzibarian" if r.doc_id < 600 else "Quillfeather"
+        a = rows[r.doc_id].index(word)
+        assert f"term:{a}:{a + len(word)}" in r.spans.split(",")
+    assert all(r.spans == "" for r in got if r.doc_id >= 605)
+
+
 def test_components(spark):
     rng = np.random.default_rng(6)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(k, k + 1) for k in range(1000, 1100)]
