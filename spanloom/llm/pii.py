@@ -1,10 +1,11 @@
-"""PII: base patterns, then information-theoretic sanitisation of the words around them.
+"""PII: base patterns, then information-theoretic sanitisation of the words that come with them.
 
-Every e-mail address, IP address, card number and phone number found is a protected entity.  Words near
-an entity's occurrences are terms; over the whole corpus, the pointwise mutual information of term and
-entity, as a share of the entity's own information, says how strongly the term discloses it (1: it Entities,
-terms and pairs are counted over distinct texts, so copies of a text change nothing..  Terms at or over a threshold are generalised, at or over a higher one removed.  Contexts
-that are copies of one another count once.
+Every e-mail address, IP address, card number and phone number found is a protected entity.  The words of
+the texts that hold an entity are terms; over the whole corpus, the pointwise mutual information of term and
+entity, as a share of the entity's own information, says how strongly the term discloses it (1: it gives
+the entity away).  Terms at or over a threshold are generalised, at or over a higher one removed, wherever
+they stand in a text that holds the entity.  Entities, terms and pairs are counted over distinct texts, so
+copies of a text change nothing.
 
 Patterns are written so that no scan is quadratic and no group recurses; they find what the base patterns
 find.  Null texts are empty.  Rows of equal doc_id and text get the same result each.
@@ -12,6 +13,8 @@ find.  Null texts are empty.  Rows of equal doc_id and text get the same result
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,22 +32,19 @@ PATTERNS = {
 _HINT = {"email": "[A-Za-z0-9._%+-]@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": "[0-9](?:[ -]?[0-9]){13}", "phone": r"\+[0-9]"}
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 TERM = r"\p{L}{3,}+"
-#: Characters on either side of an entity whose words are its context.
-CONTEXT = 64
 #: Distinct texts of an entity that must hold a term; shares of the entity's information.
 MIN_SUPPORT, GENERALISE, REMOVE = 3, 0.85, 0.95
 
 
-def find_spans(text: Column, pattern: str) -> Column:
-    """(start, end, value) of the leftmost non-overlapping matches, in code points: lengths of what lies between and of the matches are added up."""
+def find_spans(text: Column, pattern: str, keep: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
+    """(start, end, value) of the leftmost non-overlapping matches that keep accepts, in code points: lengths of what lies between and of the matches are added up."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern), lambda p: F.char_length(p))
     pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(gaps) - 1), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    step = lambda s, x: F.struct(
-        (s["at"] + x["gap"] + F.char_length(x["value"])).alias("at"),
-        F.concat(s["out"], F.array(F.struct((s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + F.char_length(x["value"])).alias("end"), x["value"].alias("value")))).alias("out"),
-    )
+    at, end = lambda s, x: s["at"] + x["gap"], lambda s, x: s["at"] + x["gap"] + F.char_length(x["value"])
+    span = lambda s, x: F.struct(at(s, x).alias("start"), end(s, x).alias("end"), x["value"].alias("value"))
+    step = lambda s, x: F.struct(end(s, x).alias("at"), F.when(keep(x["value"]), F.concat(s["out"], F.array(span(s, x)))).otherwise(s["out"]).alias("out"))
     return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
 
 
@@ -76,17 +76,25 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[of(k, kind) for k, kind in enumerate(KINDS[:-1])]))
 
 
-def contexts(found: DataFrame) -> DataFrame:
-    """(doc_id, h, entity, term, start, end): the words near each base span, but for words that the context cuts and words inside base spans."""
+def without_emails(text: Column) -> Column:
+    """text with a blank for each character of an e-mail address; the other entities have no letters."""
+    found = F.regexp_extract_all(text, F.lit(PATTERNS["email"]), F.lit(0))
+    blanked = F.zip_with(F.split(text, PATTERNS["email"]), found, lambda g, v: F.concat(g, F.coalesce(F.repeat(F.lit(" "), F.char_length(v)), F.lit(""))))
+    return F.when(text.rlike(_HINT["email"]), F.array_join(blanked, "")).otherwise(text)
+
+
+def words_of(text: Column) -> Column:
+    """The distinct words of the text outside its e-mail addresses, lower-cased."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(without_emails(text), F.lit(TERM), F.lit(0)), lambda w: F.lower(w)))
+
+
+def holders(spans: DataFrame, min_support: int = MIN_SUPPORT) -> DataFrame:
+    """(h, entity, n_entity): the distinct texts of each entity that is in enough of them to have a term."""
     kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("s.kind") + 1)
-    start = F.greatest(F.lit(0), F.col("s.start") - CONTEXT)
-    rows = found.filter(F.size("base") > 0).select("doc_id", "h", "text", "base", F.explode("base").alias("s"))
-    rows = rows.select("doc_id", "h", "base", F.concat(kind, F.lit(":"), "s.value").alias("entity"), start.alias("l_at"), F.col("s.end").alias("r_at"), F.substr("text", start + 1, F.col("s.start") - start).alias("l"), F.substr("text", F.col("s.end") + 1, F.lit(CONTEXT)).alias("r"))
-    shifted = lambda c, at, cut: F.transform(F.filter(find_spans(F.col(c), TERM), cut), lambda t: F.struct((t["start"] + F.col(at)).alias("start"), (t["end"] + F.col(at)).alias("end"), F.lower(t["value"]).alias("value")))
-    left = shifted("l", "l_at", lambda t: (t["start"] > 0) | (F.col("l_at") == 0))
-    right = shifted("r", "r_at", lambda t: t["end"] < CONTEXT)
-    clear = F.filter(F.concat(left, right), lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return rows.select("doc_id", "h", "entity", F.explode(clear).alias("t")).select("doc_id", "h", "entity", F.col("t.value").alias("term"), "t.start", "t.end")
+    rows = spans.filter(F.size("base") > 0).select("h", F.explode("base").alias("s")).select("h", F.concat(kind, F.lit(":"), "s.value").alias("entity")).distinct()
+    rows = checkpoint(rows)
+    n = rows.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= min_support)
+    return checkpoint(rows.join(n, "entity").select("h", "entity", "n_entity"))
 
 
 def _share(total: int, n_both: str, n_entity: str, n_term: str) -> Column:
@@ -96,29 +104,42 @@ def _share(total: int, n_both: str, n_entity: str, n_term: str) -> Column:
     return F.log2(F.col(n_both) * n / (F.col(n_entity) * F.greatest(n_term, n_both))) / own
 
 
-def disclosure(near: DataFrame, documents: DataFrame, min_support: int = MIN_SUPPORT, generalise: float = GENERALISE) -> DataFrame:
-    """(entity, term, share) of the pairs with enough support and share.  Everything is counted over distinct texts; documents are (h, text).
+def disclosure(held: DataFrame, documents: DataFrame, min_support: int = MIN_SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+    """(h, term, share): of each text of an entity (held) its disclosing terms with the highest share.  documents are (h, text).
 
-    A term is in at least as many texts as there are texts with it near entities.  Pairs whose share would be
-    too low even at that frequency (those of common words) are out before texts are read again.
+    A term is in at least as many texts as there are texts with it and an entity, and its share for an entity of
+    n texts is at most that of a term that is in all of them.  Terms whose share would be too low even so (common
+    words) are out before texts are read again, and again before pairs are made.
     """
-    pairs = near.select("entity", "term", "h").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= min_support)
-    entities = near.select("entity", "h").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    least = near.select("term", "h").distinct().groupBy("term").agg(F.count("*").alias("n_least"))
-    total = documents.select("h").distinct().count()
-    pairs = pairs.join(entities, "entity").join(least, "term")
-    pairs = checkpoint(pairs.filter(_share(total, "n_both", "n_entity", "n_least") >= generalise).drop("n_least"))
-    terms = small(checkpoint(pairs.select("term").distinct()))
-    words = documents.select("h", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    df = words.join(terms, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    return pairs.join(df, "term").select("entity", "term", _share(total, "n_both", "n_entity", "n_term").alias("share")).filter(F.col("share") >= generalise)
-
-
-def term_spans(near: DataFrame, documents: DataFrame, min_support: int = MIN_SUPPORT, generalise: float = GENERALISE) -> DataFrame:
-    """(doc_id, h, terms): spans of disclosing terms as (start, kind number, end, share), one row for a document that has any."""
-    told = small(checkpoint(disclosure(near, documents, min_support, generalise)))
-    hits = near.join(told, ["entity", "term"]).groupBy("doc_id", "h", "start", "end").agg(F.max("share").alias("share"))
-    return hits.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end", "share"))).alias("terms"))
+    sizes = checkpoint(documents.groupBy("h").agg(F.count("*").alias("copies")))
+    total, copies = sizes.count(), small(checkpoint(sizes.filter("copies > 1")))
+    each = small(checkpoint(held.groupBy("h").agg(F.max("n_entity").alias("most"))))
+    words = documents.join(each, "h").select("h", "most", F.explode(words_of(F.col("text"))).alias("term")).distinct()
+    words = checkpoint(words)
+    able = lambda n_term: _share(total, "most", "most", n_term) >= generalise
+    terms = words.groupBy("term").agg(F.count("*").alias("n_least"), F.max("most").alias("most")).filter((F.col("n_least") >= min_support) & able("n_least"))
+    terms = checkpoint(terms.select("term", "most"))
+    # Each copy of a text counts as its part of one text, so that counts are summed where texts are read.
+    every = documents.join(copies, "h", "left").select((1 / F.coalesce("copies", F.lit(1))).alias("part"), F.explode(words_of(F.col("text"))).alias("term"))
+    if terms.count() <= 200_000:
+        terms = F.broadcast(terms)
+        every = every.join(terms, "term", "left_semi")
+    df = every.groupBy("term").agg(F.round(F.sum("part")).cast("long").alias("n_term"))
+    df = small(checkpoint(df.join(terms, "term").filter(able("n_term")).select("term", "n_term")))
+    both = held.join(words.select("h", "term").join(df, "term"), "h")
+    pairs = both.groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= min_support)
+    told = pairs.select("entity", "term", _share(total, "n_both", "n_entity", "n_term").alias("share")).filter(F.col("share") >= generalise)
+    told = small(checkpoint(told))
+    return both.join(told, ["entity", "term"]).groupBy("h", "term").agg(F.max("share").alias("share"))
+
+
+def term_spans(spans: DataFrame, documents: DataFrame, min_support: int = MIN_SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+    """(h, terms): all spans of disclosing terms as (start, kind number, end, share), one row for a text that has any.  spans are (h, base), documents (h, text)."""
+    told = disclosure(holders(spans, min_support), documents, min_support, generalise)
+    told = small(checkpoint(told.groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("told"))))
+    found = find_spans(without_emails(F.col("text")), TERM, lambda w: F.map_contains_key("told", F.lower(w)))
+    own = F.transform(found, lambda t: F.struct(t["start"].alias("start"), F.lit(KINDS.index("term")).alias("kind"), t["end"].alias("end"), F.element_at("told", F.lower(t["value"])).alias("share")))
+    return documents.join(told, "h").select("h", own.alias("terms")).dropDuplicates(["h"])
 
 
 def scan(documents: DataFrame) -> DataFrame:
@@ -139,11 +160,9 @@ def _joined(spans: Column) -> Column:
 def op10(documents: DataFrame) -> DataFrame:
     """The query.  Found spans are kept in the shared folder, so patterns run once over the texts."""
     found = scan(documents)
-    near = checkpoint(contexts(found))
     spans = checkpoint(found.select("doc_id", "h", "base"))
-    terms = small(checkpoint(term_spans(near, texts_of(documents))))
-    key = terms.select(F.col("doc_id").alias("t_id"), F.col("h").alias("t_h"), "terms")
-    rows = spans.join(key, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("h") == F.col("t_h")), "left")
+    terms = small(checkpoint(term_spans(spans, texts_of(documents))))
+    rows = spans.join(terms, "h", "left")
     plain = lambda c: F.transform(F.col(c), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     every = F.array_sort(F.concat(plain("base"), F.coalesce(plain("terms"), F.array().cast("array<struct<start:int,kind:int,end:int>>"))))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
@@ -152,12 +171,10 @@ def op10(documents: DataFrame) -> DataFrame:
 
 def sanitise(documents: DataFrame, **limits) -> DataFrame:
     """documents with each span replaced: base matches and generalised terms by their kind in brackets, removed terms by nothing; overlapping spans become one, named after the first."""
-    found = scan(documents)
-    near = checkpoint(contexts(found))
-    terms = small(checkpoint(term_spans(near, texts_of(documents), **limits)))
-    key = terms.select(F.col("doc_id").alias("t_id"), F.col("h").alias("t_h"), "terms")
+    spans = checkpoint(scan(documents).filter(F.size("base") > 0).select("h", "base"))
+    terms = small(checkpoint(term_spans(spans, texts_of(documents), **limits)))
     rows = documents.withColumn("t_text", text_of()).withColumn("t_base", base_spans(F.col("t_text")))
-    rows = rows.join(key, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.xxhash64("t_text") == F.col("t_h")), "left")
+    rows = rows.join(terms.withColumnRenamed("h", "t_h"), F.xxhash64("t_text") == F.col("t_h"), "left")
     simple = lambda c, share: F.transform(c, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), share(s).alias("share")))
     every = F.array_sort(F.concat(simple(F.col("t_base"), lambda s: F.lit(0.0)), F.coalesce(simple(F.col("terms"), lambda s: s["share"]), F.array().cast("array<struct<start:int,kind:int,end:int,share:double>>"))))
     label = lambda s: F.when(s["share"] >= REMOVE, "").otherwise(F.concat(F.lit("["), F.upper(F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1)), F.lit("]")))

@@ -346,6 +346,21 @@ def test_pii_units(spark):
     assert all(r.spans == "" for r in got if r.doc_id >= 605)
 
 
+def test_pii_whole_text(spark):
+    """Terms far from the entity are found, and each occurrence in a text that holds it goes, whatever its case."""
+    far = "words about things " * 40
+    rows = [f"ÉZanzibarİan {k} {far} write to far.person@corp.example.com {far} the éZANZIBARİAN zanzibar \U0001f600 Quillfeather{'' if k else ' '}" for k in range(4)]
+    rows += [f"the text{k} words about things write zanzibar {k % 40}" for k in range(300)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.spans.split(",") for r in pii.op10(df).collect()}
+    for i, t in enumerate(rows[:4]):
+        want = [f"term:{m.start()}:{m.end()}" for m in re.finditer("ÉZanzibarİan|éZANZIBARİAN|Quillfeather", t)]
+        assert len(want) == 3 and [s for s in got[i] if s.startswith("term")] == want
+    assert all(got[i] == [""] for i in range(4, 304))
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert all("İ" not in clean[i] and "Quill" not in clean[i] and "the  zanzibar \U0001f600 " in clean[i] for i in range(4)) and clean[4] == rows[4]
+
+
 def test_components(spark):
     rng = np.random.default_rng(6)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(k, k + 1) for k in range(1000, 1100)]
