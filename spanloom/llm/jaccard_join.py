@@ -13,6 +13,7 @@ A pair at similarity 0.8 shares no band with probability (1 - 0.8 ** ROWS) ** BA
 
 Result: for each row its class (the smallest doc_id that its links reach) and its number of links.  Null
 texts are empty; texts without words equal each other and nothing else.  Null ids count as the smallest.
+Classes have numbers of their own, so texts of one id, or without one, are told apart.
 """
 
 from __future__ import annotations
@@ -165,29 +166,33 @@ def _compare(k: int, threshold: float, tolerance: float):
 
 
 def join(documents: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """(doc_id, h, class_id, n_links) of every row; h is a hash of the text."""
+    """(doc_id, h, class_id, class_h, n_links) of every row; h is a hash of the text, class_h that of the class's first row."""
     rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)).alias("doc_id"), text_of().alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("h"), "text")
     signed = checkpoint(signatures(rows, k))
     first = F.min(F.struct("doc_id", "h")).alias("first")
-    classes = signed.groupBy("k1", "k2").agg(first, F.count("*").alias("copies")).select("k1", "k2", F.col("first.doc_id").alias("rep"), F.col("first.h").alias("rep_h"), "copies")
+    classes = signed.groupBy("k1", "k2").agg(first, F.count("*").alias("copies")).select("k1", "k2", "first", "copies", F.monotonically_increasing_id().alias("rep"))
     classes = checkpoint(classes)
-    one = signed.join(classes.select("k1", "k2", "rep", "rep_h", "copies"), ["k1", "k2"]).filter((F.col("doc_id") == F.col("rep")) & (F.col("h") == F.col("rep_h")))
-    one = checkpoint(one.select("rep", "rep_h", "copies", "bands", "sig"))
+    one = signed.join(classes, ["k1", "k2"]).filter((F.col("doc_id") == F.col("first.doc_id")) & (F.col("h") == F.col("first.h")))
+    one = checkpoint(one.select("rep", F.col("first.doc_id").alias("rep_id"), F.col("first.h").alias("rep_h"), "copies", "bands", "sig").dropDuplicates(["rep"]))
     keys = one.select("rep", F.explode("bands").alias("band"))
     lowest = keys.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high").select("band", "low")
     edges = keys.join(lowest, "band").select(F.col("rep").alias("u"), F.col("low").alias("v"))
     groups = components(edges)
-    members = checkpoint(one.join(groups, F.col("rep") == F.col("node")).select(F.col("root").alias("group"), "rep", "rep_h", "copies", "sig"))
-    where = small(members.select("group", "rep", "rep_h", "copies", "sig"), 50_000)
-    texts = rows.join(where, (F.col("doc_id") == F.col("rep")) & (F.col("h") == F.col("rep_h"))).select("group", "rep", "copies", "sig", "text")
+    members = checkpoint(one.join(groups, F.col("rep") == F.col("node")).select(F.col("root").alias("group"), "rep", "rep_id", "rep_h", "copies", "sig"))
+    where = small(members.select("group", "rep", "rep_id", "rep_h", "copies", "sig"), 50_000)
+    texts = rows.join(where, (F.col("doc_id") == F.col("rep_id")) & (F.col("h") == F.col("rep_h"))).select("group", "rep", "copies", "sig", "text")
     blocks = in_blocks(texts, ["group"], "rep")
     links = checkpoint(grouped(blocks, ["group", "i", "j"], _compare(k, threshold, tolerance), "rep long, links long, root long"))
     root = components(links.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     counts = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    by_class = classes.join(counts, "rep", "left").join(root, F.col("rep") == F.col("node"), "left")
-    by_class = by_class.select("k1", "k2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"), F.coalesce("root", "rep").alias("class_id"))
-    return signed.select("doc_id", "h", "k1", "k2").join(by_class, ["k1", "k2"]).select("doc_id", "h", "class_id", "n_links")
+    linked = checkpoint(root.join(classes.select("rep", "first"), F.col("rep") == F.col("node")).select("rep", "root", "first"))
+    lowest = linked.groupBy("root").agg(F.min("first").alias("low"))
+    low = linked.join(lowest, "root").select("rep", "low")
+    by_class = classes.join(counts, "rep", "left").join(low, "rep", "left").withColumn("low", F.coalesce("low", "first"))
+    n_links = (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long")
+    by_class = by_class.select("k1", "k2", n_links.alias("n_links"), F.col("low.doc_id").alias("class_id"), F.col("low.h").alias("class_h"))
+    return signed.select("doc_id", "h", "k1", "k2").join(by_class, ["k1", "k2"]).select("doc_id", "h", "class_id", "class_h", "n_links")
 
 
 def op3(documents: DataFrame) -> DataFrame:
@@ -197,10 +202,10 @@ def op3(documents: DataFrame) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame, **limits) -> DataFrame:
-    """documents without those that link to a smaller one: of each class the row of the smallest id stays, and of rows equal in id and text one."""
+    """documents without those that link to a smaller one: of each class the row of the smallest id stays (of several texts of that id, one), and of rows equal in id and text one."""
     linked = join(documents, **limits)
-    same = checkpoint(linked.groupBy("doc_id", "h").agg(F.count("*").alias("n"), F.min("class_id").alias("class_id")))
-    gone = small(checkpoint(same.filter(F.col("doc_id") != F.col("class_id")).select("doc_id", "h")))
+    same = checkpoint(linked.groupBy("doc_id", "h").agg(F.count("*").alias("n"), F.min("class_id").alias("class_id"), F.min("class_h").alias("class_h")))
+    gone = small(checkpoint(same.filter((F.col("doc_id") != F.col("class_id")) | (F.col("h") != F.col("class_h"))).select("doc_id", "h")))
     key = (F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)) == F.col("d")) & (F.xxhash64(text_of()) == F.col("dh"))
     kept = documents.join(gone.select(F.col("doc_id").alias("d"), F.col("h").alias("dh")), key, "left_anti")
     if same.filter("n > 1").isEmpty():

@@ -119,6 +119,21 @@ def test_one_of_each(documents, texts):
     assert set(got) == set(want) and all(n <= 2 for n in got.values())
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_near_copies_of_one_id(spark, doc_id):
+    """Texts that share an id, or have none, are compared with each other as any others are."""
+    words = [f"w{k}" for k in range(80)]
+    near = [" ".join([*words[:-k], *[f"x{k}"] * k]) if k else " ".join(words) for k in range(3)]
+    other = " ".join(f"v{k}" for k in range(60))
+    texts = [(doc_id, near[0]), (doc_id, near[1]), (doc_id, near[2]), (doc_id, other), (9, near[0] + " end"), (9, other + " end"), (10, "alone in the world of all these texts")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = sorted((r.doc_id or -1, -1 if r.class_id is None else r.class_id, r.n_links) for r in jaccard_join.op3(df).collect())
+    low = doc_id or -1
+    assert got == sorted([(low, low, 3)] * 3 + [(low, low, 1), (9, low, 3), (9, low, 1), (10, 10, 0)])
+    kept = jaccard_join.one_of_each(df).collect()
+    assert len(kept) == 3 and sum(r.text in near for r in kept) == 1 and sum(r.text == other for r in kept) == 1
+
+
 def test_pruning_keeps_true_pairs():
     rng = np.random.default_rng(0)
     need = jaccard_join.needed(160)
