@@ -4,7 +4,8 @@ Template texts and base phrases are lists of words.  Every rolling k-gram of a d
 to the k-grams of the templates; a hit votes for the diagonal (word position minus template position).
 Votes are summed by document, template and diagonal; diagonals at most MERGE apart are merged into one
 span, since inserted or missing words shift the diagonal; spans are verified by the share of the
-template's k-grams they hold.  A base phrase counts where one diagonal holds all its k-grams.
+template's k-grams they hold.  Of spans that overlap, of templates that share a k-gram, the one that
+holds more k-grams hides the other.  A base phrase counts where one diagonal holds all its k-grams.
 
 The join compares the words of a k-gram, so votes are exact.  The templates are
 a fixed small table and are broadcast.  Null texts are empty; rows of one doc_id with equal texts get the
@@ -25,9 +26,11 @@ from pyspark.sql import functions as F
 from . import shingles
 from .common import checkpoint, small, text_of
 
-K, MERGE, NEAR = 3, 3, 8
+K, MERGE = 3, 3
 #: Share of a template's k-grams that a span must hold.
 MIN_SHARE = 0.6
+#: Words that spans are met in.
+STRETCH = 64
 # Characters that separate words, after A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -71,6 +74,12 @@ def template_grams(spark: SparkSession, k: int = K) -> DataFrame:
     return spark.createDataFrame(rows, "t int, label string, base boolean, n_grams int, t_pos int, gram array<string>")
 
 
+def related_templates(spark: SparkSession, k: int = K) -> DataFrame:
+    """(t, o_t) of the templates that share a k-gram."""
+    grams = [{tuple(w[p : p + k]) for p in range(len(w) - k + 1)} for w in map(template_words, [*BASE, *(text for _, text in TEMPLATES)])]
+    return spark.createDataFrame([(a, b) for a, x in enumerate(grams) for b, y in enumerate(grams) if x & y], "t int, o_t int")
+
+
 def _gram_hash(texts: list[str], k: int) -> np.ndarray:
     return np.unique(shingles.grams(shingles.words(pa.array(texts, pa.large_string())), k)[0])
 
@@ -118,11 +127,19 @@ def spans(found: DataFrame, merge: int = MERGE, min_share: float = MIN_SHARE) ->
     order = W.partitionBy(*key).orderBy("diagonal")
     new = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(order) > merge).cast("int"), F.lit(1))
     merged = diagonal.filter(~F.col("base")).withColumn("new", new).withColumn("run", F.sum("new").over(order))
-    merged = merged.groupBy(*key, "run").agg(F.sum("n").alias("n"), F.min("low").alias("first"))
-    merged = merged.withColumn("share", F.least(F.lit(1.0), F.col("n") / F.col("n_grams"))).filter(F.col("share") >= min_share)
-    # Of spans that begin within NEAR words of each other, the ones that hold most of their template stay.
-    best = F.max("share").over(W.partitionBy("doc_id", "h").orderBy("first").rangeBetween(-NEAR, NEAR))
-    kept = merged.withColumn("best", best).filter(F.col("share") == F.col("best"))
+    merged = merged.groupBy(*key, "run").agg(F.sum("n").alias("n"), F.min("low").alias("first"), F.max("high").alias("last"))
+    merged = merged.withColumn("held", F.least("n", "n_grams")).withColumn("share", F.col("held") / F.col("n_grams")).filter(F.col("share") >= min_share)
+    merged = checkpoint(merged.select("doc_id", "h", "t", "run", "label", "base", "first", "last", "held", "share"))
+    # A span's k-grams begin at its words first to last, so it reaches to the word last + K - 1; it is met in each stretch of words it touches.
+    stretch = F.explode(F.sequence(F.floor(F.col("first") / STRETCH), F.floor((F.col("last") + K - 1) / STRETCH)))
+    rows = merged.withColumn("stretch", stretch)
+    other = rows.select(*[F.col(c).alias(f"o_{c}") for c in ("doc_id", "h", "t", "stretch", "first", "last", "held")])
+    meets = F.col("doc_id").eqNullSafe(F.col("o_doc_id")) & (F.col("h") == F.col("o_h")) & (F.col("stretch") == F.col("o_stretch")) & (F.col("first") <= F.col("o_last") + K - 1) & (F.col("o_first") <= F.col("last") + K - 1)
+    related = F.broadcast(related_templates(found.sparkSession))
+    hidden = rows.join(other, meets & (F.col("o_held") > F.col("held"))).join(related, ["t", "o_t"]).select("doc_id", "h", "t", "run").distinct()
+    hidden = hidden.withColumnsRenamed({c: f"x_{c}" for c in ("doc_id", "h", "t", "run")})
+    is_hidden = F.col("doc_id").eqNullSafe(F.col("x_doc_id")) & (F.col("h") == F.col("x_h")) & (F.col("t") == F.col("x_t")) & (F.col("run") == F.col("x_run"))
+    kept = merged.join(hidden, is_hidden, "left_anti")
     return base.unionByName(kept.select("doc_id", "h", "label", "base", "first", "share"))
 
 

@@ -226,6 +226,17 @@ def test_licenses(documents, empty, texts):
     assert {"apache-2", "cc-by-nc", "mit"} <= set(r.labels.split(",")) and r.score == 1
 
 
+def test_licenses_adjacent(spark):
+    """A short notice hides no passage next to it; a passage hides a weaker one in the same words."""
+    text = dict(reversed([x for x in licenses.TEMPLATES if len(x[1]) > 60]))
+    changed = {k: text[k].replace("without", "lacking") for k in ("bsd", "mit")}
+    notice = "Copyright 2020 someone. All rights reserved. "
+    rows = [notice + changed["bsd"], notice + changed["mit"], "Creative Commons Attribution-NonCommercial 4.0 International License", "licensed under the GNU General Public License, version 3", None]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.op6(df).collect()}
+    assert got == {0: "bsd,proprietary", 1: "mit,proprietary", 2: "cc-by-nc", 3: "gpl-3", 4: ""}
+
+
 def test_shingles():
     import pyarrow as pa
 
