@@ -1,4 +1,4 @@
-"""Evidence pipelines from tables to tables, composed of the operators."""
+"""X pipelines of the survey from tables to tables, composed of the operators; README lists those left out or partial."""
 
 from __future__ import annotations
 
