@@ -11,13 +11,28 @@ from pyspark.sql import functions as F
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by files in the folder of spark.checkpoint.dir (one of our own where that is unset)."""
+    """df with its lineage cut by files in the folder of spark.checkpoint.dir.  Where that is unset, a folder of our own on a local master; an error on a cluster, whose executors wouldn't see it."""
     context = df.sparkSession.sparkContext
     if not context.getConf().get("spark.checkpoint.dir", "") and context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spanloom-"))
     return df.checkpoint(eager=True)
 
 
+def _with_lowest(rows: DataFrame, n: int, with_self: bool) -> DataFrame:
+    """rows (u, v) with m, the smallest v of their u (or u itself).
+
+    Nodes of over max(256, n / 4096) of the n rows are at most 4096; those go by broadcast, so a hub's rows stay
+    where they are, and no other node has many rows in one task.
+    """
+    m = F.least("u", F.min("v")) if with_self else F.min("v")
+    low, most = rows.groupBy("u").agg(m.alias("m"), F.count("*").alias("n")), max(256, n // 4096)
+    hubs = F.broadcast(low.filter(F.col("n") > most).select("u", "m"))
+    others = rows.join(hubs.select("u"), "u", "left_anti").join(low.filter(F.col("n") <= most).select("u", "m"), "u")
+    return rows.join(hubs, "u").unionByName(others)
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for the nodes of edges (u, v); root is the smallest node reached.
 
@@ -31,10 +46,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         before = now
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = _with_lowest(both, 2 * now[0], True).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").unionByName(low.select("u", F.col("m").alias("v")))
+        small = _with_lowest(large, now[0], False).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").unionByName(low.select("u", F.col("m").alias("v")))
         stars = checkpoint(small.distinct())
     raise RuntimeError(f"components didn't settle in {most_rounds} rounds")
 
