@@ -16,11 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, one of our own on a local master, an error on a cluster."""
     there = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
     if there:
         return there
     if (own := spark.sparkContext.getCheckpointDir()) is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spanloom-"))
         own = spark.sparkContext.getCheckpointDir()
     return own
@@ -37,9 +39,31 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def small(df: DataFrame, most_rows: int = 200_000) -> DataFrame:
-    """df marked for broadcast if it has few rows, else as it is, so that Spark joins it by a shuffle.  df is to be cheap to count (a checkpoint)."""
-    return F.broadcast(df) if df.count() <= most_rows else df
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Each name, with underscores before it until df has no column of that name (upper and lower case are one)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """df's columns, whatever characters their names have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def small(df: DataFrame, most_rows: int = 200_000, most_bytes: int = 64 << 20) -> DataFrame:
+    """df marked for broadcast if it has few rows and bytes, else as it is, so that Spark joins it by a shuffle.  df is to be cheap to count (a checkpoint).
+
+    Bytes are the sums of what its strings, binaries, arrays and maps hold, and 8 for each other value.
+    """
+    wide = [F.length(F.to_json(F.struct(c))) if t.startswith(("array", "map", "struct")) else F.octet_length(c) if t in ("string", "binary") else F.lit(8) for c, t in df.dtypes]
+    size = sum((F.coalesce(w, F.lit(0)).cast("long") for w in wide), F.lit(0).cast("long"))
+    rows, data = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if rows <= most_rows and data <= most_bytes else df
 
 
 def kept(key: object, make: Callable[[], object]) -> object:

@@ -1,13 +1,17 @@
 """Embedding near-dedup by a pivot-permutation index.
 
-Reference points (pivots) are drawn from a bounded sample of the vectors.  A vector is described by its
-NEAREST pivots in order; inverted lists hold, for each pivot, the vectors that have it.  Two vectors of a
-list are compared where it is the first list that both are in, if they share at least SHARED pivots, and
-linked if their cosine in double precision reaches the threshold.  Lists are worked on in blocks, so a
-list of any length stays within memory and no pair is a row.  Exact copies are one class beforehand.
+Reference points (pivots) are drawn from a bounded sample of the vectors.  A vector is described by the
+prefix of its pivot permutation: its NEAREST pivots, nearest first.  Inverted lists are kept for pairs of
+pivots, so the vectors of a list share SHARED = 2 pivots at least; a list is short, since there are many
+pairs.  Two vectors are compared in one list only, that of the two smallest pivots they share, and linked
+if their cosine in double precision reaches the threshold.  Lists over a block are worked on in pairs of
+blocks, so a list of any length stays within memory and no pair is a row.  Exact copies are one class
+beforehand.
 
 Vectors are compared only within a label.  Vectors without label, and those that are null, empty, zero or
 hold null or non-finite components, link with nothing; vectors of different lengths aren't compared.
+Classes have numbers of their own, so different vectors of one id, or without id, are told apart.  Null ids
+are no smallest id: a component without any other id has the id null.
 """
 
 from __future__ import annotations
@@ -16,23 +20,29 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import checkpoint
 from .graphs import components, grouped, in_blocks, roots
 
 THRESHOLD = 0.98
-#: Pivots, how many describe a vector, how many two vectors must share, and vectors of the sample.
-PIVOTS, NEAREST, SHARED, SAMPLE = 256, 8, 2, 4096
+#: Pivots, length of the permutations' prefix, and vectors of the sample.
+PIVOTS, NEAREST, SAMPLE = 256, 5, 4096
 BLOCK = 512
+#: Rows of lists, and pairs, that are worked on at a time.
+ROWS, PAIRS = 8192, 1 << 18
 
 
 def _classes(vectors: DataFrame) -> DataFrame:
     """Every row with k1, k2: a hash of label and vector that exact copies share; null where it links with nothing."""
+    kind = vectors.schema["embedding"].dataType
+    plain = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)  # other numbers are compared as doubles
     e = F.col("embedding")
     good = F.col("label").isNotNull() & (F.size(e) > 0) & ~F.exists(e, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(e, lambda x: x != 0)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<float>").alias("embedding"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), e.cast("array<float>" if plain else "array<double>").alias("embedding"))
     return rows.withColumn("good", F.coalesce(good, F.lit(False))).select(
-        "vec_id", "label", F.when(F.col("good"), e).alias("embedding"), F.when(F.col("good"), F.xxhash64("label", "embedding")).alias("k1"), F.when(F.col("good"), F.xxhash64(F.lit(7), "embedding", "label")).alias("k2")
+        "vec_id", F.when(F.col("good"), F.xxhash64("label")).alias("label"), F.when(F.col("good"), e).alias("embedding"),
+        F.when(F.col("good"), F.xxhash64("label", "embedding")).alias("k1"), F.when(F.col("good"), F.xxhash64(F.lit(7), "embedding", "label")).alias("k2"),
     )
 
 
@@ -45,6 +55,7 @@ def choose_pivots(vectors: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE
         by_size.setdefault(len(r["embedding"]), []).append(r["embedding"])
     for n, vs in by_size.items():
         x = np.array(vs, float)
+        x = x / np.linalg.norm(x, axis=1)[:, None]
         x = x[rng.permutation(len(x))[:pivots]]
         if len(x) < pivots:  # few vectors: random directions fill up
             x = np.vstack([x, rng.standard_normal((pivots - len(x), n))])
@@ -55,80 +66,111 @@ def choose_pivots(vectors: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE
     return found
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    x = np.array(column.to_pylist(), float) if len(column) else np.zeros((0, 1))
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1; scaled by their largest component first, so that no square overflows or vanishes."""
+    x = x / np.abs(x).max(1)[:, None]
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
-def postings(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int = NEAREST) -> DataFrame:
-    """classes with `near`, the numbers of each vector's nearest pivots in order; lengths that the sample lacks get random pivots of that length."""
+def postings(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int = NEAREST, n_pivots: int = PIVOTS) -> DataFrame:
+    """(rep, label, copies, size, near, vector): the numbers of each vector's nearest pivots, nearest first, and its components as little-endian doubles or floats; lengths that the sample lacks get random pivots of that length."""
 
     def run(batches):
         for batch in batches:
-            vs = batch.column("embedding").to_pylist()
-            near: list = [None] * len(vs)
-            for n in {len(v) for v in vs}:
-                at = [k for k, v in enumerate(vs) if len(v) == n]
+            column = batch.column("embedding")
+            ends = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+            flat = column.flatten().to_numpy(zero_copy_only=False)
+            sizes, near, data = np.diff(ends), [None] * len(column), [None] * len(column)
+            for n in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == n)
                 p = pivots.get(n)
                 if p is None:
-                    p = np.random.default_rng(n).standard_normal((PIVOTS, n))
-                x = np.array([vs[k] for k in at], float)
-                s = (x / np.linalg.norm(x, axis=1)[:, None]) @ p.T
-                top = np.argsort(-s, axis=1, kind="stable")[:, :nearest]
-                for k, t in zip(at, top.tolist(), strict=True):
-                    near[k] = t
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.list_(pa.int32()))], names=[*batch.schema.names, "near"])
-
-    return classes.mapInArrow(run, "rep long, label long, copies long, embedding array<float>, size int, near array<int>")
-
-
-def _compare(threshold: float, shared: int, pivots: int):
-    def run(group: pa.Table) -> pa.RecordBatch | None:
-        pivot, i, j = (group.column(c)[0].as_py() for c in ("pivot", "i", "j"))
-        own = group.column("own").to_numpy()
-        ids, copies = group.column("rep").to_numpy(), group.column("copies").to_numpy()
-        x = _matrix(group.column("embedding"))
-        near = np.array(group.column("near").to_pylist())
-        has = np.zeros((len(ids), max(pivots, near.max() + 1)), np.float32)
-        has[np.arange(len(ids))[:, None], near] = 1
-        left = np.flatnonzero(own == i)
-        right = left if i == j else np.flatnonzero(own == j)
-        if not len(left) or not len(right):
-            return None
-        first = has[left, :pivot] @ has[right, :pivot].T == 0
-        enough = has[left] @ has[right].T >= shared
-        ok = first & enough & (x[left] @ x[right].T >= threshold)
-        if i == j:
-            ok = np.triu(ok, 1)
-        a, b = np.nonzero(ok)
-        if not len(a):
-            return None
-        a, b = left[a], right[b]
-        links = np.bincount(a, copies[b], len(ids)) + np.bincount(b, copies[a], len(ids))
-        root = roots(ids, a, b)
-        some = np.flatnonzero(links)
-        return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some].astype(np.int64)), pa.array(root[some])], names=["rep", "links", "root"])
+                    p = np.random.default_rng(n).standard_normal((n_pivots, n))
+                x = flat[ends[at][:, None] + np.arange(n)]
+                top = np.argsort(-(_unit(x.astype(float)) @ p.T), axis=1, kind="stable")[:, :nearest]
+                for k, t, v in zip(at.tolist(), top.tolist(), x, strict=True):
+                    near[k], data[k] = t, v.tobytes()
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("rep", "label", "copies")), pa.array(sizes.astype(np.int32)), pa.array(near, pa.list_(pa.int32())), pa.array(data, pa.binary())], names=["rep", "label", "copies", "size", "near", "vector"])
+
+    return classes.select("rep", "label", "copies", "embedding").mapInArrow(run, "rep long, label long, copies long, size int, near array<int>, vector binary")
+
+
+def _pairs(group: np.ndarray, own: np.ndarray, low: np.ndarray, high: np.ndarray):
+    """Parts of (left, right) positions of all pairs of each group, rows sorted by group and own: pairs of rows within a block (low = high), or of one row of either block."""
+    n = len(group)
+    last = np.searchsorted(group, group, "right")
+    right = np.searchsorted(group * 2 + (own == high), group * 2 + 1)  # where the second block begins
+    first = np.where(low == high, np.arange(n) + 1, np.where(own == low, right, last))
+    many = np.maximum(last - first, 0)
+    at = 0
+    after = np.cumsum(many)
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(after, (after[at - 1] if at else 0) + PAIRS, "right")))
+        m = many[at:to]
+        left = np.repeat(np.arange(at, to), m)
+        yield left, np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + first[left]
+        at = to
+
+
+def _compare(threshold: float, kind: str):
+    def run(table: pa.Table) -> pa.RecordBatch | None:
+        table = table.combine_chunks()
+        size = table.column("size").to_numpy()
+        parts = [_of_size(table.filter(pa.array(size == n)), int(n), threshold, kind) for n in np.unique(size)]
+        ids, links, root = map(np.concatenate, zip(*parts, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array(root)], names=["rep", "links", "root"]) if len(ids) else None
 
     return run
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, nearest: int = NEAREST, shared: int = SHARED, pivots: int = PIVOTS) -> DataFrame:
+def _of_size(table: pa.Table, n: int, threshold: float, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class, copies linked, smallest class reached) over all lists of the table."""
+    names = ("label", "p", "q", "i", "j", "own", "rep", "copies")
+    columns = {c: table.column(c).to_numpy() for c in names}
+    order = np.lexsort([columns[c] for c in ("rep", "own", "j", "i", "q", "p", "label")])
+    label, p, q, i, j, own, rep, copies = (columns[c][order] for c in names)
+    new = np.ones(len(rep), bool)
+    new[1:] = (np.diff(label) != 0) | (np.diff(p) != 0) | (np.diff(q) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
+    group = np.cumsum(new)
+    near = np.array(table.column("near").to_pylist(), np.int32)[order]
+    x = _unit(np.frombuffer(b"".join(table.column("vector").to_pylist()), kind).reshape(-1, n)[order].astype(float))
+    found_a, found_b = [], []
+    for a, b in _pairs(group, own, i, j):
+        # Counted in the list of the two smallest pivots that both have: of those up to q, only p and q.
+        some = (near[a] <= q[a][:, None])[:, :, None] & (near[a][:, :, None] == near[b][:, None, :])
+        here = np.flatnonzero(some.sum((1, 2)) == 2)
+        a, b = a[here], b[here]
+        ok = np.einsum("ij,ij->i", x[a], x[b]) >= threshold
+        found_a.append(a[ok])
+        found_b.append(b[ok])
+    a, b = np.concatenate(found_a or [np.zeros(0, int)]), np.concatenate(found_b or [np.zeros(0, int)])
+    ids, place = np.unique(rep, return_inverse=True)
+    links = np.bincount(place[a], copies[b], len(ids)) + np.bincount(place[b], copies[a], len(ids))
+    some = np.flatnonzero(links)
+    return ids[some], links[some].astype(np.int64), roots(ids, place[a], place[b])[some]
+
+
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, nearest: int = NEAREST, pivots: int = PIVOTS) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row; vectors: (vec_id, label, embedding)."""
     rows = checkpoint(_classes(vectors))
-    classes = rows.filter("k1 is not null").groupBy("k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
-    classes = checkpoint(classes)
-    found = choose_pivots(classes, pivots)
-    described = postings(classes.select("rep", "label", "copies", "embedding", F.size("embedding").alias("size")), found, nearest)
-    lists = checkpoint(described).withColumn("pivot", F.explode("near"))
-    blocks = in_blocks(lists, ["label", "size", "pivot"], "rep", BLOCK)
-    links = checkpoint(grouped(blocks, ["label", "size", "pivot", "i", "j"], _compare(threshold, shared, pivots), "rep long, links long, root long"))
+    classes = rows.filter("k1 is not null").groupBy("k1", "k2").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
+    classes = checkpoint(classes.withColumn("rep", F.monotonically_increasing_id()))
+    kind = "<f4" if dict(classes.dtypes)["embedding"] == "array<float>" else "<f8"
+    described = checkpoint(postings(classes, choose_pivots(classes, pivots), nearest, pivots))
+    near = F.array_sort("near")
+    pairs = F.flatten(F.transform(near, lambda a: F.transform(F.filter(near, lambda b: b > a), lambda b: F.struct(a.alias("p"), b.alias("q")))))
+    lists = described.select("rep", "label", "copies", "size", "near", "vector", F.explode(pairs).alias("key")).select("rep", "label", "copies", "size", "near", "vector", "key.p", "key.q")
+    blocks = in_blocks(lists, ["label", "size", "p", "q"], "rep", BLOCK)
+    links = checkpoint(grouped(blocks, ["label", "size", "p", "q", "i", "j"], _compare(threshold, kind), "rep long, links long, root long", ROWS))
     root = components(links.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     counts = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    by_class = classes.select("k1", "k2", "rep", "copies").join(counts, "rep", "left").join(root, F.col("rep") == F.col("node"), "left")
-    by_class = by_class.select("k1", "k2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
-    out = rows.select("vec_id", "k1", "k2").join(by_class, ["k1", "k2"], "left")
-    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    linked = checkpoint(root.join(classes.select("rep", "first"), F.col("rep") == F.col("node")).select("rep", "root", "first"))
+    low = linked.join(linked.groupBy("root").agg(F.min("first").alias("low")), "root").select("rep", "low")
+    by_class = classes.select("k1", "k2", "rep", "first", "copies").join(counts, "rep", "left").join(low, "rep", "left")
+    by_class = by_class.select("k1", "k2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("low", "first").alias("component_id"))
+    alone = rows.filter("k1 is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    out = alone.unionByName(rows.filter("k1 is not null").select("vec_id", "k1", "k2").join(by_class, ["k1", "k2"]).select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id"))
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def op9(embeddings: DataFrame) -> DataFrame:

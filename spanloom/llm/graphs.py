@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
+from .common import checkpoint, small
 
 __all__ = ["BLOCK", "components", "grouped", "in_blocks", "roots"]
 
@@ -17,14 +18,17 @@ __all__ = ["BLOCK", "components", "grouped", "in_blocks", "roots"]
 BLOCK = 256
 
 
-def in_blocks(members: DataFrame, keys: list[str], row: str, block: int = BLOCK) -> DataFrame:
+def in_blocks(members: DataFrame, keys: list[str], row: str, block: int = BLOCK, weight: str | None = None, most: int = 16 << 20) -> DataFrame:
     """members once for each pair of blocks (i <= j) of its group that it takes part in, with the number of blocks.
 
-    A group of n rows has ceil(n / block) blocks, dealt by a hash of `row`; each row is repeated once per
-    block of its group, so rows grow as n * n / block, and no pair is ever a row.
+    A group of n rows has ceil(n / block) blocks, or as many as keep the sum of `weight` near `most` for each if
+    those are more, dealt by a hash of `row`; each row is repeated once per block of its group, so rows grow as
+    n * n / block, and no pair is ever a row.
     """
-    sizes = members.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).filter(F.col("blocks") > 1)
-    same = sizes.withColumnsRenamed({k: f"{k}_" for k in keys})
+    n = F.ceil(F.count("*") / block)
+    n = F.greatest(n, F.ceil(F.sum(weight) / most)) if weight else n
+    sizes = members.groupBy(*keys).agg(n.cast("int").alias("blocks")).filter(F.col("blocks") > 1)
+    same = small(checkpoint(sizes)).withColumnsRenamed({k: f"{k}_" for k in keys})
     on = [F.col(k) == F.col(f"{k}_") for k in keys]
     dealt = members.join(same, on, "left").drop(*[f"{k}_" for k in keys])
     dealt = dealt.withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64(row), F.col("blocks")).cast("int"))
@@ -32,12 +36,13 @@ def in_blocks(members: DataFrame, keys: list[str], row: str, block: int = BLOCK)
     return other.select(*members.columns, "blocks", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
 
-def grouped(df: DataFrame, keys: list[str], run: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """run for the rows of each value of the integer keys; groups follow one another in a partition, one is in memory at a time."""
+def grouped(df: DataFrame, keys: list[str], run: Callable[[pa.Table], pa.RecordBatch | None], schema: str, least_rows: int = 0) -> DataFrame:
+    """run for the rows of each value of the integer keys; groups follow one another in a partition.  One group is in memory at a time, or as many whole groups as it takes to reach least_rows."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         last: tuple | None = None
+        n = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -48,12 +53,13 @@ def grouped(df: DataFrame, keys: list[str], run: Callable[[pa.Table], pa.RecordB
             cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 now = tuple(c[a] for c in columns)
-                if held and now != last:
+                if held and now != last and n >= least_rows:
                     if (out := run(pa.Table.from_batches(held))) is not None:
                         yield out
-                    held = []
+                    held, n = [], 0
                 last = now
                 held.append(batch.slice(a, b - a))
+                n += b - a
         if held and (out := run(pa.Table.from_batches(held))) is not None:
             yield out
 

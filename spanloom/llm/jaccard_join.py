@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import checkpoint, small, text_of
-from .graphs import components, grouped, in_blocks, roots
+from .common import checkpoint, free_names, own_columns, small, text_of
+from .graphs import BLOCK, components, grouped, in_blocks, roots
 
 SHINGLE, THRESHOLD = 5, 0.8
 ROWS, BANDS = 5, 32
@@ -70,7 +70,7 @@ def sets(w: shingles.Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def signatures(rows: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, h, k1, k2, bands, sig) of (doc_id, h, text)."""
+    """(doc_id, h, k1, k2, bands, sig, bytes) of (doc_id, h, text)."""
     factors = seeds(ROWS * BANDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,12 +91,12 @@ def signatures(rows: DataFrame, k: int = SHINGLE) -> DataFrame:
                 has = np.diff(first) > 0
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * BANDS)]).astype(np.int32)), pa.array(bands[has].ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), pa.array(k1.astype(np.int64)), pa.array(k2.astype(np.int64)), lists, pa.array([s.tobytes() for s in sig], pa.binary())],
-                    names=["doc_id", "h", "k1", "k2", "bands", "sig"],
+                    [batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), pa.array(k1.astype(np.int64)), pa.array(k2.astype(np.int64)), lists, pa.array([s.tobytes() for s in sig], pa.binary()), pa.array(np.diff(np.frombuffer(texts.buffers()[1], np.int64)[: len(texts) + 1]))],
+                    names=["doc_id", "h", "k1", "k2", "bands", "sig", "bytes"],
                 )
                 at += len(texts)
 
-    return rows.mapInArrow(run, "doc_id long, h long, k1 long, k2 long, bands array<long>, sig binary")
+    return rows.mapInArrow(run, "doc_id long, h long, k1 long, k2 long, bands array<long>, sig binary, bytes long")
 
 
 def surviving(sig: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
@@ -174,15 +174,14 @@ def join(documents: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD, t
     classes = signed.groupBy("k1", "k2").agg(first, F.count("*").alias("copies")).select("k1", "k2", "first", "copies", F.monotonically_increasing_id().alias("rep"))
     classes = checkpoint(classes)
     one = signed.join(classes, ["k1", "k2"]).filter((F.col("doc_id") == F.col("first.doc_id")) & (F.col("h") == F.col("first.h")))
-    one = checkpoint(one.select("rep", F.col("first.doc_id").alias("rep_id"), F.col("first.h").alias("rep_h"), "copies", "bands", "sig").dropDuplicates(["rep"]))
+    one = checkpoint(one.select("rep", F.col("first.doc_id").alias("rep_id"), F.col("first.h").alias("rep_h"), "copies", "bands", "sig", "bytes").dropDuplicates(["rep"]))
     keys = one.select("rep", F.explode("bands").alias("band"))
     lowest = keys.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high").select("band", "low")
     edges = keys.join(lowest, "band").select(F.col("rep").alias("u"), F.col("low").alias("v"))
     groups = components(edges)
-    members = checkpoint(one.join(groups, F.col("rep") == F.col("node")).select(F.col("root").alias("group"), "rep", "rep_id", "rep_h", "copies", "sig"))
-    where = small(members.select("group", "rep", "rep_id", "rep_h", "copies", "sig"), 50_000)
-    texts = rows.join(where, (F.col("doc_id") == F.col("rep_id")) & (F.col("h") == F.col("rep_h"))).select("group", "rep", "copies", "sig", "text")
-    blocks = in_blocks(texts, ["group"], "rep")
+    members = checkpoint(one.join(groups, F.col("rep") == F.col("node")).select(F.col("root").alias("group"), "rep", "rep_id", "rep_h", "copies", "sig", "bytes"))
+    where = small(in_blocks(members, ["group"], "rep", BLOCK, "bytes"))
+    blocks = rows.join(where, (F.col("doc_id") == F.col("rep_id")) & (F.col("h") == F.col("rep_h"))).select("group", "i", "j", "own", "rep", "copies", "sig", "text")
     links = checkpoint(grouped(blocks, ["group", "i", "j"], _compare(k, threshold, tolerance), "rep long, links long, root long"))
     root = components(links.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     counts = links.groupBy("rep").agg(F.sum("links").alias("links"))
@@ -202,16 +201,16 @@ def op3(documents: DataFrame) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame, **limits) -> DataFrame:
-    """documents without those that link to a smaller one: of each class the row of the smallest id stays (of several texts of that id, one), and of rows equal in id and text one."""
+    """documents without those that link to a smaller one: of each class the row of the smallest id stays (of several texts of that id, one), and of rows equal in id and text one.  Other columns stay as they are, whatever their names."""
     linked = join(documents, **limits)
     same = checkpoint(linked.groupBy("doc_id", "h").agg(F.count("*").alias("n"), F.min("class_id").alias("class_id"), F.min("class_h").alias("class_h")))
     gone = small(checkpoint(same.filter((F.col("doc_id") != F.col("class_id")) | (F.col("h") != F.col("class_h"))).select("doc_id", "h")))
-    key = (F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)) == F.col("d")) & (F.xxhash64(text_of()) == F.col("dh"))
-    kept = documents.join(gone.select(F.col("doc_id").alias("d"), F.col("h").alias("dh")), key, "left_anti")
+    ident, d, dh = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)), *free_names(documents, "d", "dh")
+    key = (ident == F.col(d)) & (F.xxhash64(text_of()) == F.col(dh))
+    kept = documents.join(gone.select(F.col("doc_id").alias(d), F.col("h").alias(dh)), key, "left_anti")
     if same.filter("n > 1").isEmpty():
         return kept
-    again = kept.withColumn("t_d", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL))).withColumn("t_h", F.xxhash64(text_of()))
-    return again.dropDuplicates(["t_d", "t_h"]).select(documents.columns)
+    return kept.withColumn(d, ident).withColumn(dh, F.xxhash64(text_of())).dropDuplicates([d, dh]).select(own_columns(documents))
 
 
 #: All pairs that share a shingle, compared by plain counting.

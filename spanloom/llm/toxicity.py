@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import shingles
-from .common import kept, text_of
+from .common import free_names, kept, own_columns, text_of
 
 MOST_TOXIC, MOST_ORDINARY = 1500, 3000
 #: Letters of the runs that are counted; least share of toxic texts, log ratio and G statistic of a distinctive run.
@@ -210,21 +210,20 @@ def scores(texts: pa.Array, model: Model) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """documents' columns with `toxic_score`."""
+def score(documents: DataFrame, model: Model, name: str = "toxic_score") -> DataFrame:
+    """documents' columns with one more of that name, which documents may not have."""
     columns = documents.columns
-    rows = documents.select("*", text_of().alias("t_text"))
+    rows = documents.select(*own_columns(documents), text_of().alias(free_names(documents, "t_text")[0]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
             for texts in shingles.slices(batch.column(batch.num_columns - 1)):
                 own = batch.slice(at, len(texts)).columns[:-1]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(scores(texts, model))], names=[*columns, "toxic_score"])
+                yield pa.RecordBatch.from_arrays([*own, pa.array(scores(texts, model))], names=[*columns, name])
                 at += len(texts)
 
-    schema = T.StructType([*documents.schema.fields, T.StructField("toxic_score", T.DoubleType())])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def op8(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -236,6 +235,7 @@ def op8(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
-    """documents that aren't predicted toxic; the model is trained on `labelled` documents, these by default."""
+    """documents that aren't predicted toxic; the model is trained on `labelled` documents, these by default.  Other columns stay as they are, whatever their names."""
     model = train(*training_texts(documents if labelled is None else labelled, labels))
-    return score(documents, model).filter(F.col("toxic_score") < PREDICT).select(documents.columns)
+    (name,) = free_names(documents, "toxic_score")
+    return score(documents, model, name).filter(F.col(name) < PREDICT).select(own_columns(documents))

@@ -104,7 +104,7 @@ def brute_links(texts):
 
 @pytest.mark.parametrize("block", [256, 7])
 def test_jaccard_join(documents, empty, texts, block, monkeypatch):
-    monkeypatch.setattr(jaccard_join.in_blocks, "__defaults__", (block,))
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
     got = sorted((r.doc_id if r.doc_id is not None else -1, r.class_id if r.class_id is not None else -1, r.n_links) for r in jaccard_join.op3(documents).collect())
     assert got == brute_links(texts)
     if block == 256:
@@ -317,6 +317,34 @@ def test_embeddings(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("vec_id", [None, 4])
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_embeddings_of_one_id(spark, vec_id, kind):
+    """Different vectors of one id, or without one, are told apart; labels may be text."""
+    x, y = np.eye(16)[0], np.eye(16)[1]
+    rows = [(vec_id, x), (vec_id, y), (5, y + 0.05 * x), (6, x + 0.05 * y), (7, x + y), (8, 3e30 * (x + y))]
+    df = spark.createDataFrame([(i, [float(a) for a in v], "label") for i, v in rows], f"vec_id long, embedding array<{kind}>, label string")
+    got = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in embedding_dedup.near_duplicates(df).collect())
+    low = {5: vec_id or 5, 6: vec_id or 6}
+    assert got == sorted([(vec_id or 0, 1, vec_id or 5, vec_id is not None), (vec_id or 0, 1, vec_id or 6, vec_id is not None), (5, 1, low[5], vec_id is None), (6, 1, low[6], vec_id is None), (7, 1, 7, True), (8, 1, 7, False)])
+
+
+@pytest.mark.parametrize("block", [512, 5])
+def test_embeddings_in_blocks(spark, block, monkeypatch):
+    """A list of any length is compared whole, whatever the size of its blocks."""
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    monkeypatch.setattr(embedding_dedup, "ROWS", 40)
+    monkeypatch.setattr(embedding_dedup, "PAIRS", 100)
+    rng = np.random.default_rng(8)
+    vs = np.repeat(rng.standard_normal((3, 24)), 40, 0) + rng.standard_normal((120, 24)) * 0.09
+    df = spark.createDataFrame([(k, [float(a) for a in v], k % 2) for k, v in enumerate(vs)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df).collect()}
+    unit = vs / np.linalg.norm(vs, axis=1)[:, None]
+    near = (unit @ unit.T >= 0.98) & (np.arange(120)[:, None] % 2 == np.arange(120) % 2)
+    want = near.sum(1) - 1
+    assert all(got[k] <= want[k] for k in got) and sum(got.values()) >= 0.98 * want.sum() > 500
+
+
 def luhn(s):
     return sum(x - 9 * (x > 9) for x in (int(c) * (1 + k % 2) for k, c in enumerate(reversed(s)))) % 10 == 0
 
