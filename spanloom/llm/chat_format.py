@@ -1,19 +1,23 @@
 """Chat formatting: layouts are told apart by a hash of their nested field paths, which selects a declarative mapping into canonical turns.
 
 A *layout* is the set of field paths that a record has, out of all paths that any mapping names; unknown
-fields don't count, so extra columns change nothing.  Its fingerprint is the SHA-256 of the sorted paths.
+fields don't count.  Its fingerprint is the SHA-256 of the sorted paths, and selects the mapping of just these
+paths; if there is none, the mapping of most paths (then the first listed) that are all there, so extra fields
+with names of other mappings change nothing.  A path is there by its key: a null value counts.
 A mapping lists, for each turn it makes, a role and the path of its text, or names an array of messages.
 
 Canonical turns are formatted with marks for each turn; marks (and those of other common templates) that
 occur inside texts are escaped reversibly.  All steps are Spark expressions.
 
 Nulls: a null role or text is the empty string, a null turn sorts first, null conversation ids form one
-conversation, records without a mapping give no turns.  Ties of a turn number are ordered by role and text.
+conversation, records without a mapping give no turns (`unmapped_json` lists them with their fingerprints).  A
+text that is no string is its JSON.  Ties of a turn number are ordered by role and text.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +29,7 @@ from pyspark.sql import types as T
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_sep|>", "<|im_end|>", "<|endoftext|>")
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 #: Between the first character of a control string and its rest.
-_INSIDE = r"(?<=[<\[])(?=/?s>|/?INST\]|</?SYS>>|\|im_start\|>|\|im_sep\|>|\|im_end\|>|\|endoftext\|>)"
+_INSIDE = r"(?<=<)(?=/?s>|</?SYS>>|\|im_start\|>|\|im_sep\|>|\|im_end\|>|\|endoftext\|>)|(?<=\[)(?=/?INST\])"
 
 #: name: fields, and either turns (role, path) or messages (array, role field, text field), or rows (id, order, role, text).
 MAPPINGS: dict[str, dict] = {
@@ -69,12 +73,18 @@ UNIVERSE = sorted({p for m in MAPPINGS.values() for p in mapping_paths(m)})
 BY_FINGERPRINT = {fingerprint(mapping_paths(m)): name for name, m in MAPPINGS.items()}
 
 
+#: Names by falling number of paths, then in the order of the list.
+BY_SIZE = sorted(MAPPINGS, key=lambda name: -len(mapping_paths(MAPPINGS[name])))
+
+
 def select_mapping(df: DataFrame) -> str:
     """The name of the mapping for a table's layout; ValueError if there is none."""
-    print_ = fingerprint([p for p in field_paths(df.schema) if p in set(UNIVERSE)])
-    if print_ not in BY_FINGERPRINT:
+    paths = {p for p in field_paths(df.schema) if p in set(UNIVERSE)}
+    print_ = fingerprint(list(paths))
+    name = BY_FINGERPRINT.get(print_) or next((n for n in BY_SIZE if paths.issuperset(mapping_paths(MAPPINGS[n]))), None)
+    if name is None:
         raise ValueError(f"no mapping for the layout {print_}")
-    return BY_FINGERPRINT[print_]
+    return name
 
 
 def escape(text: Column) -> Column:
@@ -118,24 +128,58 @@ def canonical_turns(df: DataFrame) -> DataFrame:
     return df.select("record", F.posexplode(turns).alias("turn", "t")).select("record", F.col("turn").cast("long").alias("turn"), "t.role", "t.text")
 
 
-def canonical_turns_json(df: DataFrame, record: str, json: str) -> DataFrame:
+def _get(v: Column, path: str, kind: str = "variant") -> Column:
+    return F.try_variant_get(v, f"$.{path}", kind)
+
+
+def _json_text(v: Column, path: str) -> Column:
+    """A field as text: strings as they are, null as null, all else as its JSON."""
+    return F.when(~F.is_variant_null(_get(v, path)), F.coalesce(_get(v, path, "string"), F.to_json(_get(v, path))))
+
+
+def _layouts(df: DataFrame, record: str, column: str) -> DataFrame:
+    """(record, v, paths, print) of each record: its own nested paths, from all elements of its arrays, and their hash."""
+    def has(path: str) -> Column:
+        if "[]." not in path:
+            return _get(F.col("v"), path).isNotNull()
+        array, field = path.split("[].")
+        return F.exists(_get(F.col("v"), array, "array<variant>"), lambda x: _get(x, field).isNotNull())
+
+    rows = df.select(F.col(record).alias("record"), F.try_parse_json(F.col(column)).alias("v"))
+    rows = rows.withColumn("paths", F.array_compact(F.array(*[F.when(has(p), F.lit(p)) for p in UNIVERSE])))
+    return rows.withColumn("print", F.sha2(F.concat_ws("\n", "paths"), 256))
+
+
+def _mapping_of(paths: Column, print_: Column) -> Column:
+    """The name of the mapping, looked up by the fingerprint; null if there is none."""
+    known = F.try_element_at(F.create_map(*[F.lit(x) for pair in BY_FINGERPRINT.items() for x in pair]), print_)
+    fits = [F.when(F.size(F.array_except(F.array(*map(F.lit, mapping_paths(MAPPINGS[n]))), paths)) == 0, F.lit(n)) for n in BY_SIZE]
+    return F.coalesce(known, *fits)
+
+
+def canonical_turns_json(df: DataFrame, record: str, column: str) -> DataFrame:
     """The same for records of mixed layouts in a JSON column: each row's own paths are hashed, and its mapping is looked up by that hash."""
-    v = F.try_parse_json(F.col(json))
-    get = lambda path, kind="string": F.try_variant_get(F.col("v"), f"$.{path}", kind)
-    has = [F.when(get(p.replace("[]", "[0]")).isNotNull(), F.lit(p)) for p in UNIVERSE]
-    keyed = df.select(F.col(record).alias("record"), v.alias("v")).withColumn("print", F.sha2(F.concat_ws("\n", *has), 256))
-    turns = F.lit(None).cast("array<struct<role:string,text:string>>")
-    for print_, name in BY_FINGERPRINT.items():
-        mapping = MAPPINGS[name]
+    rows, v = _layouts(df, record, column).withColumn("mapping", _mapping_of(F.col("paths"), F.col("print"))), F.col("v")
+    turns = F.lit(None).cast("array<struct<turn:long,role:string,text:string>>")
+    turn = lambda k, role, text: F.struct(k.cast("long").alias("turn"), *(_text(c).alias(n) for n, c in (("role", role), ("text", text))))
+    message = lambda role, text: lambda m, k: turn(k, _canonical_role(_json_text(m, role)), _json_text(m, text))
+    for name, mapping in MAPPINGS.items():
         if "messages" in mapping:
             array, role, text = mapping["messages"]
-            made = _message_turns(get(array, f"array<struct<`{role}`:string,`{text}`:string>>"), role, text)
+            made = F.transform(_get(v, array, "array<variant>"), message(role, text))
         elif "turns" in mapping:
-            made = F.array(*[_turn(F.lit(role), get(path)) for role, path in mapping["turns"]])
+            made = F.array(*[turn(F.lit(k), F.lit(role), _json_text(v, path)) for k, (role, path) in enumerate(mapping["turns"])])
         else:
-            made = F.array(_turn(get("role"), get("text")))
-        turns = F.when(F.col("print") == print_, made).otherwise(turns)
-    return keyed.select("record", F.posexplode(turns).alias("turn", "t")).select("record", F.col("turn").cast("long").alias("turn"), "t.role", "t.text")
+            _, order, role, text = mapping["rows"]
+            made = F.array(turn(_get(v, order, "long"), _canonical_role(_json_text(v, role)), _json_text(v, text)))
+        turns = F.when(F.col("mapping") == name, made).otherwise(turns)
+    return rows.select("record", F.explode(turns).alias("t")).select("record", "t.*")
+
+
+def unmapped_json(df: DataFrame, record: str, column: str) -> DataFrame:
+    """(record, paths, print) of the records that no mapping fits, among them those that are no JSON."""
+    rows = _layouts(df, record, column)
+    return rows.filter(_mapping_of(F.col("paths"), F.col("print")).isNull()).select("record", "paths", "print")
 
 
 def format_turns(turns: DataFrame) -> DataFrame:
@@ -188,10 +232,12 @@ def digest(formatted: DataFrame) -> DataFrame:
 
 
 def op2(conversations: DataFrame) -> DataFrame:
-    """The query: all conversations and conversation -7, whose texts hold control strings."""
-    own = conversations.sparkSession.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
-    rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
-    return digest(format_turns(canonical_turns(rows.unionByName(own))))
+    """The query: all conversations, whose layout is a table of turns, and conversation -7, a JSON record of messages whose texts hold control strings."""
+    text = "</s>[INST] ok [/INST]"
+    record = json.dumps({"messages": [{"role": "user", "content": text}, {"role": "assistant", "content": text}]})
+    own = canonical_turns_json(conversations.sparkSession.createDataFrame([(-7, record)], "record long, json string"), "record", "json")
+    rows = canonical_turns(conversations).withColumn("record", F.col("record").cast("long"))
+    return digest(format_turns(rows.unionByName(own)))
 
 
 #: The same from the table alone; formatted_chars follows from the template's lengths.

@@ -4,7 +4,7 @@ Template texts and base phrases are lists of words.  Every rolling k-gram of a d
 to the k-grams of the templates; a hit votes for the diagonal (word position minus template position).
 Votes are summed by document, template and diagonal; diagonals at most MERGE apart are merged into one
 span, since inserted or missing words shift the diagonal; spans are verified by the share of the
-template's k-grams they hold.  Of spans that overlap, of templates that share a k-gram, the one that
+template's k-grams they hold, each place of the template counted once.  Of spans that overlap, of templates that share a k-gram, the one that
 holds more k-grams hides the other.  A base phrase counts where one diagonal holds all its k-grams.
 
 The join compares the words of a k-gram, so votes are exact.  The templates are
@@ -88,7 +88,8 @@ def hits(documents: DataFrame, k: int = K) -> DataFrame:
     """(doc_id, h, n_words, hits): of each text its number of words and the k-grams whose hash some template has, as (pos, words).
 
     Words and rolling hashes are made for whole Arrow batches; a k-gram whose hash no template has can't
-    find a partner in the join, so it doesn't leave the batch.
+    find a partner in the join, so this filter drops it before it leaves the batch, and the join then tells
+    k-grams of equal hashes apart by their words and finds their template positions.
     """
     wanted = _gram_hash([*BASE, *(text for _, text in TEMPLATES)], k)
     seen = np.zeros(1 << 16, bool)
@@ -122,13 +123,16 @@ def votes(found: DataFrame, k: int = K) -> DataFrame:
 def spans(found: DataFrame, merge: int = MERGE, min_share: float = MIN_SHARE) -> DataFrame:
     """(doc_id, h, label, base, first, share) of verified spans."""
     key = ["doc_id", "h", "t", "label", "base", "n_grams"]
-    diagonal = found.groupBy(*key, (F.col("pos") - F.col("t_pos")).alias("diagonal")).agg(F.count("*").alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high"))
+    # The template's places that were met, as bits of one or more integers.
+    masks = [f"m{k}" for k in range(1 + max(len(template_words(t)) for t in [*BASE, *(text for _, text in TEMPLATES)]) // 62)]
+    bit = [F.bit_or(F.when(F.floor(F.col("t_pos") / 62) == k, F.expr("shiftleft(1L, t_pos % 62)")).otherwise(0)).alias(m) for k, m in enumerate(masks)]
+    diagonal = found.groupBy(*key, (F.col("pos") - F.col("t_pos")).alias("diagonal")).agg(F.count("*").alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high"), *bit)
     base = diagonal.filter(F.col("base") & (F.col("n") == F.col("n_grams"))).select("doc_id", "h", "label", "base", F.col("diagonal").alias("first"), F.lit(1.0).alias("share"))
     order = W.partitionBy(*key).orderBy("diagonal")
     new = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(order) > merge).cast("int"), F.lit(1))
     merged = diagonal.filter(~F.col("base")).withColumn("new", new).withColumn("run", F.sum("new").over(order))
-    merged = merged.groupBy(*key, "run").agg(F.sum("n").alias("n"), F.min("low").alias("first"), F.max("high").alias("last"))
-    merged = merged.withColumn("held", F.least("n", "n_grams")).withColumn("share", F.col("held") / F.col("n_grams")).filter(F.col("share") >= min_share)
+    merged = merged.groupBy(*key, "run").agg(*[F.bit_or(m).alias(m) for m in masks], F.min("low").alias("first"), F.max("high").alias("last"))
+    merged = merged.withColumn("held", sum((F.bit_count(m) for m in masks), F.lit(0)).cast("long")).withColumn("share", F.col("held") / F.col("n_grams")).filter(F.col("share") >= min_share)
     merged = checkpoint(merged.select("doc_id", "h", "t", "run", "label", "base", "first", "last", "held", "share"))
     # A span's k-grams begin at its words first to last, so it reaches to the word last + K - 1; it is met in each stretch of words it touches.
     stretch = F.explode(F.sequence(F.floor(F.col("first") / STRETCH), F.floor((F.col("last") + K - 1) / STRETCH)))

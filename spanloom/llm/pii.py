@@ -1,14 +1,17 @@
 """PII: base patterns, then information-theoretic sanitisation of the words that come with them.
 
-Every e-mail address, IP address, card number and phone number found is a protected entity.  The words of
-the texts that hold an entity are terms; over the whole corpus, the pointwise mutual information of term and
-entity, as a share of the entity's own information, says how strongly the term discloses it (1: it gives
-the entity away).  Terms at or over a threshold are generalised, at or over a higher one removed, wherever
-they stand in a text that holds the entity.  Entities, terms and pairs are counted over distinct texts, so
-copies of a text change nothing.
+Every e-mail address, IP address, card number and phone number found is a protected entity, and so is each
+kind of them: most single entities are in one text, where nothing can be estimated, but a word can also give
+away that a text holds an address or a number.  The words of the texts that hold an entity are terms; over the
+whole corpus, the pointwise mutual information of term and entity, as a share of the entity's own information,
+says how strongly the term discloses it (1: it gives the entity away).  Terms at or over a threshold are
+generalised, at or over a higher one removed, wherever they stand in a text that holds the entity.  Entities,
+terms and pairs are all counted over distinct texts, so copies of a text change nothing.
 
 Patterns are written so that no scan is quadratic and no group recurses; they find what the base patterns
-find.  Null texts are empty.  Rows of equal doc_id and text get the same result each.
+find.  Null texts are empty.  Rows of equal doc_id and text get the same result each.  Of overlapping spans all
+are reported; sanitising replaces them as one, named after the first (by start, then kind).  A table without
+entities, or without rows, has no terms.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, small, text_of
+from .common import checkpoint, own_columns, small, text_of
 
 KINDS = ("email", "ip", "card", "phone", "term")
 # Start of a run, or just after the last match, so that no start inside a run is tried again.
@@ -41,11 +44,20 @@ def find_spans(text: Column, pattern: str, keep: Callable[[Column], Column] = la
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern), lambda p: F.char_length(p))
     pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(gaps) - 1), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
+    # Places are summed up in chunks of some sqrt(n), so that a text of very many matches doesn't cost their square.
+    width = F.greatest(F.lit(32), F.ceil(F.sqrt(F.size(found))).cast("int"))
+    chunks = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(found) / width).cast("int") - 1)), lambda k: F.slice(pairs, k * width + 1, width))
+    size = lambda x: x["gap"] + F.char_length(x["value"])
+    starts = F.aggregate(
+        F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + size(x))),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+        lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
+        lambda s: s["out"],
+    )
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    at, end = lambda s, x: s["at"] + x["gap"], lambda s, x: s["at"] + x["gap"] + F.char_length(x["value"])
-    span = lambda s, x: F.struct(at(s, x).alias("start"), end(s, x).alias("end"), x["value"].alias("value"))
-    step = lambda s, x: F.struct(end(s, x).alias("at"), F.when(keep(x["value"]), F.concat(s["out"], F.array(span(s, x)))).otherwise(s["out"]).alias("out"))
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
+    span = lambda s, x: F.struct((s["at"] + x["gap"]).alias("start"), (s["at"] + size(x)).alias("end"), x["value"].alias("value"))
+    step = lambda s, x: F.struct((s["at"] + size(x)).alias("at"), F.when(keep(x["value"]), F.concat(s["out"], F.array(span(s, x)))).otherwise(s["out"]).alias("out"))
+    return F.flatten(F.zip_with(chunks, starts, lambda c, at: F.aggregate(c, F.struct(at.alias("at"), none.alias("out")), step, lambda s: s["out"])))
 
 
 def _luhn(digits: Column) -> Column:
@@ -89,12 +101,14 @@ def words_of(text: Column) -> Column:
 
 
 def holders(spans: DataFrame, min_support: int = MIN_SUPPORT) -> DataFrame:
-    """(h, entity, n_entity): the distinct texts of each entity that is in enough of them to have a term."""
-    kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("s.kind") + 1)
-    rows = spans.filter(F.size("base") > 0).select("h", F.explode("base").alias("s")).select("h", F.concat(kind, F.lit(":"), "s.value").alias("entity")).distinct()
-    rows = checkpoint(rows)
-    n = rows.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= min_support)
-    return checkpoint(rows.join(n, "entity").select("h", "entity", "n_entity"))
+    """(h, entity, n_entity): the distinct texts of each entity and kind of entity that is in enough of them to have a term."""
+    name = lambda s: F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1)
+    each = F.array_distinct(F.concat(F.transform("base", lambda s: F.struct(name(s).alias("kind"), s["value"].alias("value"))), F.transform("base", lambda s: F.struct(name(s).alias("kind"), F.lit(None).cast("string").alias("value")))))
+    rows = checkpoint(spans.filter(F.size("base") > 0).select("h", F.explode(each).alias("e")).select("h", "e.kind", "e.value").distinct())
+    values, kinds = rows.filter("value is not null").select("h", F.concat_ws(":", "kind", "value").alias("entity")), rows.filter("value is null").select("h", F.col("kind").alias("entity"))
+    n = lambda df: df.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= min_support)
+    held = values.join(n(values), "entity").unionByName(kinds.join(F.broadcast(n(kinds)), "entity"))  # four kinds at most
+    return checkpoint(held.select("h", "entity", "n_entity"))
 
 
 def _share(total: int, n_both: str, n_entity: str, n_term: str) -> Column:
@@ -104,27 +118,25 @@ def _share(total: int, n_both: str, n_entity: str, n_term: str) -> Column:
     return F.log2(F.col(n_both) * n / (F.col(n_entity) * F.greatest(n_term, n_both))) / own
 
 
-def disclosure(held: DataFrame, documents: DataFrame, min_support: int = MIN_SUPPORT, generalise: float = GENERALISE) -> DataFrame:
-    """(h, term, share): of each text of an entity (held) its disclosing terms with the highest share.  documents are (h, text).
+def disclosure(spans: DataFrame, documents: DataFrame, min_support: int = MIN_SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+    """(h, term, share): of each text with entities its disclosing terms with the highest share.  spans are (h, base, words), documents (h, text).
 
     A term is in at least as many texts as there are texts with it and an entity, and its share for an entity of
     n texts is at most that of a term that is in all of them.  Terms whose share would be too low even so (common
     words) are out before texts are read again, and again before pairs are made.
     """
-    sizes = checkpoint(documents.groupBy("h").agg(F.count("*").alias("copies")))
+    held = holders(spans, min_support)
+    sizes = checkpoint(spans.groupBy("h").agg(F.count("*").alias("copies")))
     total, copies = sizes.count(), small(checkpoint(sizes.filter("copies > 1")))
     each = small(checkpoint(held.groupBy("h").agg(F.max("n_entity").alias("most"))))
-    words = documents.join(each, "h").select("h", "most", F.explode(words_of(F.col("text"))).alias("term")).distinct()
-    words = checkpoint(words)
+    own = spans.filter("words is not null").dropDuplicates(["h"])
+    words = checkpoint(own.join(each, "h").select("h", "most", F.explode("words").alias("term")))
     able = lambda n_term: _share(total, "most", "most", n_term) >= generalise
     terms = words.groupBy("term").agg(F.count("*").alias("n_least"), F.max("most").alias("most")).filter((F.col("n_least") >= min_support) & able("n_least"))
-    terms = checkpoint(terms.select("term", "most"))
+    terms = small(checkpoint(terms.select("term", "most")))
     # Each copy of a text counts as its part of one text, so that counts are summed where texts are read.
     every = documents.join(copies, "h", "left").select((1 / F.coalesce("copies", F.lit(1))).alias("part"), F.explode(words_of(F.col("text"))).alias("term"))
-    if terms.count() <= 200_000:
-        terms = F.broadcast(terms)
-        every = every.join(terms, "term", "left_semi")
-    df = every.groupBy("term").agg(F.round(F.sum("part")).cast("long").alias("n_term"))
+    df = every.join(terms.select("term"), "term", "left_semi").groupBy("term").agg(F.round(F.sum("part")).cast("long").alias("n_term"))
     df = small(checkpoint(df.join(terms, "term").filter(able("n_term")).select("term", "n_term")))
     both = held.join(words.select("h", "term").join(df, "term"), "h")
     pairs = both.groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= min_support)
@@ -134,8 +146,8 @@ def disclosure(held: DataFrame, documents: DataFrame, min_support: int = MIN_SUP
 
 
 def term_spans(spans: DataFrame, documents: DataFrame, min_support: int = MIN_SUPPORT, generalise: float = GENERALISE) -> DataFrame:
-    """(h, terms): all spans of disclosing terms as (start, kind number, end, share), one row for a text that has any.  spans are (h, base), documents (h, text)."""
-    told = disclosure(holders(spans, min_support), documents, min_support, generalise)
+    """(h, terms): all spans of disclosing terms as (start, kind number, end, share), one row for a text that has any.  spans are (h, base, words), documents (h, text)."""
+    told = disclosure(spans, documents, min_support, generalise)
     told = small(checkpoint(told.groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("told"))))
     found = find_spans(without_emails(F.col("text")), TERM, lambda w: F.map_contains_key("told", F.lower(w)))
     own = F.transform(found, lambda t: F.struct(t["start"].alias("start"), F.lit(KINDS.index("term")).alias("kind"), t["end"].alias("end"), F.element_at("told", F.lower(t["value"])).alias("share")))
@@ -143,9 +155,9 @@ def term_spans(spans: DataFrame, documents: DataFrame, min_support: int = MIN_SU
 
 
 def scan(documents: DataFrame) -> DataFrame:
-    """(doc_id, h, text, base); h tells different texts of one doc_id apart."""
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.withColumn("base", base_spans(F.col("text"))).withColumn("h", F.xxhash64("text"))
+    """(doc_id, h, base, words) of every row, kept in the shared folder, so that patterns run once over the texts; h tells texts apart, words is null for texts without base matches."""
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn("base", base_spans(F.col("text")))
+    return checkpoint(rows.select("doc_id", F.xxhash64("text").alias("h"), "base", F.when(F.size("base") > 0, words_of(F.col("text"))).alias("words")))
 
 
 def texts_of(documents: DataFrame) -> DataFrame:
@@ -158,29 +170,32 @@ def _joined(spans: Column) -> Column:
 
 
 def op10(documents: DataFrame) -> DataFrame:
-    """The query.  Found spans are kept in the shared folder, so patterns run once over the texts."""
-    found = scan(documents)
-    spans = checkpoint(found.select("doc_id", "h", "base"))
+    """The query."""
+    spans = scan(documents)
     terms = small(checkpoint(term_spans(spans, texts_of(documents))))
-    rows = spans.join(terms, "h", "left")
+    rows = spans.select("doc_id", "h", "base").join(terms, "h", "left")
     plain = lambda c: F.transform(F.col(c), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     every = F.array_sort(F.concat(plain("base"), F.coalesce(plain("terms"), F.array().cast("array<struct<start:int,kind:int,end:int>>"))))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     return rows.select("doc_id", *[count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS[:-1])], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(every).alias("spans"))
 
 
-def sanitise(documents: DataFrame, **limits) -> DataFrame:
-    """documents with each span replaced: base matches and generalised terms by their kind in brackets, removed terms by nothing; overlapping spans become one, named after the first."""
-    spans = checkpoint(scan(documents).filter(F.size("base") > 0).select("h", "base"))
-    terms = small(checkpoint(term_spans(spans, texts_of(documents), **limits)))
-    rows = documents.withColumn("t_text", text_of()).withColumn("t_base", base_spans(F.col("t_text")))
-    rows = rows.join(terms.withColumnRenamed("h", "t_h"), F.xxhash64("t_text") == F.col("t_h"), "left")
-    simple = lambda c, share: F.transform(c, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), share(s).alias("share")))
-    every = F.array_sort(F.concat(simple(F.col("t_base"), lambda s: F.lit(0.0)), F.coalesce(simple(F.col("terms"), lambda s: s["share"]), F.array().cast("array<struct<start:int,kind:int,end:int,share:double>>"))))
+def replaced(text: Column, spans: Column) -> Column:
+    """text with each of the sorted spans (start, kind, end, share) replaced."""
     label = lambda s: F.when(s["share"] >= REMOVE, "").otherwise(F.concat(F.lit("["), F.upper(F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1)), F.lit("]")))
-    step = lambda a, s: F.when(s["start"] >= a["at"], F.struct(s["end"].alias("at"), F.concat(a["out"], F.array(F.concat(F.substr("t_text", a["at"] + 1, s["start"] - a["at"]), label(s)))).alias("out"))).otherwise(
-        F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))
-    )
-    done = lambda a: F.concat(F.array_join(a["out"], ""), F.substr("t_text", a["at"] + 1, F.char_length("t_text") - a["at"]))
-    clean = F.when(F.size("t_every") == 0, F.col("text")).otherwise(F.aggregate("t_every", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, done))
-    return rows.withColumn("t_every", every).withColumn("text", clean).select(documents.columns)
+    cut = lambda a, s: F.concat(F.substr(text, a["at"] + 1, s["start"] - a["at"]), label(s))
+    step = lambda a, s: F.when(s["start"] >= a["at"], F.struct(s["end"].alias("at"), F.concat(a["out"], F.array(cut(a, s))).alias("out"))).otherwise(F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out")))
+    done = lambda a: F.concat(F.array_join(a["out"], ""), F.substr(text, a["at"] + 1, F.char_length(text) - a["at"]))
+    return F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, done)
+
+
+def sanitise(documents: DataFrame, **limits) -> DataFrame:
+    """documents with each span replaced: base matches and generalised terms by their kind in brackets, removed terms by nothing; overlapping spans become one, named after the first.  Other columns stay as they are, whatever their names; null texts stay null."""
+    terms = small(checkpoint(term_spans(scan(documents), texts_of(documents), **limits)))
+    rows = documents.select(F.struct(*own_columns(documents)).alias("row"), text_of().alias("text")).withColumn("h", F.xxhash64("text"))
+    rows = rows.join(terms, "h", "left")
+    kind = "array<struct<start:int,kind:int,end:int,share:double>>"
+    base = F.transform(base_spans(F.col("text")), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(0.0).alias("share")))
+    rows = rows.withColumn("every", F.array_sort(F.concat(base, F.coalesce(F.col("terms").cast(kind), F.array().cast(kind)))))
+    clean = F.when(F.size("every") == 0, F.col("row")["text"]).otherwise(replaced(F.col("text"), F.col("every")))
+    return rows.select(*[(clean if c.lower() == "text" else F.col("row").getField(c)).alias(c) for c in documents.columns])

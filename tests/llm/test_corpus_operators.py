@@ -71,6 +71,36 @@ def test_chat_layouts(spark):
         chat_format.select_mapping(spark.sql("select 1 nothing"))
 
 
+def test_chat_records_keep_all(spark):
+    """Null fields, nulls in the first message, fields of several mappings and other types lose no record; the rest is listed."""
+    rows = {
+        0: ('{"prompt":"a","completion":null}', [(0, "user", "a"), (1, "assistant", "")]),
+        1: ('{"messages":[{"role":"system","content":null},{"role":"user","content":"q"}]}', [(0, "system", ""), (1, "user", "q")]),
+        2: ('{"prompt":"p","completion":"c","response":"r"}', [(0, "user", "p"), (1, "assistant", "c")]),
+        3: ('{"messages":[{"role":"user"},{"content":"x"}],"prompt":"p"}', [(0, "user", ""), (1, "", "x")]),
+        4: ('{"instruction":"i","input":"","output":[1,2]}', [(0, "system", "i"), (1, "user", ""), (2, "assistant", "[1,2]")]),
+        5: ('{"prompt":"p"}', []), 6: ("no json", []), 7: (None, []),
+    }
+    df = spark.createDataFrame([(k, j) for k, (j, _) in rows.items()], "id long, j string")
+    got = {k: [] for k in rows}
+    for r in chat_format.canonical_turns_json(df, "id", "j").collect():
+        got[r.record].append((r.turn, r.role, r.text))
+    assert {k: sorted(v) for k, v in got.items()} == {k: v for k, (_, v) in rows.items()}
+    left = {r.record: r.print for r in chat_format.unmapped_json(df, "id", "j").collect()}
+    assert left == {5: chat_format.fingerprint(["prompt"]), 6: chat_format.fingerprint([]), 7: chat_format.fingerprint([])}
+
+
+def test_chat_odd_tables(spark):
+    """Null ids and turns, ties, repeated rows, columns of other mappings' names; formatted_chars counts what is escaped."""
+    rows = [(None, None, "user", "[s> </INST] <s> [INST]", "x"), (None, 1, "assistant", "a\\", "x"), (3, 1, "assistant", "tie", "x"), (3, 1, "assistant", "tie", "x"), (3, 1, "Assistant", "b", None), (4, 0, None, None, None)]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string, prompt string")
+    got = {r.conv_id: r for r in chat_format.op2(df).collect()}
+    assert got[None].turns_sha256 == sha("user\n[s> </INST] <s> [INST]\nassistant\na\\\n") and got[None].formatted_chars == 4 + 22 + 2 + 9 + 2 + 1 + 64
+    assert got[3].turns_sha256 == sha("Assistant\nb\n" + "assistant\ntie\n" * 2) and got[3].loss_sha256 == sha("tietie") and got[4].n_turns == 1
+    long = spark.createDataFrame([(1, k, "assistant", "w " * 100_000) for k in range(5)], "conv_id int, turn int, role string, text string")
+    assert chat_format.op2(long).filter("conv_id = 1").first().loss_chars == 1_000_000
+
+
 def test_chat_query(spark):
     df = spark.createDataFrame([(5, 0, "user", "q"), (5, 1, "assistant", "a"), (6, 0, "user", None)], "conv_id long, turn long, role string, text string")
     got = {r.conv_id: r for r in chat_format.op2(df).collect()}
@@ -237,6 +267,14 @@ def test_licenses_adjacent(spark):
     assert got == {0: "bsd,proprietary", 1: "mit,proprietary", 2: "cc-by-nc", 3: "gpl-3", 4: ""}
 
 
+def test_licenses_repeated_grams(spark):
+    """A k-gram that a text repeats is one place of the template; labels equal those of plain counting over all places of spans."""
+    rows = ["general public license general public license", "the gnu affero general public license or so", "gnu affero general public", "commons attribution 4 0 international license commons attribution 4 0 x"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.op6(df).collect()}
+    assert got == {0: ("", 0.0), 1: ("agpl-3", 1.0), 2: ("agpl-3", 2 / 3), 3: ("cc-by", 0.8)}
+
+
 def test_shingles():
     import pyarrow as pa
 
@@ -415,6 +453,33 @@ def test_pii_whole_text(spark):
     assert all("İ" not in clean[i] and "Quill" not in clean[i] and "the  zanzibar \U0001f600 " in clean[i] for i in range(4)) and clean[4] == rows[4]
 
 
+def test_pii_kinds(spark):
+    """A word that comes with a kind of entity discloses it, though no single entity is in two texts; shares are those of counted texts."""
+    rows = [f"{k} Telefonistka on +1 017 555 {7000 + k} or so about words {'Rufnummer' if k < 3 else 'nothing'}" for k in range(9)] + ["Rufnummer without any"]
+    rows += [f"the text{k} words about so nothing on or" for k in range(300)]
+    df = spark.createDataFrame(list(enumerate(rows)) + [(k, None) for k in range(900, 905)], "doc_id long, text string")
+    texts, n = {t or "" for t in [*rows, None]}, len({*rows, None})
+    has = {t for t in texts if "+1 " in t}
+    want = {}
+    for w in {w.lower() for t in has for w in re.findall(r"[^\W\d_]{3,}", t)}:
+        both, n_term = sum(w in re.findall(r"[^\W\d_]{3,}", t.lower()) for t in has), sum(w in re.findall(r"[^\W\d_]{3,}", t.lower()) for t in texts)
+        share = np.log2(both * n / (len(has) * n_term)) / np.log2(n / len(has))
+        if both >= pii.MIN_SUPPORT and share >= pii.GENERALISE:
+            want[w] = share
+    assert set(want) == {"telefonistka", "rufnummer"} and want["telefonistka"] >= pii.REMOVE > want["rufnummer"]
+    got = {(r.h, r.term): r.share for r in pii.disclosure(pii.scan(df), pii.texts_of(df)).collect()}
+    assert len(got) == 12 and all(abs(share - want[term]) < 1e-9 for (_, term), share in got.items())
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert clean[0] == "0  on [PHONE] or so about words [TERM]" and clean[9] == rows[9] and clean[900] is None
+
+
+def test_pii_many_matches(spark):
+    """Thousands of matches in one text: places are right."""
+    text = " ".join(f"é{k}a{k}@b.cd, 1.2.3.{k % 300}" for k in range(5000))
+    r = pii.op10(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert r.base_sha256 == sha(plain_spans(text)) and r.n_email == 5000
+
+
 def test_components(spark):
     rng = np.random.default_rng(6)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(k, k + 1) for k in range(1000, 1100)]
