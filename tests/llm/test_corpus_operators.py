@@ -19,23 +19,48 @@ def sha(s):
     return hashlib.sha256(s.encode()).hexdigest()
 
 
-def test_fingerprints(documents, empty, texts):
-    rows = fingerprints.op1(documents).collect()
-    assert len(rows) == len(texts) and fingerprints.op1(empty).count() == 0
-    own = {(r.doc_id, r.fingerprint): r for r in rows}
-    by_text = {}
-    order = sorted([(i, t or "") for i, t, _ in texts if i is not None], key=lambda x: -x[0])
-    unique = [x for x in order if sum(y[0] == x[0] for y in order) == 1]
-    for k, (i, t) in enumerate(order[:-1]):
-        if (i, t) in unique and order[k + 1] in unique:
-            r = next(r for r in rows if r.doc_id == i)
-            half = len(t) // 2
-            assert r.n_chars == len(t) and r.edited_sha256 == sha(t[: len(t) - half] + order[k + 1][1][:half])
-            by_text.setdefault(t, set()).add(r.fingerprint)
-            assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
-    assert all(len(x) == 1 for x in by_text.values()) and len(own) >= len(by_text)
-    long = [r for r in rows if r.n_chars > 800 and r.doc_id >= 100]
+def check_fingerprints(spark, rows):
+    """op1 against texts edited in Python and fingerprints of whole texts; ids may repeat only with equal texts."""
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, bucket string").repartition(3)
+    got = fingerprints.op1(df).collect()
+    order = sorted([(i, t or "") for i, t in rows if i is not None], key=lambda x: -x[0])
+    edited = [(i, t[: len(t) - len(t) // 2] + order[(k + 1) % len(order)][1][: len(t) // 2]) for k, (i, t) in enumerate(order)]
+    every = {t for _, t in order} | {t for _, t in edited}
+    names = dict(enumerate(every))
+    f = fingerprints.fingerprint_by(spark.createDataFrame(list(names.items()), "k long, text string"), ["k"]).select("k", fingerprints.as_string(F.col("lanes")).alias("f"))
+    f = {names[r.k]: r.f for r in f.collect()}
+    assert len({(x, *sorted(t.split("\n"))) for t, x in f.items()}) == len(set(f.values())) == len({tuple(sorted(t.split("\n"))) for t in f})
+    want = Counter((i, len(t), sha(e), f[t], f[e]) for (i, t), (_, e) in zip(order, edited, strict=True))
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) for r in got if r.doc_id is not None) == want
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got) and len(got) == len(rows)
+    return got
+
+
+def test_fingerprints(spark, documents, empty, texts):
+    assert fingerprints.op1(documents).count() == len(texts) and fingerprints.op1(empty).count() == 0
+    once = [(i, t) for i, t, _ in texts if i is not None and sum(x[0] == i for x in texts) == 1]
+    lines = [(10_000 + k, "".join("\n" if c == "g" else c for c in t or "")) for k, (_, t) in enumerate(once)]
+    odd = [(-(2**62), "far away\n\n"), (20_000, "\n"), (20_001, "a\nb"), (20_002, "\n\n\n"), (20_003, "é\n😀\nx"), (20_004, "w " * 50_000 + "\n" + "v\n" * 3000)]
+    got = check_fingerprints(spark, once + lines + odd)
+    long = [r for r in got if r.n_chars > 800 and 100 <= r.doc_id < 10_000]
     assert np.mean([r.near_edited for r in long]) > 0.3
+    check_fingerprints(spark, [(1, "alone\nin the world")])
+
+
+def test_fingerprint_buckets(spark):
+    """Clustered ids, one far id, one id of many rows and null ids are spread over buckets of like size, in order."""
+    rows = [(k, f"text {k}\nnumber {k}") for k in range(3000)] + [(2**60, "far")] + [(5000, f"same id {k}") for k in range(3000)] + [(None, f"no id {k}") for k in range(2000)]
+    base = spark.createDataFrame(rows, "doc_id long, text string").withColumn("h", F.xxhash64("text"))
+    got = base.withColumn("bucket", fingerprints._bucket(base)).collect()
+    sizes = Counter(r.bucket for r in got)
+    assert len(sizes) >= 24 and max(sizes.values()) <= 3 * fingerprints.SIDE_BY_SIDE
+    key = lambda r: (r.doc_id is not None, r.doc_id or 0, r.h)
+    ordered = sorted(got, key=key)
+    assert [r.bucket for r in ordered] == sorted(r.bucket for r in got)
+    out = fingerprints.op1(base.select("doc_id", "text")).collect()
+    texts = [r.text for r in reversed(ordered)]
+    want = Counter(sha(t[: len(t) - len(t) // 2] + texts[(k + 1) % len(texts)][: len(t) // 2]) for k, t in enumerate(texts))
+    assert Counter(r.edited_sha256 for r in out) == want
 
 
 def test_fingerprints_add_up(spark):
