@@ -14,7 +14,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """df with its lineage cut by files in the folder of spark.checkpoint.dir.  Where that is unset, a folder of our own on a local master; an error on a cluster, whose executors wouldn't see it."""
     context = df.sparkSession.sparkContext
     if not context.getConf().get("spark.checkpoint.dir", "") and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not context.master.split("[")[0] == "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spanloom-"))
     return df.checkpoint(eager=True)
