@@ -21,7 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
     if there:
         return there
     if (own := spark.sparkContext.getCheckpointDir()) is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spanloom-"))
         own = spark.sparkContext.getCheckpointDir()
