@@ -325,16 +325,60 @@ def test_slices_of_slices():
 
 def test_sharding(spark, documents, empty, tmp_path):
     store = sharding.ShardStore(spark, f"file://{tmp_path}/store", fan_in=2)
+    with pytest.raises(ValueError):
+        store.read()
     for k in range(5):
         store.append(documents.filter(F.pmod(F.xxhash64("text", "doc_id"), F.lit(5)) == k))
         store.compact()
-    assert store.read().count() == documents.count() and store.read().exceptAll(documents).isEmpty()
-    assert store.version() > 5 and sum(len(store.files(r)) for r in store.runs()) == store.shards().count()
+    assert store.read().columns == documents.columns and store.read().count() == documents.count() and store.read().exceptAll(documents).isEmpty()
+    assert store.version() > 5
+    # A listed shard's bytes are those on disk.
+    for run in store.manifest()["runs"]:
+        for s in run:
+            assert (tmp_path / "store" / s["path"]).stat().st_size == s["bytes"]
     with pytest.raises(Exception, match="(?i)exist"):
-        store.commit([], store.version() - 1)
+        store.commit([], store.manifest()["schema"], store.version() - 1)
+    with pytest.raises(ValueError):
+        store.append(documents.select("doc_id"))
     rows = sharding.op7(documents).collect()
-    assert Counter((r.doc_id, r.text_sha256) for r in rows) == Counter((r.doc_id, None if r.text is None else sha(r.text)) for r in documents.collect()) and all(r.listed and r.within_target for r in rows)
-    assert sharding.op7(empty).count() == 0
+    assert Counter((r.doc_id, r.text_sha256) for r in rows) == Counter((r.doc_id, None if r.text is None else sha(r.text)) for r in documents.collect()) and sharding.op7(empty).count() == 0
+
+
+def test_sharding_survives(spark, documents, tmp_path):
+    """A crash between write and commit, a reader of an older version, a slower writer: nothing is lost, nothing half-written is seen."""
+    store = sharding.ShardStore(spark, f"file://{tmp_path}/store", fan_in=2)
+    part = documents.select("doc_id", "text").limit(30)
+    store.append(part)
+    lost = store.write(part)  # and no commit
+    (tmp_path / "store/data" / lost[0]["path"].split("/")[1] / "part-copied.parquet").write_bytes(b"half")
+    assert store.read().count() == 30
+    before = store.read(1)
+    store.append(part)
+    base = store.version()
+    slow = store.write(part)
+    assert store.compact() == 1 and before.count() == 30 and store.read().count() == 60
+    with pytest.raises(Exception, match="(?i)exist"):
+        store.commit([slow], store.manifest()["schema"], base)
+    assert store.read().count() == 60
+    assert store.vacuum(keep=1, grace=3600) == 0
+    gone = store.vacuum(keep=1, grace=-5)
+    assert gone >= 4 and store.versions() == [3] and store.read().count() == 60 and store.read().exceptAll(part).count() == 30
+    assert not (tmp_path / "store" / lost[0]["path"]).exists()
+
+
+def test_sharding_leaves_full_shards(spark, tmp_path):
+    """Shards of target size pass through merges untouched; the rest is grouped by bytes."""
+    rng = np.random.default_rng(0)
+    df = spark.createDataFrame([(k, rng.bytes(2000).hex()) for k in range(400)], "doc_id long, text string")
+    size = sum(s["bytes"] for s in sharding.ShardStore(spark, f"file://{tmp_path}/probe").write(df.coalesce(1)))
+    store = sharding.ShardStore(spark, f"file://{tmp_path}/store", target_bytes=size, fan_in=2)
+    store.append(df.coalesce(1))
+    full = {s["path"] for run in store.manifest()["runs"] for s in run}
+    store.append(df.repartition(8))
+    assert store.compact() == 1
+    now = [s for run in store.manifest()["runs"] for s in run]
+    assert full <= {s["path"] for s in now} and len(now) <= 4 and store.read().count() == 800
+    assert sharding.groups_of([5, 4, 3, 3, 2, 9], 10) == [[5], [0, 1], [2, 3, 4]] and sharding.groups_of([], 10) == []
 
 
 def test_windows_are_coded():
