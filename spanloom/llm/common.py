@@ -55,15 +55,21 @@ def own_columns(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
-def small(df: DataFrame, most_rows: int = 200_000, most_bytes: int = 64 << 20) -> DataFrame:
-    """df marked for broadcast if it has few rows and bytes, else as it is, so that Spark joins it by a shuffle.  df is to be cheap to count (a checkpoint).
+def small_or_not(df: DataFrame, most_rows: int = 200_000, most_bytes: int = 64 << 20) -> tuple[DataFrame, bool]:
+    """df marked for broadcast and True if it has few rows and bytes, else as it is and False, so that Spark joins it by a shuffle.  df is to be cheap to count (a checkpoint).
 
     Bytes are the sums of what its strings, binaries, arrays and maps hold, and 8 for each other value.
     """
     wide = [F.length(F.to_json(F.struct(c))) if t.startswith(("array", "map", "struct")) else F.octet_length(c) if t in ("string", "binary") else F.lit(8) for c, t in df.dtypes]
     size = sum((F.coalesce(w, F.lit(0)).cast("long") for w in wide), F.lit(0).cast("long"))
     rows, data = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
-    return F.broadcast(df) if rows <= most_rows and data <= most_bytes else df
+    few = rows <= most_rows and data <= most_bytes
+    return (F.broadcast(df) if few else df), few
+
+
+def small(df: DataFrame, most_rows: int = 200_000, most_bytes: int = 64 << 20) -> DataFrame:
+    """df, marked for broadcast if it has few rows and bytes."""
+    return small_or_not(df, most_rows, most_bytes)[0]
 
 
 def kept(key: object, make: Callable[[], object]) -> object:

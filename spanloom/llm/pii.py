@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, own_columns, small, text_of
+from .common import checkpoint, own_columns, small, small_or_not, text_of
 
 KINDS = ("email", "ip", "card", "phone", "term")
 # Start of a run, or just after the last match, so that no start inside a run is tried again.
@@ -39,25 +39,38 @@ TERM = r"\p{L}{3,}+"
 MIN_SUPPORT, GENERALISE, REMOVE = 3, 0.85, 0.95
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of the value, which is computed once however often body names it (inside other lambdas too)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def find_spans(text: Column, pattern: str, keep: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
-    """(start, end, value) of the leftmost non-overlapping matches that keep accepts, in code points: lengths of what lies between and of the matches are added up."""
+    """(start, end, value) of the leftmost non-overlapping matches that keep accepts, in code points: lengths of what lies between and of the matches are added up.
+
+    Places are summed up in chunks of some sqrt(n), so that a text of n matches costs n ** 1.5 steps, not n ** 2.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern), lambda p: F.char_length(p))
     pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(gaps) - 1), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    # Places are summed up in chunks of some sqrt(n), so that a text of very many matches doesn't cost their square.
-    width = F.greatest(F.lit(32), F.ceil(F.sqrt(F.size(found))).cast("int"))
-    chunks = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(found) / width).cast("int") - 1)), lambda k: F.slice(pairs, k * width + 1, width))
-    size = lambda x: x["gap"] + F.char_length(x["value"])
-    starts = F.aggregate(
-        F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + size(x))),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
-        lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
-        lambda s: s["out"],
-    )
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    size = lambda x: x["gap"] + F.char_length(x["value"])
     span = lambda s, x: F.struct((s["at"] + x["gap"]).alias("start"), (s["at"] + size(x)).alias("end"), x["value"].alias("value"))
     step = lambda s, x: F.struct((s["at"] + size(x)).alias("at"), F.when(keep(x["value"]), F.concat(s["out"], F.array(span(s, x)))).otherwise(s["out"]).alias("out"))
-    return F.flatten(F.zip_with(chunks, starts, lambda c, at: F.aggregate(c, F.struct(at.alias("at"), none.alias("out")), step, lambda s: s["out"])))
+
+    def in_chunks(ps: Column) -> Column:
+        width = F.greatest(F.lit(32), F.ceil(F.sqrt(F.size(ps))).cast("int"))
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(ps) / width).cast("int") - 1)), lambda k: F.slice(ps, k * width + 1, width))
+
+    def placed(chunks: Column) -> Column:
+        starts = F.aggregate(
+            F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + size(x))),
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
+            lambda s: s["out"],
+        )
+        return F.flatten(F.zip_with(chunks, starts, lambda c, at: F.aggregate(c, F.struct(at.alias("at"), none.alias("out")), step, lambda s: s["out"])))
+
+    return _let(_let(pairs, in_chunks), placed)
 
 
 def _luhn(digits: Column) -> Column:
@@ -133,10 +146,12 @@ def disclosure(spans: DataFrame, documents: DataFrame, min_support: int = MIN_SU
     words = checkpoint(own.join(each, "h").select("h", "most", F.explode("words").alias("term")))
     able = lambda n_term: _share(total, "most", "most", n_term) >= generalise
     terms = words.groupBy("term").agg(F.count("*").alias("n_least"), F.max("most").alias("most")).filter((F.col("n_least") >= min_support) & able("n_least"))
-    terms = small(checkpoint(terms.select("term", "most")))
+    terms, few = small_or_not(checkpoint(terms.select("term", "most")))
     # Each copy of a text counts as its part of one text, so that counts are summed where texts are read.
     every = documents.join(copies, "h", "left").select((1 / F.coalesce("copies", F.lit(1))).alias("part"), F.explode(words_of(F.col("text"))).alias("term"))
-    df = every.join(terms.select("term"), "term", "left_semi").groupBy("term").agg(F.round(F.sum("part")).cast("long").alias("n_term"))
+    if few:
+        every = every.join(terms.select("term"), "term", "left_semi")
+    df = every.groupBy("term").agg(F.round(F.sum("part")).cast("long").alias("n_term"))
     df = small(checkpoint(df.join(terms, "term").filter(able("n_term")).select("term", "n_term")))
     both = held.join(words.select("h", "term").join(df, "term"), "h")
     pairs = both.groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= min_support)

@@ -1,18 +1,21 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text.  Every word of a text, with
-a blank on either side, is a window; it is compressed with each dictionary, and the difference of the two
-lengths says which kind of text it resembles.  A text is scored by how many of its windows lie over a
-calibrated threshold, by their share and by the largest difference, through a logistic function fitted on
-the labelled sample.
+zstandard trains two dictionaries, one on toxic and one on ordinary text.  Every word of a text, with a blank
+on either side, is a window; it is compressed with each dictionary, and the difference of the two lengths says
+which kind of text it resembles.  A text is scored by how many of its windows lie over a calibrated threshold,
+by their share and by the largest difference, through a logistic function fitted on the labelled sample.
 
 Windows are compressed as two-byte codes of their letters, so that a match saves more than its fixed cost,
-and matches are four letters long at least.  Plain dictionaries of either kind mostly hold what both have
-in common, so the toxic one is trained on the passages that toxic texts have and ordinary texts rarely have
-(letter runs by their document frequencies), the ordinary one on windows without such runs.
-
-Training reads at most MOST_TOXIC and MOST_ORDINARY labelled texts, those of lowest id hash: a bound that
-doesn't depend on the table.  Scoring reads every word of every text.  Null texts are empty.
+and matches are four letters long at least.  Plain samples of either kind mostly hold what both have in
+common, so the samples for the toxic dictionary are the most frequent passages that toxic texts have and
+ordinary texts rarely have (letter runs by their document frequencies); those for the ordinary one are the most frequent words without such runs.
+
+Training reads at most MOST_TOXIC and MOST_ORDINARY labelled texts, those of lowest id hash, of at most
+MOST_TEXT bytes each and MOST_BYTES together for either kind: bounds that don't depend on the table.  Rows
+whose id has remainder 2 are held out; what the settings below were chosen by is cross-validation over the
+other three remainders.  A document labelled more than once is toxic if one label says so; of several texts of
+one id the first by hash is read.  Scoring reads every word of every text.  Null texts are empty; without
+labels of both kinds every text has the share of toxic labels as its score, within 0.001 and 0.999.
 """
 
 from __future__ import annotations
@@ -25,17 +28,22 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import shingles
 from .common import free_names, kept, own_columns, text_of
 
-MOST_TOXIC, MOST_ORDINARY = 1500, 3000
-#: Letters of the runs that are counted; least share of toxic texts, log ratio and G statistic of a distinctive run.
-RUN, LEAST_SHARE, LEAST_RATIO, LEAST_G = 6, 0.02, 1.6, 30.0
-#: Bytes of a dictionary; windows whose differences a worker keeps.
-DICTIONARY, MOST_WORDS = 4096, 500_000
+MOST_TOXIC, MOST_ORDINARY, MOST_TEXT, MOST_BYTES = 1500, 3000, 1 << 20, 16 << 20
+#: Letters of the runs that are counted; least log ratio and G statistic of a distinctive run.
+RUN, LEAST_RATIO, LEAST_G = 6, 1.6, 30.0
+#: Different passages and ordinary words, the most frequent ones, that the dictionaries are trained on, each so many times.
+PASSAGES, FREQUENT, REPEATED = 100, 400, 5
+#: Most bytes of a dictionary (beyond what the samples need: a full one loses its best part), and the trainer's segments and what it compares, in bytes.
+DICTIONARY, SEGMENT, COMPARED = 16_384, 40, 8
+#: Windows whose differences a worker keeps, and their letters.
+MOST_WORDS, MOST_LETTERS = 500_000, 8_000_000
 PREDICT = 0.3
 
 
@@ -55,26 +63,44 @@ def coded(words: list[str]) -> list[bytes]:
     return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
+def trained(samples: list[bytes]) -> bytes:
+    """A dictionary that zstandard trains on the samples; where they are too few for that, the samples themselves, the last ones nearest to the end, where matches are cheapest."""
+    import zstandard
+
+    try:
+        return zstandard.train_dictionary(DICTIONARY, samples, k=SEGMENT, d=COMPARED).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(dict.fromkeys(reversed(samples)))[-DICTIONARY:] or b"\0" * 8
+
+
 class Compressors:
     def __init__(self, model: Model) -> None:
         import zstandard
 
         # write_* off: only what the window itself needs is counted.
-        p = zstandard.ZstdCompressionParameters(strategy=zstandard.STRATEGY_FAST, window_log=13, hash_log=12, chain_log=12, min_match=7, search_log=1, target_length=1, write_checksum=False, write_content_size=False, write_dict_id=False)
+        p = zstandard.ZstdCompressionParameters(strategy=zstandard.STRATEGY_FAST, window_log=15, hash_log=13, chain_log=12, min_match=7, search_log=1, target_length=1, write_checksum=False, write_content_size=False, write_dict_id=False)
         self.both = []
         for content in (model.ordinary, model.toxic):
-            d = zstandard.ZstdCompressionDict(content or b"\0" * 8, zstandard.DICT_TYPE_RAWCONTENT)
+            d = zstandard.ZstdCompressionDict(content or b"\0" * 8)  # with tables if it was trained
             d.precompute_compress(compression_params=p)
             self.both.append(zstandard.ZstdCompressor(dict_data=d, compression_params=p).compress)
+        self.clear()
+
+    def clear(self) -> None:
         self.known: dict[str, int] = {}
+        self.letters = 0
 
     def differences(self, words: list[str]) -> np.ndarray:
-        if len(self.known) > MOST_WORDS:
-            self.known.clear()
+        """Of distinct words; those of reasonable length are remembered."""
+        if len(self.known) > MOST_WORDS or self.letters > MOST_LETTERS:
+            self.clear()
         missing = [w for w in words if w not in self.known]
         ordinary, toxic = self.both
-        self.known.update(zip(missing, [len(ordinary(c)) - len(toxic(c)) for c in coded(missing)], strict=True))
-        return np.array([self.known[w] for w in words], np.int64)
+        found = dict(zip(missing, (len(ordinary(c)) - len(toxic(c)) for c in coded(missing)), strict=True))
+        out = np.array([found[w] if w in found else self.known[w] for w in words], np.int64)
+        self.known.update((w, d) for w, d in found.items() if len(w) <= 64)
+        self.letters += sum(len(w) for w in found if len(w) <= 64)
+        return out
 
 
 def window_lists(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -118,7 +144,7 @@ def _distinctive(toxic: list[str], ordinary: list[str]) -> np.ndarray:
     """Runs that toxic texts have more often than ordinary ones, by the ratio of their shares and the G statistic of both counts; sorted."""
     (run, c), (other, d_) = _frequencies(toxic), _frequencies(ordinary)
     p, n = len(toxic), len(ordinary)
-    often = (c >= max(4, LEAST_SHARE * p)) & (run != 0)
+    often = (c >= 4) & (run != 0)
     run, c = run[often], c[often].astype(float)
     at = np.minimum(np.searchsorted(other, run), len(other) - 1)
     d = np.where(other[at] == run, d_[at], 0).astype(float)
@@ -159,14 +185,15 @@ def train(toxic: list[str], ordinary: list[str], n_toxic: int, n_ordinary: int)
         return Model(b"", b"", 1, (0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3)))))
     p, n = len(toxic), len(ordinary)
     told = _distinctive(toxic, ordinary)
+    often = lambda found, most: [x for x, _ in sorted(found, key=lambda x: (-x[1], x[0]))[:most] for _ in range(REPEATED)]
     passages = Counter(x for t in toxic for x in _passages(t, told))
-    usual = Counter(w for t in ordinary[:1000] for w in t.lower().split())
-    usual = Counter({w: c for w, c in usual.most_common(500) if not np.isin(_runs(w)[1], told).any()})
-    # zstandard reaches a dictionary's end most cheaply: what is most frequent comes last.
-    join = lambda found: b"".join(coded([x for x, _ in found])[::-1])[-DICTIONARY:]
-    # Passages are kept as they are, without further blanks.
-    distinctive = b"".join(c[2:-2] for c in coded([x for x, _ in passages.most_common(400)])[::-1])[-DICTIONARY:]
-    model = Model(distinctive, join(usual.most_common(250)), 1, ())
+    usual, found = Counter(w for t in ordinary for w in dict.fromkeys(t.lower().split())), []
+    for w, c in sorted(usual.items(), key=lambda x: (-x[1], x[0])):
+        if not np.isin(_runs(w)[1], told).any():
+            found.append((w, c))
+        if len(found) == FREQUENT:
+            break
+    model = Model(trained(coded(often(passages.items(), PASSAGES))), trained(coded(often(found, FREQUENT))), 1, ())
     compressors = Compressors(model)
     parts = []
     for texts in shingles.slices(pa.array([*toxic, *ordinary], pa.large_string())):
@@ -188,14 +215,17 @@ def train(toxic: list[str], ordinary: list[str], n_toxic: int, n_ordinary: int)
     return model._replace(threshold=best[1], weights=tuple(map(float, best[2])))
 
 
-def training_texts(documents: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_ordinary: int = MOST_ORDINARY) -> tuple[list[str], list[str], int, int]:
-    """Texts of both kinds outside the held-out fold, and how many there are."""
+def training_texts(documents: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_ordinary: int = MOST_ORDINARY, most_text: int = MOST_TEXT, most_bytes: int = MOST_BYTES) -> tuple[list[str], list[str], int, int]:
+    """Texts of both kinds outside the held-out fold, and how many labels of each kind there are."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
-    known = known.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2).withColumn("at", F.xxhash64("doc_id"))
+    known = known.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("at", F.xxhash64("doc_id"))
     n = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     chosen = known.filter("toxic = 1").orderBy("at", "doc_id").limit(most_toxic).unionByName(known.filter("toxic = 0").orderBy("at", "doc_id").limit(most_ordinary))
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(F.broadcast(chosen), "doc_id").select("toxic", "text", "doc_id")
-    got = sorted((r["toxic"], r["doc_id"], r["text"]) for r in rows.collect())
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(F.broadcast(chosen), "doc_id").filter(F.octet_length("text") <= most_text)
+    rows = rows.groupBy("doc_id", "toxic", "at").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    by = W.partitionBy("toxic").orderBy("at", "doc_id")  # most_toxic and most_ordinary rows at most
+    rows = rows.withColumn("upto", F.sum(F.octet_length("text").cast("long")).over(by)).filter(F.col("upto") <= most_bytes)
+    got = sorted((r["toxic"], r["doc_id"], r["text"]) for r in rows.select("toxic", "doc_id", "text").collect())
     return [t for x, _, t in got if x == 1], [t for x, _, t in got if x == 0], n.get(1, 0), n.get(0, 0)
 
 

@@ -402,6 +402,22 @@ def test_toxicity(spark, documents, texts):
     assert len(none) == len(rows) + 2 and toxicity.op8(docs.limit(0), labels).count() == 0
 
 
+def test_toxicity_holds_out(spark):
+    """Labels of the held-out fold change no score, whatever they say; repeated labels, repeated ids and a very long text are no error."""
+    rng = np.random.default_rng(4)
+    rows = [(k, " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega"], 30).tolist() + (["vileperson"] if k % 4 == 0 else []))) for k in range(400)]
+    docs = spark.createDataFrame([*rows, (4, "another text of this id"), (500, "word " * 400_000 + "x" * 2_000_000)], "doc_id long, text string")
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    scores = []
+    for flip in (False, True):
+        labels = spark.createDataFrame([(k, int((k % 4 == 0) != (flip and held(k)))) for k, _ in rows] + [(8, 0), (9, None), (500, 0)], "doc_id long, toxic int")
+        scores.append(sorted((r.doc_id, r.score) for r in toxicity.op8(docs, labels).collect()))
+    assert scores[0] == scores[1] and len(scores[0]) == 402
+    texts = toxicity.training_texts(docs, labels, most_bytes=2000)
+    assert sum(len(t) for t in texts[0]) <= 2000 and 0 < sum(len(t) for t in texts[1]) <= 2000
+    assert max(len(t) for t in toxicity.training_texts(docs, labels)[1]) < 1 << 20
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(2)
     base = rng.standard_normal((60, 16))
