@@ -126,13 +126,14 @@ def base_counts(seq: Column, both_strands: bool = True) -> dict[str, Column]:
     return {b: n[b] + n["TGCA"["ACGT".index(b)]] if both_strands else n[b] for b in "ACGT"}
 
 
-def clean_genome(df: DataFrame, seq: str = "seq", ident: str = "seq_id", least: int = 1000, keep: str = "^chr") -> DataFrame:
-    """Upper case, other letters than ATCGN become N, short sequences go unless their name matches `keep`, repeated ids get _n."""
+def clean_genome(df: DataFrame, seq: str = "seq", ident: str = "seq_id", least: int = 1000, keep: str = "(?i)^chr") -> DataFrame:
+    """Upper case, other letters than ATCGN become N; the second and further sequences of an id get _1, _2 ...; then short ones go unless their name matches `keep`."""
     from pyspark.sql import Window as W
 
-    rows = df.withColumn(seq, F.regexp_replace(F.upper(F.regexp_replace(seq, r"\s", "")), "[^ATCGN]", "N")).filter((F.length(seq) >= least) | F.col(ident).rlike(keep))
+    rows = df.withColumn(seq, F.regexp_replace(F.upper(F.regexp_replace(seq, r"\s", "")), "[^ATCGN]", "N"))
     k = F.row_number().over(W.partitionBy(ident).orderBy("ord"))
-    return rows.withColumn("_k", k).withColumn(ident, F.when(F.col("_k") > 1, F.concat_ws("_", ident, "_k")).otherwise(F.col(ident))).drop("_k")
+    rows = rows.withColumn("_k", k - 1).withColumn(ident, F.when(F.col("_k") > 0, F.concat_ws("_", ident, "_k")).otherwise(F.col(ident))).drop("_k")
+    return rows.filter((F.length(seq) >= least) | F.col(ident).rlike(keep))
 
 
 def revised_fasta(df: DataFrame, protein: bool, most_unknown: float = 0.05, seq: str = "seq", ident: str = "seq_id") -> DataFrame:
@@ -179,10 +180,10 @@ ORF_BY_GC = {25: 465, 30: 510, 35: 555, 40: 590, 45: 645, 50: 749, 55: 797, 60:
 
 
 def least_orf(gc: Column) -> Column:
-    """by the step at or below the GC percentage (the first step below it all)."""
-    out = F.lit(ORF_BY_GC[25])
-    for step, length in sorted(ORF_BY_GC.items())[1:]:
-        out = F.when(gc >= step, length).otherwise(out)
+    """by the first step at or above the GC percentage; beyond all steps length alone never suffices."""
+    out = F.lit(1_000_000)
+    for step, length in sorted(ORF_BY_GC.items(), reverse=True):
+        out = F.when(gc <= step, length).otherwise(out)
     return out
 
 
@@ -197,9 +198,11 @@ def read_quota(reads: dict[str, int], budget: int) -> dict[str, int]:
     return {k: n if total <= budget else budget * n // total for k, n in reads.items()}
 
 
-def segment_size(longest: int) -> int:
-    """The longest gene's length with two leading digits, rounded up."""
-    if longest < 100:
-        return longest
-    step = 10 ** (len(str(longest)) - 2)
-    return -(-longest // step) * step
+def segment_size(longest: int) -> tuple[int, int]:
+    """(segment, overlap): 100 kb of overlap, or, if four times the longest gene is more, twice that gene with two leading digits and one step up; segments are ten times that."""
+    overlap = 100_000
+    if 4 * longest > overlap:
+        overlap = 2 * longest
+        step = 10 ** (len(str(overlap)) - 2)
+        overlap = (overlap // step + 1) * step
+    return 10 * overlap, overlap

@@ -115,15 +115,25 @@ def first_of_each_text(df: DataFrame, text: str, order: Sequence[str]) -> DataFr
 
 
 def similar_by_kmers(df: DataFrame, ident: str, sequence: str, k: int = 5, share: float = 0.8) -> DataFrame:
-    """Longest first, a sequence goes if it shares over `share` of its distinct k-mers with one that stays; sequences with under 30 % distinct k-mers go before.
+    """Longest first (then by id), a sequence goes if over `share` of its distinct spaced k-mers (from its first letter on, one after the other) are in one sequence that stays, at any place; sequences whose distinct spaced k-mers are under 30 % of length / k go before.
 
-    Pairs are found through an inverted index of k-mers and counted; suppression is `suppress`.
+    Two sequences can only be that similar if they share one of the first floor(n * (1 - share)) + 1 of the n spaced
+    k-mers in any order, so only the rarest ones are looked up: a common k-mer makes no pairs.  Found pairs are
+    counted exactly; suppression is `suppress`.
     """
     n = F.length(sequence) - k + 1
-    mers = F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(sequence, i, k)))).otherwise(F.array().cast("array<string>"))
-    rows = df.select(ident, F.length(sequence).alias("len"), mers.alias("mers")).filter(F.size("mers") >= 0.3 * F.greatest(F.lit(1), F.col("len") - k + 1))
-    index = rows.select(F.col(ident).alias("id"), "len", F.size("mers").alias("n"), F.explode("mers").alias("mer"))
-    other = index.withColumnsRenamed({"id": "id_r", "len": "len_r", "n": "n_r"})
-    pairs = index.join(other, "mer").filter("id < id_r").groupBy("id", "n", "id_r", "n_r").agg(F.count("*").alias("both"))
-    edges = pairs.filter(F.col("both") > share * F.least("n", "n_r")).select(F.col("id").alias("u"), F.col("id_r").alias("v"))
-    return suppress(rows.select(F.col(ident).alias("id"), (-F.col("len")).alias("shorter")), edges, ["shorter"]).select(F.col("id").alias(ident))
+    cut = lambda step: F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), n, F.lit(step)), lambda i: F.substring(sequence, i, k)))).otherwise(F.array().cast("array<string>"))
+    rows = df.select(F.col(ident).alias("id"), F.length(sequence).alias("len"), cut(k).alias("spaced"), cut(1).alias("mers"))
+    rows = rows.filter(F.round(F.size("spaced") / (F.greatest(F.lit(1), F.col("len")) / k) * 100, 2) >= 30)
+    index = rows.select(F.col("id").alias("id_r"), F.col("len").alias("len_r"), F.explode("mers").alias("mer"))
+    seen = index.groupBy("mer").agg(F.count("*").alias("seen"))
+    from pyspark.sql import Window as W
+
+    probes = rows.select("id", "len", F.size("spaced").alias("n"), F.explode("spaced").alias("mer")).join(seen, "mer")
+    probes = probes.withColumn("_k", F.row_number().over(W.partitionBy("id").orderBy("seen", "mer"))).filter(F.col("_k") <= F.floor(F.round(F.col("n") * (1 - share), 9)) + 1)
+    later = (F.col("len") < F.col("len_r")) | ((F.col("len") == F.col("len_r")) & (F.col("id") > F.col("id_r")))
+    pairs = probes.filter("seen > 1").select("id", "len", "mer").join(index, "mer").filter(later).select("id", "id_r").distinct()
+    both = pairs.join(rows.select("id", "spaced"), "id").join(rows.select(F.col("id").alias("id_r"), "mers"), "id_r")
+    found = F.size(F.array_intersect("spaced", "mers"))
+    edges = both.filter(F.round(found / F.size("spaced") * 100, 2) > 100 * share).select(F.col("id").alias("u"), F.col("id_r").alias("v"))
+    return suppress(rows.select("id", (-F.col("len")).alias("shorter")), edges, ["shorter"]).select(F.col("id").alias(ident))

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -143,10 +145,28 @@ def tiles(df: DataFrame, size: int, overlap: int) -> DataFrame:
     return rows.withColumn("tile_start", F.col("start") + F.col("tile") * step).withColumn("tile_end", F.least(F.col("tile_start") + size - 1, F.col("end")))
 
 
-def chunks(df: DataFrame, keys: Sequence[str], length: str, most: int, order: Sequence[str]) -> DataFrame:
-    """Rows in order, each in the piece that the sum of lengths before it falls in; a piece is closed at `most` or over."""
-    before = F.sum(length).over(W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
-    return df.withColumn("piece", F.floor(F.coalesce(before, F.lit(0)) / most).cast("long"))
+def chunks(df: DataFrame, keys: Sequence[str], length: str, most: int, order: str) -> DataFrame:
+    """Df with `piece`: rows of each key (of the whole table without keys) from longest to shortest, ties by `order`, go into a piece until its sum of lengths reaches `most`; the next row begins a new piece with a sum of 0.
+
+    Where a piece ends depends on all pieces before it, so the lengths of one key (two numbers a row) are one call;
+    it jumps from piece to piece by bisection in their running sum.
+    """
+    by = list(keys) or ["_all"]
+    rows = df if keys else df.withColumn("_all", F.lit(0))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+
+    def pieces(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([length, order], ascending=[False, True], kind="stable").reset_index(drop=True)
+        total = pdf[length].astype("int64").cumsum().to_numpy()
+        piece, at, n, before = np.zeros(len(pdf), np.int64), 0, 0, 0
+        while at < len(pdf):
+            end = min(int(np.searchsorted(total, before + most)) + 1, len(pdf))
+            piece[at:end] = n
+            at, n, before = end, n + 1, int(total[end - 1])
+        return pdf[[*by, order]].assign(piece=piece)
+
+    found = rows.select(*by, order, length).groupBy(*by).applyInPandas(pieces, ", ".join([*(f"`{c}` {kinds[c]}" for c in [*by, order]), "piece long"]))
+    return rows.join(found, [*by, order]).drop("_all")
 
 
 def gaps(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:

@@ -62,8 +62,8 @@ def auc(curve: DataFrame) -> DataFrame:
 
 
 def model_score(length: Column, n_parts: Column, ratio: float, bonus: Column | float = 0.0) -> Column:
-    """The closed form of len * (1 + sum of r(1-r)^k over introns + bonuses), truncated (a geometric series)."""
-    return F.floor(length * (F.lit(2.0) - F.pow(F.lit(1 - ratio), n_parts - 1) + bonus)).cast("long")
+    """The closed form of len * (1 + sum of r(1-r)^k over introns + bonuses), a geometric series."""
+    return length * (F.lit(2.0) - F.pow(F.lit(1 - ratio), n_parts - 1) + bonus)
 
 
 def fenced(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -123,3 +123,54 @@ def shares(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Each row's part of its group's sum."""
     by = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
     return df.withColumn("p", F.col(value) / F.sum(value).over(by))
+
+
+_STOPS = r"(TAA|TAG|TGA)$"
+
+
+def _framed(seq: Column, lengths: Sequence[int], every: bool) -> Column:
+    """(kmer, frame) of the k-mers that end at each position, frame being the position modulo 3; a closing stop codon's positions are left out.  Of k-mers of every length, or at each position of the longest that fits."""
+    n = F.length(seq)
+    stop = (n % 3 == 0) & seq.rlike(_STOPS)
+    item = lambda i, m: F.struct(F.substr(seq, i - m + 1, m + 1).alias("kmer"), (i % 3).alias("frame"))
+    none = F.array().cast("array<struct<kmer:string,frame:int>>")
+    def part(m: int, longest) -> Column:
+        last = F.when(stop & (n - 3 >= m), n - 3).otherwise(n)
+        return F.when(last > m, F.transform(F.sequence(F.lit(m), last - 1), lambda i: item(i, longest(i)))).otherwise(none)
+
+    if every:
+        return F.flatten(F.array(*[part(k - 1, lambda i, m=k - 1: F.lit(m)) for k in lengths]))
+    return part(0, lambda i: F.least(i, F.lit(max(lengths) - 1)))
+
+
+def coding_model(df: DataFrame, seq: str, base: DataFrame, order: int = 5) -> DataFrame:
+    """(kmer, frame, n, n_prefix, loglik) of coding sequences for all lengths up to order + 1: the log of (n + 1) / (n_prefix + 4) over the frequency of the last base.
+
+    n_prefix counts the k-mer without its last base in the frame before, or all positions of that frame for single
+    bases.  base: (base, p).  The model has some 16,000 rows for order 5, whatever the number of sequences.
+    """
+    rows = df.select(F.upper(seq).alias("s")).select(F.explode(_framed(F.col("s"), range(1, order + 2), True)).alias("f")).groupBy("f.kmer", "f.frame").agg(F.count("*").alias("n"))
+    before = (F.col("frame") + 1) % 3
+    prefixes = rows.select(F.col("kmer").alias("prefix"), before.alias("frame"), F.col("n").alias("n_before"))
+    frames = rows.filter(F.length("kmer") == 1).groupBy(before.alias("frame")).agg(F.sum("n").alias("n_frame"))
+    kept = rows.filter(~F.col("kmer").rlike("[^ACGT]")).withColumns({"prefix": F.expr("left(kmer, length(kmer) - 1)"), "base": F.right("kmer", F.lit(1))})
+    kept = kept.join(prefixes, ["prefix", "frame"], "left").join(frames, "frame", "left").join(F.broadcast(base), "base")
+    n_prefix = F.coalesce(F.when(F.length("kmer") == 1, F.col("n_frame")).otherwise(F.col("n_before")), F.lit(0))
+    return kept.withColumn("n_prefix", n_prefix).select("kmer", "frame", "n", "n_prefix", F.log((F.col("n") + 1) / (F.col("n_prefix") + 4) / F.col("p")).alias("loglik"))
+
+
+def coding_scores(df: DataFrame, ident: str, seq: str, model: DataFrame, order: int = 5) -> DataFrame:
+    """(id, score_1 .. score_6), the summed log likelihoods of each sequence in the three frames of either strand; k-mers that the model lacks, and sequences under order + 1 letters, count 0.
+
+    Each frame's k-mers are counted before they meet the model (the broadcast side; coding_model bounds its rows).
+    """
+    from ..functions.sequences import revcomp
+
+    up = F.upper(F.col(seq))
+    strands = [up, revcomp(up)]
+    frames = F.array(*[F.struct(F.lit(3 * s + f + 1).alias("k"), F.substr(x, F.lit(f + 1), F.length(x)).alias("s")) for s, x in enumerate(strands) for f in range(3)])
+    rows = df.select(ident, F.explode(frames).alias("v")).filter(F.length("v.s") >= order + 1)
+    counts = rows.select(ident, "v.k", F.explode(_framed(F.col("v.s"), [order + 1], False)).alias("f")).groupBy(ident, "k", "f.kmer", "f.frame").agg(F.count("*").alias("n"))
+    scored = counts.join(F.broadcast(model.select("kmer", "frame", "loglik")), ["kmer", "frame"])
+    sums = scored.groupBy(ident).agg(*[F.sum(F.when(F.col("k") == k, F.col("n") * F.col("loglik"))).alias(f"score_{k}") for k in range(1, 7)])
+    return df.select(ident).join(sums, ident, "left").fillna(0.0, [f"score_{k}" for k in range(1, 7)])

@@ -266,14 +266,6 @@ AUC_TRAPEZOID = f"""WITH p AS (SELECT DISTINCT fp / (fp + tn) AS x, tp / (tp + f
 a AS (SELECT (x - lag(x) OVER (ORDER BY x, y)) * (y + lag(y) OVER (ORDER BY x, y)) / 2 AS part FROM p) SELECT floor(sum(part) * 1e4 + 0.5) / 1e4 AS auc FROM a"""
 
 
-def score_geometric(spark, d):
-    rows = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("long")).alias("len"))
-    return rows.select("l_orderkey", statistics.model_score(F.col("len"), F.col("n"), 0.5).alias("score"))
-
-
-SCORE_GEOMETRIC = "SELECT l_orderkey, CAST(floor(sum(CAST(l_quantity AS BIGINT)) * (2.0 - pow(0.5, count(*) - 1))) AS BIGINT) AS score FROM lineitem GROUP BY l_orderkey"
-
-
 def revcomp_text(spark, d):
     return dna(spark, d).select("doc_id", F.md5(S.revcomp(F.col("seq"))).alias("md5"))
 
@@ -454,7 +446,7 @@ SELECT pos, base, n, round((n + 1) / (sum(n) OVER (PARTITION BY pos) + 4), 6) AS
 NAMES = [
     "interval_union_coverage", "interval_union_binned", "interval_islands", "overlap_pairs_binned", "overlap_fraction_filter", "contained_intervals", "evidence_common_specific", "neighbor_overlap", "gap_to_previous", "phase_running_sum",
     "best_per_group", "cap_per_species", "top_score_band", "upper_median_stats", "quantile_threshold_gate", "class_rollup_union", "semi_anti_router", "forall_fail_filter", "distinct_fragments", "sensitivity_specificity",
-    "roc_table", "auc_trapezoid", "score_geometric", "revcomp_text", "codon_translate", "integrity_class", "base_frequency", "framed_kmer_loglik", "exact_dedupe_first_wins", "xml_hit_parse", "segment_tiling", "depth_profile",
+    "roc_table", "auc_trapezoid", "revcomp_text", "codon_translate", "integrity_class", "base_frequency", "framed_kmer_loglik", "exact_dedupe_first_wins", "xml_hit_parse", "segment_tiling", "depth_profile",
     "connected_components", "greedy_nms", "degree_pruning", "interval_subtract", "median_depth", "set_accuracy", "isoform_histogram", "winsorised_scores", "orf_calls", "feature_numbers", "weight_matrix",
 ]
 QUERIES = {name: globals()[name] for name in NAMES}

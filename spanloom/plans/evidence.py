@@ -29,18 +29,19 @@ def long_enough(transcripts: DataFrame, least: int = 300) -> tuple[DataFrame, Da
 
 
 def filter_reasons(transcripts: DataFrame, least_ratio: float = 0.3, least_cds: int = 600, most_repeat: float = 0.3) -> DataFrame:
-    """(transcript_id, reason): a low coding share always, short coding parts and repeats only where they hold for all of a gene's transcripts."""
-    by = W.partitionBy("gene_id")
-    short, repeat = F.col("cds_len") < least_cds, F.col("repeat_share") >= most_repeat
-    reasons = F.array(F.when(F.col("cds_len") / F.col("exon_len") < least_ratio, "ratio"), F.when(F.col("all_short"), "short"), F.when(F.col("all_repeat"), "repeat"))
-    rows = transcripts.withColumns({"all_short": F.bool_and(short).over(by), "all_repeat": F.bool_and(repeat).over(by)})
+    """(gene_id, transcript_id, reason): a low coding share always; short coding parts and repeats where every transcript of the gene has one reason or another."""
+    ratio = F.coalesce(F.try_divide("cds_len", "exon_len"), F.lit(0.0)) < least_ratio
+    short, repeat = F.col("cds_len") < least_cds, F.coalesce("repeat_share", F.lit(0.0)) >= most_repeat
+    rows = transcripts.withColumns({"_ratio": ratio, "_short": short, "_repeat": repeat})
+    rows = rows.withColumn("_all", F.bool_and(F.col("_ratio") | F.col("_short") | F.col("_repeat")).over(W.partitionBy("gene_id")))
+    reasons = F.array(F.when(F.col("_ratio"), "ratio"), F.when(F.col("_short") & F.col("_all"), "short"), F.when(F.col("_repeat") & F.col("_all"), "repeat"))
     return rows.select("gene_id", "transcript_id", F.explode(F.array_compact(reasons)).alias("reason"))
 
 
 def surely_right(models: DataFrame, least_support: float = 100.0) -> DataFrame:
-    """The best transcript of each gene, if it is complete, fully supported and expressed."""
-    best = order.best_per_group(models, ["gene_id"], [F.desc("transcript_ratio"), F.desc("cds_len"), F.col("transcript_id")])
-    return best.filter((F.col("integrity") == "complete") & (F.col("support") >= least_support) & (F.col("transcript_ratio") > 0))
+    """Of each gene's transcripts that are complete and fully supported the one of the highest ratio (then the first id), if that is over 0."""
+    rows = models.filter((F.col("integrity") == "complete") & (F.col("support") >= least_support) & F.col("transcript_ratio").isNotNull())
+    return order.best_per_group(rows, ["gene_id"], [F.desc("transcript_ratio"), F.col("transcript_id")]).filter("transcript_ratio > 0")
 
 
 def training_gates(models: DataFrame, least_parts: int = 3, least_cds: int = 600, least_ratio: float = 0.6, longest: float = 0.95) -> DataFrame:
@@ -108,12 +109,12 @@ def intron_multiplicity(models: DataFrame) -> DataFrame:
 
 
 def intergenic_flank(genes: DataFrame, least_gap: int = 50) -> DataFrame:
-    """The flanking length from the upper medians of gene lengths and of gaps."""
-    rows = genes.withColumn("len", F.col("end") - F.col("start") + 1)
-    gaps = intervals.gaps(genes, ["seqid"], ["gene_id"]).filter(F.col("gap") >= least_gap).withColumn("_", F.lit(0))
-    gene = order.upper_median(rows.withColumn("_", F.lit(0)), ["_"], "len").withColumnRenamed("median", "gene")
-    gap = order.upper_median(gaps, ["_"], "gap").withColumnRenamed("median", "gap")
-    return gene.join(gap, "_", "left").select(statistics.flank_length(F.col("gene"), F.coalesce("gap", F.lit(0))).alias("flank"))
+    """The flanking length from the upper medians of the lengths of different genes and of the gaps between those of one sequence and strand."""
+    rows = genes.select("seqid", "strand", "start", "end").distinct()
+    gaps = intervals.gaps(rows, ["seqid", "strand"]).filter(F.col("gap") >= least_gap)
+    gene, gap = order.element_at(rows.withColumn("len", F.col("end") - F.col("start") + 1), "len", 0.5), order.element_at(gaps, "gap", 0.5)
+    medians = genes.sparkSession.createDataFrame([(gene, gap or 0)], "gene long, gap long")
+    return medians.select(statistics.flank_length(F.col("gene"), F.col("gap")).alias("flank"))
 
 
 def refined_starts(orfs: DataFrame, matrix: dict, background: dict, seq: str = "seq", before: int = 20, after: int = 10, least: float = 0.0, share: float = 0.15) -> DataFrame:

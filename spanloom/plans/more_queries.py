@@ -52,14 +52,6 @@ def exon_introns(spark, d):
 EXON_INTRONS = f"WITH x AS ({_EXONS}), l AS (SELECT t, lag(e) OVER (PARTITION BY t ORDER BY s, e) + 1 AS a, s - 1 AS b FROM x) SELECT t AS transcript_id, count(*) AS n, sum(b - a + 1)::BIGINT AS length FROM l WHERE a <= b GROUP BY t"
 
 
-def contig_pieces(spark, d):
-    rows = read(spark, d, "customer").select("c_nationkey", "c_custkey", F.length("c_name").cast("long").alias("len"))
-    return intervals.chunks(rows, ["c_nationkey"], "len", 100, ["c_custkey"]).select("c_custkey", "piece")
-
-
-CONTIG_PIECES = "SELECT c_custkey, CAST(floor(COALESCE(sum(length(c_name)) OVER (PARTITION BY c_nationkey ORDER BY c_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 100) AS BIGINT) AS piece FROM customer"
-
-
 def renamed_orders(spark, d):
     return order.renamed(read(spark, d, "orders").select("o_custkey", "o_orderkey"), "gene", ["o_custkey"], ["o_orderkey"]).select("o_orderkey", "name")
 
@@ -88,8 +80,10 @@ def least_orf_lengths(spark, d):
     return dna(spark, d).filter("seq != ''").select("doc_id", S.least_orf(200.0 * n["C"] / F.length("seq")).cast("long").alias("least"))
 
 
-LEAST_ORF_LENGTHS = f"""WITH q AS (SELECT doc_id, {DNA_SQL} AS seq FROM documents), g AS (SELECT doc_id, 200.0::DOUBLE * (length(seq) - length(replace(seq, 'C', ''))) / length(seq) AS gc FROM q WHERE seq <> '')
-SELECT doc_id, CAST(CASE {' '.join(f'WHEN gc >= {k} THEN {v}' for k, v in sorted(S.ORF_BY_GC.items(), reverse=True))} ELSE 465 END AS BIGINT) AS least FROM g"""
+#: The first step that isn't below the GC percentage.
+LEAST_ORF_LENGTHS = f"""WITH q AS (SELECT doc_id, {DNA_SQL} AS seq FROM documents), g AS (SELECT doc_id, 200.0::DOUBLE * (length(seq) - length(replace(seq, 'C', ''))) / length(seq) AS gc FROM q WHERE seq <> ''),
+t(step, least) AS (VALUES (25, 465), (30, 510), (35, 555), (40, 590), (45, 645), (50, 749), (55, 797), (60, 927), (65, 1086), (70, 1358), (75, 1743), (80, 2422))
+SELECT doc_id, CAST(COALESCE((SELECT min(least) FROM t WHERE step >= gc), 1000000) AS BIGINT) AS least FROM g"""
 
 
 def text_scalars(spark, d):
@@ -127,30 +121,6 @@ i AS (SELECT *, sum(CASE WHEN before IS NULL OR s - before > -31 THEN 1 ELSE 0 E
 SELECT id AS gene_id, ['augustus', 'transfrag', 'homolog', 'other'][r + 1] AS source FROM i QUALIFY r = min(r) OVER (PARTITION BY part, island)"""
 
 
-def validated_genes(spark, d):
-    rows = read(spark, d, "lineitem")
-    transcripts = rows.select(F.concat_ws(":", "l_orderkey", "l_linenumber").alias("transcript_id"), F.col("l_orderkey").alias("gene_id")).distinct()
-    e = lambda c: F.pow(F.lit(10.0), -F.col(c))
-    domains = rows.filter("l_discount >= 0.04").select(F.concat_ws(":", "l_orderkey", "l_linenumber").alias("query"), e("l_quantity").alias("evalue"), (F.col("l_discount") * 10).alias("coverage"))
-    hits = rows.filter("l_tax >= 0.03").select(F.concat_ws(":", "l_orderkey", "l_linenumber").alias("query"), e("l_quantity").alias("evalue"), (F.col("l_tax") * 10).alias("coverage"))
-    return pipelines.validated(transcripts, domains, hits)
-
-
-_LEVEL = "max(CASE WHEN q >= 10 AND {0} * 10 >= 0.6 THEN 2 WHEN q >= 5 AND {0} * 10 >= 0.3 THEN 1 ELSE 0 END)"
-VALIDATED_GENES = f"""WITH r AS (SELECT l_orderkey AS g, l_linenumber AS k, l_quantity AS q, l_discount AS x, l_tax AS y FROM lineitem), a AS (SELECT g, k, {_LEVEL.format('x')} AS l FROM r WHERE x >= 0.04 GROUP BY g, k), b AS (SELECT g, k, {_LEVEL.format('y')} AS l FROM r WHERE y >= 0.03 GROUP BY g, k),
-j AS (SELECT g, COALESCE(a.l, 0) AS x, COALESCE(b.l, 0) AS y FROM a FULL JOIN b USING (g, k)) SELECT DISTINCT g AS gene_id FROM j WHERE greatest(x, y) = 2 OR (x >= 1 AND y >= 1)"""
-
-
-def reason_rows(spark, d):
-    rows = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("gene_id"), F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey").alias("transcript_id"), (F.col("l_quantity") * 30).cast("long").alias("cds_len"), F.lit(2000).cast("long").alias("exon_len"), (F.col("l_discount") * 5).alias("repeat_share"))
-    return evidence.filter_reasons(rows)
-
-
-REASON_ROWS = """WITH r AS (SELECT l_orderkey AS gene_id, l_orderkey || ':' || l_linenumber || ':' || l_partkey AS transcript_id, CAST(l_quantity * 30 AS BIGINT) AS n, l_discount * 5 AS rep FROM lineitem),
-w AS (SELECT *, bool_and(n < 600) OVER (PARTITION BY gene_id) AS s, bool_and(rep >= 0.3) OVER (PARTITION BY gene_id) AS p FROM r)
-SELECT gene_id, transcript_id, 'ratio' AS reason FROM w WHERE n / 2000 < 0.3 UNION ALL SELECT gene_id, transcript_id, 'short' FROM w WHERE s UNION ALL SELECT gene_id, transcript_id, 'repeat' FROM w WHERE p"""
-
-
 def accuracy_levels(spark, d):
     rows = items(spark, d).select(F.col("supplier").alias("seqid"), F.lit("+").alias("strand"), F.col("part").alias("gene_id"), "start", "end", "id")
     found = pipelines.accuracy(rows.filter("id % 3 != 0"), rows.filter("id % 4 != 0"))
@@ -165,15 +135,6 @@ x AS (SELECT DISTINCT supplier, s, e FROM a), y AS (SELECT DISTINCT supplier, s,
 SELECT level, standard, predicted, tp, floor(tp / standard * 1e4 + 0.5) / 1e4 AS sensitivity, floor(tp / predicted * 1e4 + 0.5) / 1e4 AS specificity FROM (FROM p UNION ALL FROM q)"""
 
 
-def reliable_classes(spark, d):
-    rows = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").cast("long").alias("a"), F.count("*").alias("b"))
-    return pipelines.reliable(rows, ["a", "b"]).select("l_orderkey", "class")
-
-
-RELIABLE_CLASSES = """WITH r AS (SELECT l_orderkey, CAST(sum(l_quantity) AS BIGINT) AS a, count(*) AS b FROM lineitem GROUP BY l_orderkey), t AS (SELECT list_sort(list(a))[CAST(floor(count(*) * 0.5) AS INTEGER) + 1] AS x, list_sort(list(b))[CAST(floor(count(*) * 0.5) AS INTEGER) + 1] AS y FROM r)
-SELECT l_orderkey, CASE WHEN a >= x AND b >= y THEN 'excellent' WHEN a >= x OR b >= y THEN 'good' ELSE 'plain' END AS class FROM r, t"""
-
-
 def intron_support(spark, d):
     rows = read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_set(F.col("l_partkey").cast("string")).alias("introns")).withColumns({"seqid": F.lit("c"), "strand": F.lit("+")})
     return evidence.intron_multiplicity(rows).select("id", "support")
@@ -208,8 +169,8 @@ def weighted_score(spark, d):
 WEIGHTED_SCORE = "SELECT l_suppkey, floor((9 * avg(l_discount) + 6 * avg(l_tax)) / 15 * 1e6 + 0.5) / 1e6 AS score FROM lineitem GROUP BY l_suppkey"
 
 NAMES = [
-    "intersection_lengths", "distinct_in_regions", "transcript_to_genome", "exon_introns", "contig_pieces", "renamed_orders", "top_longest", "masked_sequence", "least_orf_lengths", "text_scalars", "best_hits", "source_priority",
-    "validated_genes", "reason_rows", "accuracy_levels", "reliable_classes", "intron_support", "length_statistics", "redundancy_merge", "weighted_score",
+    "intersection_lengths", "distinct_in_regions", "transcript_to_genome", "exon_introns", "renamed_orders", "top_longest", "masked_sequence", "least_orf_lengths", "text_scalars", "best_hits", "source_priority",
+    "accuracy_levels", "intron_support", "length_statistics", "redundancy_merge", "weighted_score",
 ]
 QUERIES = {name: globals()[name] for name in NAMES}
 ORACLES = {name: globals()[name.upper()] for name in NAMES if name.upper() in globals()}

@@ -30,22 +30,24 @@ def genes_clear_of_repeats(cds: DataFrame, hits: DataFrame, most: float = 0.6, i
     return covered.filter(F.col("share") < most).select("gene_id", "share")
 
 
-def transcript_scores(cds: DataFrame, integrity: DataFrame, ratio: float = 0.3) -> DataFrame:
-    """(gene_id, transcript_id, score) from coding length, number of parts and completeness."""
-    rows = cds.groupBy("gene_id", "transcript_id").agg(F.sum(F.col("end") - F.col("start") + 1).alias("len"), F.count("*").alias("n"))
-    bonus = F.when(F.col("integrity") == "complete", 2 * ratio).when(F.col("integrity") == "internal", 0.0).otherwise(ratio)
-    return rows.join(integrity, "transcript_id", "left").select("gene_id", "transcript_id", statistics.model_score(F.col("len"), F.col("n"), 1 - ratio, F.coalesce(bonus, F.lit(0.0))).alias("score"))
+def transcript_scores(cds: DataFrame, integrity: DataFrame, intron: float = 0.3, start: float = 0.5, stop: float = 0.5, first_file: float = 0.5) -> DataFrame:
+    """(gene_id, transcript_id, score) from coding length, number of parts, completeness of either end, and, where cds has the column file_ord, a bonus for the first file (1)."""
+    first = F.max((F.col("file_ord") == 1).cast("int")) if "file_ord" in cds.columns else F.lit(0)
+    rows = cds.groupBy("gene_id", "transcript_id").agg(F.sum(F.col("end") - F.col("start") + 1).alias("len"), F.count("*").alias("n"), first.alias("first"))
+    ends = F.when(F.col("integrity") == "complete", start + stop).when(F.col("integrity") == "5prime_partial", stop).when(F.col("integrity") == "3prime_partial", start).otherwise(0.0)
+    bonus = F.coalesce(ends, F.lit(0.0)) + F.coalesce("first", F.lit(0)) * first_file
+    return rows.join(integrity, "transcript_id", "left").select("gene_id", "transcript_id", statistics.model_score(F.col("len"), F.col("n"), intron, bonus).alias("score"))
 
 
 def without_redundancy(cds: DataFrame, scores: DataFrame, most_overlap: float = 0.3) -> DataFrame:
-    """Of genes whose coding parts overlap by over `most_overlap` of either, the best score stays.  Every gene stands for its best transcript."""
+    """Of genes whose coding parts overlap by over `most_overlap` of either, the best truncated score stays.  Every gene stands for its transcript of the best exact score."""
     best = order.best_per_group(scores, ["gene_id"], [F.desc("score"), F.col("transcript_id")])
     own = cds.join(best.select("transcript_id"), "transcript_id").select("seqid", "strand", "gene_id", "start", "end")
     both = intervals.intersection_length(own, own, ["seqid", "strand"], "gene_id", closed="strict").filter("gene_id < gene_id_r")
     length = own.groupBy("gene_id").agg(F.sum(F.col("end") - F.col("start") + 1).alias("len"))
     pairs = both.join(length, "gene_id").join(length.withColumnsRenamed({"gene_id": "gene_id_r", "len": "len_r"}), "gene_id_r")
     edges = pairs.filter(F.col("covered") / F.least("len", "len_r") > most_overlap).select(F.col("gene_id").alias("u"), F.col("gene_id_r").alias("v"))
-    nodes = best.select(F.col("gene_id").alias("id"), (-F.col("score")).alias("worse"))
+    nodes = best.select(F.col("gene_id").alias("id"), (-F.floor("score")).alias("worse"))
     return graph.suppress(nodes, edges, ["worse"]).select(F.col("id").alias("gene_id"))
 
 
@@ -173,9 +175,9 @@ def homolog_hits(hsps: DataFrame, least_coverage: float = 0.3, least_identity: f
 
 
 def prediction_classes(rows: DataFrame) -> DataFrame:
-    """A (whole and no stops inside), B, C or D by the share of the homolog that is covered."""
+    """A (whole and no stops inside), else B, C or D by the share of the homolog that is covered."""
     share, clear = F.col("covered") / F.col("homolog_len"), F.col("inner_stops") == 0
-    return rows.withColumn("class", F.when((share >= 1.0) & clear, "A").when((share >= 0.8) & clear, "B").when(share >= 0.4, "C").otherwise("D"))
+    return rows.withColumn("class", F.when((share == 1.0) & clear, "A").when(share >= 0.8, "B").when(share >= 0.4, "C").otherwise("D"))
 
 
 def ranked_predictions(rows: DataFrame) -> DataFrame:
@@ -229,43 +231,69 @@ def blast_hits(hsps: DataFrame, lengths: DataFrame | None = None, most_evalue: f
     return hits if most_hits is None else order.best_per_group(hits, ["query"], [F.desc("bitscore"), F.col("evalue"), F.col("subject")], most_hits)
 
 
-def domain_hits(rows: DataFrame, long_cut: float = 1e-5, short_cut: float = 1e-3, short: int = 80, least_coverage: float = 0.25) -> DataFrame:
-    """Domains of genes with the share of the model that they cover; short models have a laxer limit."""
-    cut = F.when(F.col("tlen") < short, short_cut).otherwise(long_cut)
-    kept = rows.filter(F.col("i_evalue") <= cut)
-    covered = intervals.union_length(kept.select("query", "target", F.col("hmm_from").alias("start"), F.col("hmm_to").alias("end")), ["query", "target"])
-    best = kept.groupBy("query", "target").agg(F.min("evalue").alias("evalue"), F.max("score").alias("score"), F.max("tlen").alias("tlen"), F.first("description").alias("description"))
-    return best.join(covered, ["query", "target"]).withColumn("coverage", F.col("covered") / F.col("tlen")).filter(F.col("coverage") >= least_coverage)
+def domain_hits(rows: DataFrame, long_cut: float = 1e-5, short_cut: float = 1e-3, long_from: int = 80, least_coverage: float = 0.25) -> DataFrame:
+    """Domains of genes with the share of the model that all their matches cover, by the E-value of the whole sequence; models from `long_from` on have a stricter limit."""
+    key = ["query", "target"]
+    covered = intervals.union_length(rows.select(*key, F.col("hmm_from").alias("start"), F.col("hmm_to").alias("end")), key)
+    best = rows.groupBy(*key).agg(F.min("evalue").alias("evalue"), F.max("score").alias("score"), F.max("tlen").alias("tlen"), F.min("description").alias("description"))
+    hits = best.join(covered, key).withColumn("coverage", F.col("covered") / F.col("tlen"))
+    return hits.filter((F.col("coverage") >= least_coverage) & (F.col("evalue") <= short_cut) & ((F.col("tlen") < long_from) | (F.col("evalue") <= long_cut)))
 
 
-def validated(transcripts: DataFrame, domains: DataFrame, hits: DataFrame, strict: tuple[float, float] = (1e-10, 0.6), lax: tuple[float, float] = (1e-5, 0.3)) -> DataFrame:
-    """Gene ids with a transcript that either evidence shows strictly, or both laxly."""
-    def kind(rows: DataFrame, ident: str, name: str) -> DataFrame:
-        level = F.when((F.col("evalue") <= strict[0]) & (F.col("coverage") >= strict[1]), 2).when((F.col("evalue") <= lax[0]) & (F.col("coverage") >= lax[1]), 1).otherwise(0)
-        return rows.groupBy(F.col(ident).alias("transcript_id")).agg(F.max(level).alias(name))
+def validated(transcripts: DataFrame, domains: DataFrame, hits: DataFrame, domain: tuple[float, float] = (1e-7, 0.5), hit: tuple[float, float, float] = (1e-12, 0.6, 0.6), both_required: bool = False) -> DataFrame:
+    """Gene ids with a transcript that has rows in both tables; one with rows in one table only needs a strict row there.
 
-    both = kind(domains, "query", "domain").join(kind(hits, "query", "hit"), "transcript_id", "full_outer").fillna(0, ["domain", "hit"])
-    good = both.filter((F.greatest("domain", "hit") == 2) | ((F.col("domain") >= 1) & (F.col("hit") >= 1)))
+    domains: (query, evalue, coverage), at most domain[0] and at least domain[1]; hits: (query, evalue, identity, coverage,
+    s_coverage), at most hit[0], at least hit[1], and both coverages at least hit[2].
+    """
+    a = domains.groupBy(F.col("query").alias("transcript_id")).agg(F.max((F.col("evalue") <= domain[0]) & (F.col("coverage") >= domain[1])).alias("by_domain"))
+    strict = (F.col("evalue") <= hit[0]) & (F.col("identity") >= hit[1]) & (F.least("coverage", "s_coverage") >= hit[2])
+    b = hits.groupBy(F.col("query").alias("transcript_id")).agg(F.max(strict).alias("by_hit"))
+    in_both = F.col("by_domain").isNotNull() & F.col("by_hit").isNotNull()
+    good = a.join(b, "transcript_id", "full_outer").filter(in_both if both_required else in_both | F.coalesce("by_domain", "by_hit"))
     return good.join(transcripts.select("transcript_id", "gene_id"), "transcript_id").select("gene_id").distinct()
 
 
-def reliable(models: DataFrame, by: Sequence[str], p: float = 0.5) -> DataFrame:
-    """`class` excellent, good or plain by how many measures reach their value at index floor(n * p)."""
-    reached: Column = F.lit(0)
-    for c in by:
-        at = order.element_at(models, c, p)
-        reached = reached + (F.col(c) >= F.lit(at)).cast("int") if at is not None else reached
-    return models.withColumn("class", F.when(reached == len(by), "excellent").when(reached > 0, "good").otherwise("plain"))
+def _thresholds(models: DataFrame, p: float) -> tuple[float | None, float | None, int]:
+    """The elements floor(n * p) of cds_num and cds_len, and n."""
+    rows = models.filter("cds_num > 0")
+    return order.element_at(rows, "cds_num", p), order.element_at(rows, "cds_len", p), rows.count()
+
+
+def reliable(models: DataFrame, p: float = 0.5, least_hint: float = 40.0, least_num: int | None = None, least_len: int | None = None) -> DataFrame:
+    """Models with `verdict`: keyword (kept for its keyword), augustus (too few exon hints), length or number (too short, too few parts; in this order), or other (kept).
+
+    models: (keyword boolean, augustus boolean, exon_hint_ratio in percent or null, cds_num, cds_len).  Thresholds that
+    aren't given are the elements floor(n * p) of models with the keyword, 1 part and 300 positions if these are under 10.
+    """
+    num, length, n = _thresholds(models.filter("keyword"), p)
+    num = least_num if least_num is not None else 1 if n < 10 else num
+    length = least_len if least_len is not None else 300 if n < 10 else length
+    few = F.col("augustus") & (F.col("exon_hint_ratio") < least_hint)
+    return models.withColumn("verdict", F.when(F.col("keyword"), "keyword").when(few, "augustus").when(F.col("cds_len") < length, "length").when(F.col("cds_num") < num, "number").otherwise("other"))
+
+
+def hint_sources(models: DataFrame, p: float = 0.333) -> DataFrame:
+    """models with `src`: M (excellent and complete, or filled), E (coding length and number of parts at the elements floor(n * p) of those or over), else P.  models: (excellent, filled boolean, integrity, cds_num, cds_len)."""
+    sure = F.coalesce((F.col("excellent") & (F.col("integrity") == "complete")) | F.col("filled"), F.lit(False))
+    num, length, _ = _thresholds(models.filter(sure), p)
+    enough = (F.col("cds_num") >= F.lit(num)) & (F.col("cds_len") >= F.lit(length)) if num is not None else F.lit(True)  # no threshold, none to miss
+    return models.withColumn("src", F.when(sure, "M").when(enough, "E").otherwise("P"))
 
 
 def hints(models: DataFrame, parts: DataFrame, margin: int = 20) -> DataFrame:
-    """Trimmed CDSpart hints and exact intron hints with source M, E or P by the models' class."""
-    source = F.when(F.col("class") == "excellent", "M").when(F.col("class") == "good", "E").otherwise("P")
-    rows = parts.join(models.select("gene_id", source.alias("src")), "gene_id")
-    coding = intervals.trimmed(rows.filter("type = 'CDS'"), margin).withColumn("type", F.lit("CDSpart"))
-    spliced = intervals.introns(rows.filter("type = 'CDS'"), ["gene_id", "transcript_id", "seqid", "strand", "src"]).withColumn("type", F.lit("intron"))
+    """Exact intron hints; exact CDS hints for models of source M, trimmed CDSpart hints for others; start and stop hints of three positions for M, start for 5prime_partial and stop for 3prime_partial."""
+    rows = parts.join(hint_sources(models).select("gene_id", "src", "integrity"), "gene_id")
     what = ["gene_id", "seqid", "strand", "type", "start", "end", "src"]
-    return coding.select(what).unionByName(spliced.select(what))
+    cds = rows.filter("type = 'CDS'")
+    coding = cds.filter("src = 'M'").unionByName(intervals.trimmed(cds.filter("src != 'M'"), margin).withColumn("type", F.lit("CDSpart")))
+    spliced = intervals.introns(cds, ["gene_id", "transcript_id", "seqid", "strand", "src"]).withColumn("type", F.lit("intron"))
+    low = order.best_per_group(cds, ["gene_id"], [F.col("start"), F.col("end"), F.col("transcript_id")]).withColumn("low", F.lit(True))
+    high = order.best_per_group(cds, ["gene_id"], [F.desc("start"), F.desc("end"), F.col("transcript_id")]).withColumn("low", F.lit(False))
+    ends = low.unionByName(high).filter(F.col("end") - F.col("start") >= 2).withColumn("type", F.when(F.col("low") == (F.col("strand") == "+"), "start").otherwise("stop"))
+    ends = ends.filter((F.col("src") == "M") | F.concat_ws(":", "integrity", "type").isin("5prime_partial:start", "3prime_partial:stop"))
+    ends = ends.withColumns({"start": F.when(F.col("low"), F.col("start")).otherwise(F.col("end") - 2), "end": F.when(F.col("low"), F.col("start") + 2).otherwise(F.col("end"))})
+    return coding.select(what).unionByName(spliced.select(what)).unionByName(ends.select(what)).distinct()
 
 
 def hint_support(cds: DataFrame, introns: DataFrame, evidence_exons: DataFrame, evidence_introns: DataFrame) -> DataFrame:
@@ -330,3 +358,33 @@ def extended(df: DataFrame, seq: str, start: str, end: str, code: int = 1, most:
     after = S.codons(F.upper(F.substr(F.col(seq), (F.col(end) + 1).cast("int"), F.lit(most))))
     stop = F.array_position(F.transform(after, lambda c: c.isin(stops(code))), True)
     return df.withColumn("new_start", (F.col(start) - 3 * F.array_max(starts)).cast("long")).withColumn("new_end", F.when(stop > 0, F.col(end) + 3 * stop).cast("long"))
+
+
+def supported(models: DataFrame, strict: bool = False, least_percent: float = 10.0, least_introns: int = 1, least_ratio: float = 0.01) -> DataFrame:
+    """Models whose transcript support (percent) and, strictly, or else, whose intron support (number and ratio) reach the limits.  models: (transcript_percent, n_introns, intron_ratio)."""
+    a = F.col("transcript_percent") >= least_percent
+    b = (F.col("n_introns") >= least_introns) & (F.col("intron_ratio") >= least_ratio)
+    return models.filter(a & b if strict else a | b)
+
+
+def better_evidence(evidence: DataFrame, reference: DataFrame, overlap: float, ratios: tuple[float, float, float, float]) -> DataFrame:
+    """(gene_id, why) of evidence genes to be taken: `alone` (no coding position in a reference gene), `little` (in each by under `overlap` of their coding length), `larger` (span or coding length over ratios[0] or ratios[1] times that of a reference gene that they overlap by that much), `complete` (over ratios[2] or ratios[3], and complete).
+
+    evidence: coding parts (gene_id, seqid, strand, start, end, complete boolean); reference: the same without `complete`.
+    """
+    def sizes(parts: DataFrame) -> DataFrame:
+        n = intervals.union_length(parts, ["gene_id"]).withColumnRenamed("covered", "len")
+        return n.join(parts.groupBy("gene_id").agg((F.max("end") - F.min("start") + 1).alias("span")), "gene_id")
+
+    key = ["seqid", "strand"]
+    both = intervals.intersection_length(evidence.select(*key, "gene_id", "start", "end").distinct(), reference.select(*key, "gene_id", "start", "end").distinct(), key, "gene_id", closed="strict")
+    own = sizes(evidence).join(evidence.groupBy("gene_id").agg(F.bool_or("complete").alias("complete")), "gene_id")
+    pairs = both.join(own, "gene_id").join(sizes(reference).select(F.col("gene_id").alias("gene_id_r"), F.col("len").alias("len_r"), F.col("span").alias("span_r")), "gene_id_r")
+    much = F.col("covered") / F.col("len") >= overlap
+    larger = lambda a, b: (F.col("span") > F.col("span_r") * a) | (F.col("len") > F.col("len_r") * b)
+    found = pairs.groupBy("gene_id").agg(
+        F.max(F.col("covered") / F.col("len")).alias("ratio"), F.bool_or(much & larger(*ratios[:2])).alias("larger"), F.bool_or(much & larger(*ratios[2:]) & F.col("complete")).alias("longer"),
+    )
+    rows = own.select("gene_id").join(found, "gene_id", "left")
+    why = F.when(F.coalesce("ratio", F.lit(0.0)) == 0, "alone").when(F.col("ratio") < overlap, "little").when(F.col("larger"), "larger").when(F.col("longer"), "complete")
+    return rows.select("gene_id", why.alias("why")).filter("why is not null")

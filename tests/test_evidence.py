@@ -12,8 +12,15 @@ def test_filters(spark):
     kept, out = E.long_enough(rows)
     assert kept.count() == 2 and out.first().gene_id == "g2"
     assert {(r.transcript_id, r.reason) for r in E.filter_reasons(rows).collect()} == {("a", "ratio"), ("c", "ratio"), ("c", "short"), ("c", "repeat")}
+    # Every transcript fails by one reason or another, none by the same.
+    mixed = spark.createDataFrame([("g", "a", 200, 300, 0.0), ("g", "b", 700, 900, 0.5), ("h", "c", 200, 300, 0.0), ("h", "d", 700, 900, 0.0), ("i", "e", 0, 0, None)], "gene_id string, transcript_id string, cds_len long, exon_len long, repeat_share double")
+    assert {(r.transcript_id, r.reason) for r in E.filter_reasons(mixed).collect()} == {("a", "short"), ("b", "repeat"), ("e", "ratio"), ("e", "short")}
     models = spark.createDataFrame([("g1", "a", "complete", 100.0, 0.5, 900), ("g2", "b", "complete", 100.0, 0.0, 900), ("g3", "c", "internal", 100.0, 1.0, 900)], "gene_id string, transcript_id string, integrity string, support double, transcript_ratio double, cds_len long")
     assert [r.gene_id for r in E.surely_right(models).collect()] == ["g1"]
+    more = models.unionByName(spark.createDataFrame([("g2", "d", "internal", 100.0, 0.9, 900), ("g2", "e", "complete", 100.0, 0.3, 9), ("g3", "f", "complete", 100.0, 0.2, 9)], models.schema))
+    assert sorted((r.gene_id, r.transcript_id) for r in E.surely_right(more).collect()) == [("g1", "a"), ("g2", "e"), ("g3", "f")]
+    genes = spark.createDataFrame([("c", "+", 1, 1000), ("c", "-", 1101, 2000), ("c", "+", 2001, 3000), ("c", "+", 2001, 3000)], "seqid string, strand string, start long, end long")
+    assert E.intergenic_flank(genes).first().flank == 125 and E.intergenic_flank(genes.limit(0)).first().flank == 0
 
 
 def test_ends(spark):

@@ -80,11 +80,21 @@ def test_suppression_equals_greedy(spark):
 
 
 def test_similar_by_kmers(spark):
-    rng = random.Random(4)
-    base = "".join(rng.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(100))
-    other = "".join(rng.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(80))
-    df = spark.createDataFrame([("a", base), ("b", base[:95]), ("c", other), ("d", "AC" * 60)], "id string, seq string")
-    assert sorted(r.id for r in graph.similar_by_kmers(df, "id", "seq").collect()) == ["a", "c"]
+    """Against the one-by-one loop: spaced 5-mers of the candidate in overlapping ones of each that stays."""
+    rng = random.Random(3)
+    base = ["".join(rng.choice("ACDEFGHIKLMN") for _ in range(rng.randrange(40, 200))) for _ in range(12)]
+    rows = [(f"b{k}", s) for k, s in enumerate(base)] + [(f"c{k}", s[5 * (k % 3) : -(k % 4) or None]) for k, s in enumerate(base)] + [(f"d{k}", s[: len(s) // 2] + "W" * (k % 3) + s[len(s) // 2 :]) for k, s in enumerate(base)]
+    rows += [("low", "AAAAA" * 20), ("short", "ACD"), ("same1", base[0]), ("none", "")]
+    kept, want = [], []
+    for ident, s in sorted(rows, key=lambda r: (-len(r[1]), r[0])):
+        spaced = {s[i : i + 5] for i in range(0, len(s) - 4, 5)}
+        if round(len(spaced) / (max(1, len(s)) / 5) * 100, 2) < 30:
+            continue
+        if all(round(len(spaced & m) / len(spaced) * 100, 2) <= 80 for m in kept):
+            kept.append({s[i : i + 5] for i in range(len(s) - 4)})
+            want.append(ident)
+    got = [r.id for r in graph.similar_by_kmers(spark.createDataFrame(rows, "id string, seq string"), "id", "seq").collect()]
+    assert sorted(got) == sorted(want) and len(want) < len(rows) - 8
 
 
 def test_sequences(spark):
@@ -102,7 +112,7 @@ def test_sequences(spark):
     assert one(S.masked(F.col("s"), ranges), s="ACGTACG") == "ANNTANG" and one(S.masked(F.col("s"), ranges, "lower"), s="ACGTACG") == "AcgTAcG"
     assert one(S.canonical_splice(F.col("s"), F.lit(3), F.lit(8), F.lit("+")), s="AAGTCCAGAA") and not one(S.canonical_splice(F.col("s"), F.lit(3), F.lit(8), F.lit("-")), s="AAGTCCAGAA")
     assert len(genetic_code.DIFFERENCES) == 24 and genetic_code.stops(1) == ["TAA", "TAG", "TGA"] and all(len(genetic_code.table(k)) == 64 for k in genetic_code.DIFFERENCES)
-    assert S.read_budget(10**7) == 50_000_000 and S.read_budget(10**9) == 200_000_000 and S.segment_size(12345) == 13000 and S.read_quota({"a": 30, "b": 10}, 20) == {"a": 15, "b": 5}
+    assert S.read_budget(10**7) == 50_000_000 and S.read_budget(10**9) == 200_000_000 and S.segment_size(12345) == (1_000_000, 100_000) and S.segment_size(25_001) == (510_000, 51_000) and S.segment_size(60_000) == (1_300_000, 130_000) and S.read_quota({"a": 30, "b": 10}, 20) == {"a": 15, "b": 5}
     assert one(S.species(F.col("s")), s="x_speciesAb1_7") == "speciesAb1" and one(S.unescaped(F.col("s")), s="a%3Ab+c") == "a:b+c" and one(S.percentage(F.col("s")), s="x 12.5% y") == 0.125
 
 
@@ -207,6 +217,10 @@ def test_pipelines(spark):
     cds = spark.createDataFrame([("c", "+", "g1", "t1", 1, 100), ("c", "+", "g1", "t1", 201, 300), ("c", "+", "g2", "t2", 50, 149), ("c", "+", "g3", "t3", 1000, 1099)], "seqid string, strand string, gene_id string, transcript_id string, start long, end long")
     whole = cds.select("transcript_id", F.lit("complete").alias("integrity")).distinct()
     scores = pipelines.transcript_scores(cds, whole)
+    # Two parts of 100: 200 * (1 + 0.3); complete: + 200; from the first file: + 100.
+    assert {r.transcript_id: round(r.score, 6) for r in scores.collect()} == {"t1": 460.0, "t2": 200.0, "t3": 200.0}
+    first = pipelines.transcript_scores(cds.withColumn("file_ord", F.lit(1)), whole.withColumn("integrity", F.lit("5prime_partial")))
+    assert {r.transcript_id: round(r.score, 6) for r in first.collect()} == {"t1": 460.0, "t2": 200.0, "t3": 200.0}
     assert sorted(r.gene_id for r in pipelines.without_redundancy(cds, scores).collect()) == ["g1", "g3"]
     hits = spark.createDataFrame([("c", "LINE", 1, 100), ("c", "LINE", 50, 250), ("c", "Simple_repeat", 1000, 1099)], "seqid string, class string, start long, end long")
     assert sorted(r.gene_id for r in pipelines.genes_clear_of_repeats(cds, hits).collect()) == ["g3"]
@@ -235,6 +249,66 @@ def test_pipelines(spark):
     assert sorted(r.gene_id for r in pipelines.combined(sources).collect()) == ["g2", "g3"]
 
 
+def test_pieces(spark):
+    rows = spark.createDataFrame([(f"c{k}", n) for k, n in enumerate([70] * 6 + [500, 5])], "id string, len long")
+    got = {r.id: r.piece for r in intervals.chunks(rows, [], "len", 100, "id").collect()}
+    assert got == {"c6": 0, "c0": 1, "c1": 1, "c2": 2, "c3": 2, "c4": 3, "c5": 3, "c7": 4}
+    assert intervals.chunks(rows.limit(0), [], "len", 100, "id").count() == 0
+
+
+def test_hints(spark):
+    models = [("m", True, False, "complete", 2, 600), ("e", False, False, "5prime_partial", 2, 700), ("p", False, False, "3prime_partial", 1, 90)]
+    models = spark.createDataFrame(models, "gene_id string, excellent boolean, filled boolean, integrity string, cds_num long, cds_len long")
+    parts = [("m", 1, 300), ("m", 401, 700), ("e", 1001, 1400), ("e", 1501, 1800), ("p", 2001, 2090)]
+    parts = spark.createDataFrame([(g, g, "c", "-" if g == "e" else "+", "CDS", a, b) for g, a, b in parts], "gene_id string, transcript_id string, seqid string, strand string, type string, start long, end long")
+    got = sorted((r.gene_id, r.type, r.start, r.end, r.src) for r in pipelines.hints(models, parts).collect())
+    want = [("m", "CDS", 1, 300, "M"), ("m", "CDS", 401, 700, "M"), ("m", "intron", 301, 400, "M"), ("m", "start", 1, 3, "M"), ("m", "stop", 698, 700, "M")]
+    want += [("e", "CDSpart", 1021, 1380, "E"), ("e", "CDSpart", 1521, 1780, "E"), ("e", "intron", 1401, 1500, "E"), ("e", "start", 1798, 1800, "E")]
+    want += [("p", "CDSpart", 2021, 2070, "P"), ("p", "stop", 2088, 2090, "P")]
+    assert got == sorted(want)
+
+
+def test_genome_names(spark):
+    rows = [(k, i, s) for k, (i, s) in enumerate([("a", "acgtx" * 300), ("a", "AC"), ("a", "ACGTN" * 300), ("Chr1", "AC"), ("b", "AC")])]
+    got = [(r.seq_id, r.seq[:5]) for r in S.clean_genome(spark.createDataFrame(rows, "ord long, seq_id string, seq string")).orderBy("ord").collect()]
+    assert got == [("a", "ACGTN"), ("a_2", "ACGTN"), ("Chr1", "AC")]
+
+
+def test_coding_scores(spark):
+    """Against a loop over positions, stop codons and frames."""
+    from math import log
+
+    rng = random.Random(5)
+    seqs = {k: "".join(rng.choice("ACGT") for _ in range(n)) + e for k, (n, e) in enumerate([(30, "TAA"), (33, ""), (31, "TAG"), (6, ""), (5, ""), (0, ""), (60, "TGA"), (3, "TAA")])}
+    counts, frames = {}, {}
+    for s in seqs.values():
+        for m in range(6):
+            for i in range(m, len(s)):
+                if i == len(s) - 3 and i % 3 == 0 and s[i:] in ("TAA", "TAG", "TGA"):
+                    break
+                if not m:
+                    frames[i % 3] = frames.get(i % 3, 0) + 1
+                counts[s[i - m : i + 1], i % 3] = counts.get((s[i - m : i + 1], i % 3), 0) + 1
+    before = lambda w, f: counts.get((w[:-1], (f - 1) % 3), 0) if len(w) > 1 else frames.get((f - 1) % 3, 0)
+    model = {(w, f): log((n + 1) / (before(w, f) + 4) / 0.25) for (w, f), n in counts.items()}
+
+    def score(s):
+        total = 0.0
+        for i in range(len(s)) if len(s) >= 6 else ():
+            if i == len(s) - 3 and i % 3 == 0 and s[i:] in ("TAA", "TAG", "TGA"):
+                break
+            total += model.get((s[max(0, i - 5) : i + 1], i % 3), 0.0)
+        return total
+
+    df = spark.createDataFrame(list(seqs.items()), "id long, seq string")
+    found = statistics.coding_model(df, "seq", spark.createDataFrame([(b, 0.25) for b in "ACGT"], "base string, p double"))
+    assert {(r.kmer, r.frame): round(r.loglik, 9) for r in found.collect()} == {k: round(v, 9) for k, v in model.items()}
+    for r in statistics.coding_scores(df, "id", "seq", found).collect():
+        s = seqs[r.id]
+        minus = s.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+        assert [round(r[f"score_{k}"], 6) for k in range(1, 7)] == [round(score(x[f:]), 6) for x in (s, minus) for f in range(3)]
+
+
 def test_statistics(spark):
     df = spark.createDataFrame([(float(x),) for x in [1, 2, 3, 4, 100]], "v double")
     assert max(r.v for r in statistics.fenced(df, "v").collect()) == 7.0
