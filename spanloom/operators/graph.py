@@ -20,7 +20,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _with_lowest(rows: DataFrame, n: int, with_self: bool) -> DataFrame:
+def with_lowest(rows: DataFrame, n: int, with_self: bool) -> DataFrame:
     """rows (u, v) with m, the smallest v of their u (or u itself).
 
     Nodes of over max(256, n / 4096) of the n rows are at most 4096; those go by broadcast, so a hub's rows stay
@@ -46,9 +46,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         before = now
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_lowest(both, 2 * now[0], True).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = with_lowest(both, 2 * now[0], True).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = _with_lowest(large, now[0], False).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").unionByName(low.select("u", F.col("m").alias("v")))
+        small = with_lowest(large, now[0], False).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").unionByName(low.select("u", F.col("m").alias("v")))
         stars = checkpoint(small.distinct())
     raise RuntimeError(f"components didn't settle in {most_rounds} rounds")
 
