@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import checkpoint
-from .graphs import components, grouped, in_blocks, roots
+from .graphs import components, grouped, in_blocks, roots, smallest_of_root
 
 THRESHOLD = 0.98
 #: Pivots, length of the permutations' prefix, and vectors of the sample.
@@ -164,8 +164,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, nearest: i
     links = checkpoint(grouped(blocks, ["label", "size", "p", "q", "i", "j"], _compare(threshold, kind), "rep long, links long, root long", ROWS))
     root = components(links.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     counts = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    linked = checkpoint(root.join(classes.select("rep", "first"), F.col("rep") == F.col("node")).select("rep", "root", "first"))
-    low = linked.join(linked.groupBy("root").agg(F.min("first").alias("low")), "root").select("rep", "low")
+    low = smallest_of_root(root.join(classes.select("rep", "first"), F.col("rep") == F.col("node")).select("rep", "root", "first"))
     by_class = classes.select("k1", "k2", "rep", "first", "copies").join(counts, "rep", "left").join(low, "rep", "left")
     by_class = by_class.select("k1", "k2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("low", "first").alias("component_id"))
     alone = rows.filter("k1 is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

@@ -9,10 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.graph import components
+from ..operators.graph import components, with_lowest
 from .common import checkpoint, small
 
-__all__ = ["BLOCK", "components", "grouped", "in_blocks", "roots"]
+__all__ = ["BLOCK", "components", "grouped", "in_blocks", "roots", "smallest_of_root"]
 
 #: Rows of a group that one task holds at a time are two blocks at most.
 BLOCK = 256
@@ -77,3 +77,10 @@ def roots(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         if (new == label).all():
             return label
         label = new
+
+
+def smallest_of_root(linked: DataFrame) -> DataFrame:
+    """(rep, low) of (rep, root, first): the smallest `first` of each root's rows.  A root of very many rows is no hot key."""
+    linked = checkpoint(linked)
+    rows = linked.select(F.col("root").alias("u"), F.col("first").alias("v"), "rep")
+    return with_lowest(rows, linked.count(), False).select("rep", F.col("m").alias("low"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import shingles
 from .common import checkpoint, free_names, own_columns, small, text_of
-from .graphs import BLOCK, components, grouped, in_blocks, roots
+from .graphs import BLOCK, components, grouped, in_blocks, roots, smallest_of_root
 
 SHINGLE, THRESHOLD = 5, 0.8
 ROWS, BANDS = 5, 32
@@ -185,9 +185,7 @@ def join(documents: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD, t
     links = checkpoint(grouped(blocks, ["group", "i", "j"], _compare(k, threshold, tolerance), "rep long, links long, root long"))
     root = components(links.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     counts = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    linked = checkpoint(root.join(classes.select("rep", "first"), F.col("rep") == F.col("node")).select("rep", "root", "first"))
-    lowest = linked.groupBy("root").agg(F.min("first").alias("low"))
-    low = linked.join(lowest, "root").select("rep", "low")
+    low = smallest_of_root(root.join(classes.select("rep", "first"), F.col("rep") == F.col("node")).select("rep", "root", "first"))
     by_class = classes.join(counts, "rep", "left").join(low, "rep", "left").withColumn("low", F.coalesce("low", "first"))
     n_links = (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long")
     by_class = by_class.select("k1", "k2", n_links.alias("n_links"), F.col("low.doc_id").alias("class_id"), F.col("low.h").alias("class_h"))
