@@ -7,8 +7,9 @@ multiset that fills the rest of the window closest to its capacity; counts are b
 bitsets.  What slack is left is filled by cutting a piece.  A partition's last ids fill windows whose sizes
 are powers of two, which need no padding.
 
-Every partition packs its own rows in one pass without a shuffle; the pool is bounded, so memory doesn't
-grow with the partition.  Sequence ids hold the partition's number, so a task that runs again gives the
+Every partition packs its own rows in one pass without a shuffle; the pool is bounded, and so are the words
+that a worker remembers, by their number and their letters, so memory doesn't grow with the partition but
+only with the longest text (a text without blanks is one word).  Sequence ids hold the partition's number, so a task that runs again gives the
 same rows.  Null texts are empty: they have the end id alone.
 """
 
@@ -31,8 +32,8 @@ from .common import kept, text_of
 
 WIDTH, END_ID, POOL = 4096, 2, 2048
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-#: Words whose ids a worker keeps; beyond, it starts anew.
-MOST_WORDS = 1_000_000
+#: Words whose ids a worker keeps, and their letters; beyond, it starts anew with the next slice of texts.
+MOST_WORDS, MOST_LETTERS = 1_000_000, 16_000_000
 
 
 def best_counts(lengths: Counter, capacity: int) -> tuple[int, dict[int, int]]:
@@ -138,7 +139,7 @@ class WordIds:
         self.known: dict[str, int] = {}
         self.flat = np.empty(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 16, np.int64)  # of word k: ends[k + 1]
-        self.n = 0
+        self.n = self.letters = 0
 
     def _append(self, counts: np.ndarray, ids: np.ndarray) -> None:
         used = self.ends[self.n]
@@ -151,6 +152,7 @@ class WordIds:
         self.n += len(counts)
 
     def _learn(self, words: list[str]) -> None:
+        self.letters += sum(map(len, words))
         simple, other, parts = [], [], []
         for w in words:
             m = self.SIMPLE.fullmatch(w)
@@ -177,7 +179,7 @@ class WordIds:
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Little-endian ids of each text, END_ID at the end."""
-        if self.n > MOST_WORDS:
+        if self.n > MOST_WORDS or self.letters > MOST_LETTERS:
             self.clear()
         texts = shingles.fresh(texts)
         whole = pc.match_substring(texts, "<|")

@@ -7,7 +7,9 @@ decoding gives every text back.
 
 Pieces hold blanks only at their start, and none holds a line break, so a text's best path is that of its
 units (blanks with the letters after them, or a line break).  Each distinct unit is encoded once per worker,
-and units of a batch advance through the trie together.
+and units of a batch advance through the trie together.  A long unit (a text without blanks) is cut at all
+places that no piece reaches over, and its parts are encoded like units; one that has no such place takes a
+step for each of its bytes.
 
 A BPE vocabulary has merge ranks instead of log scores; its pieces get the log of Zipf's law, -log(rank + 1).
 Null texts are empty; an empty text has no pieces.
@@ -15,6 +17,7 @@ Null texts are empty; an empty text has no pieces.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 import zlib
@@ -31,7 +34,10 @@ from .common import kept, text_of
 
 UNKNOWN = 10.0
 MARK = "▁"
-MOST_UNITS = 1_000_000
+#: Units that a worker keeps, and their letters; beyond, it starts anew with the next slice of texts.
+MOST_UNITS, MOST_LETTERS = 1_000_000, 16_000_000
+#: Longer units (text without blanks) are cut where no piece reaches over.
+LONG = 64
 UNIT = re.compile("\n| +[^ \n]*|[^ \n]+")
 SCHEMA = "doc_id long, n_tokens long, ids_crc32 long, n_byte_pieces long, score double, n_chars long, decoded_sha256 string, round_trip boolean"
 
@@ -97,6 +103,7 @@ def build_trie(pieces: list[tuple[bytes, int]]) -> Trie:
     return Trie(np.append(base, np.zeros(pad, np.int32)), np.append(check, np.full(pad, -1, np.int32)), np.append(value, np.full(pad, -1, np.int32)))
 
 
+@functools.lru_cache(maxsize=2)
 def load(path: str) -> Vocabulary:
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2
@@ -195,6 +202,24 @@ def _viterbi(units: list[bytes], some: np.ndarray, lengths: np.ndarray, v: Vocab
         ids[k] = x
 
 
+def parts(unit: bytes, v: Vocabulary) -> list[bytes]:
+    """The unit cut wherever no piece, and no character, reaches over: its best path is that of its parts."""
+    data = np.frombuffer(unit, np.uint8).astype(np.int64)
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    reach = np.append(starts[1:], len(data))
+    who, node, e = np.arange(len(starts)), np.zeros(len(starts), np.int64), starts
+    while len(who):
+        inside = e < len(data)
+        who, node, e = who[inside], node[inside], e[inside]
+        to = v.trie.base[node] + data[e]
+        go = v.trie.check[to] == node
+        who, node, e = who[go], to[go], e[go] + 1
+        hit = v.trie.value[node] >= 0
+        reach[who[hit]] = np.maximum(reach[who[hit]], e[hit])
+    cut = starts[1:][starts[1:] >= np.maximum.accumulate(reach)[:-1]].tolist()
+    return [unit[a:b] for a, b in zip([0, *cut], [*cut, len(unit)], strict=True)]
+
+
 class Encoder:
     """A worker's units and their ids."""
 
@@ -207,9 +232,18 @@ class Encoder:
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.flat, self.ends, self.scores, self.n = np.empty(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16), 0
+        self.letters = 0
+
+    def _viterbi(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """viterbi of the units, by way of the parts of long ones."""
+        cut = [parts(u, self.v) if len(u) > LONG else [u] for u in units]
+        ids, counts, scores = viterbi([p for ps in cut for p in ps], self.v)
+        first = np.cumsum([0, *(len(ps) for ps in cut[:-1])]) if cut else np.zeros(0, np.int64)
+        return ids, np.add.reduceat(counts, first), np.add.reduceat(scores, first)
 
     def _learn(self, units: list[str]) -> None:
-        ids, counts, scores = viterbi([u.encode() for u in units], self.v)
+        self.letters += sum(map(len, units))
+        ids, counts, scores = self._viterbi([u.encode() for u in units])
         used, n = self.ends[self.n], len(units)
         while used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
@@ -223,7 +257,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, bounds of each text, scores)."""
-        if self.n > MOST_UNITS:
+        if self.n > MOST_UNITS or self.letters > MOST_LETTERS:
             self.clear()
         lists = [UNIT.findall(f" {t}") if t else [] for t in texts]
         if missing := list({u for units in lists for u in units if u not in self.known}):

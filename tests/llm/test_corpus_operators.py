@@ -262,6 +262,34 @@ def test_viterbi_is_best():
         assert abs(score[0] - best[-1]) < 1e-9 and v.flat[np.concatenate([np.arange(v.ends[i], v.ends[i + 1]) for i in ids])].tobytes() == unit.encode()
 
 
+def test_long_texts_without_blanks():
+    """Parts of long units give the best path of the whole; stores stay small; a long text isn't slow."""
+    import time
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    v = sentencepieces.load(sentencepieces.model_path())
+    encoder = sentencepieces.Encoder(v)
+    signs = [chr(c) for c in [*range(0x4E00, 0x4E80), *range(97, 123), *range(0xE0, 0xF0), 0x1F600]]
+    units = ["".join(rng.choice(signs, n)) for n in (70, 200, 500)] + ["a" * 300, "日本" * 60, "the" * 90]
+    for u in units:
+        ids, counts, scores = encoder._viterbi([u.encode()])
+        whole, _, best = sentencepieces.viterbi([u.encode()], v)
+        assert abs(scores[0] - best[0]) < 1e-6 and counts[0] == len(ids) and v.flat[np.concatenate([np.arange(v.ends[i], v.ends[i + 1]) for i in ids])].tobytes() == u.encode()
+    texts = ["".join(rng.choice(signs[:128], 100_000)) for _ in range(3)]
+    began = time.process_time()
+    ids, bounds, _ = encoder.encode(texts)
+    assert time.process_time() - began < 3 * 0.9 and [encoder.decode(ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == texts
+    packer = packing.WordIds(packing.tokenizer_path())
+    for k in range(30):
+        part = ["".join(rng.choice(signs[:128], 100_000)) for _ in range(10)]
+        packer.encode(pa.array(part, pa.large_string()))
+        encoder.encode(part)
+        assert max(packer.letters, encoder.letters) <= 18_000_000
+    assert len(packer.known) < 200 and sum(map(len, packer.known)) == packer.letters
+
+
 def test_licenses(documents, empty, texts):
     rows = licenses.op6(documents).collect()
     assert len(rows) == len(texts) and licenses.op6(empty).count() == 0
