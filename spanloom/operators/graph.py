@@ -21,14 +21,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def with_lowest(rows: DataFrame, n: int, with_self: bool) -> DataFrame:
-    """rows (u, v) with m, the smallest v of their u (or u itself).
+    """rows (u, v, ...) with m, the smallest v of their u (or u itself).  rows are to be cheap to read (a checkpoint).
 
-    Nodes of over max(256, n / 4096) of the n rows are at most 4096; those go by broadcast, so a hub's rows stay
-    where they are, and no other node has many rows in one task.
+    Nodes of over max(256, n / 4096) of the n rows are at most 4096; those, if there are any, go by broadcast, so a
+    hub's rows stay where they are, and no other node has many rows in one task.
     """
     m = F.least("u", F.min("v")) if with_self else F.min("v")
     low, most = rows.groupBy("u").agg(m.alias("m"), F.count("*").alias("n")), max(256, n // 4096)
-    hubs = F.broadcast(low.filter(F.col("n") > most).select("u", "m"))
+    found = low.filter(F.col("n") > most).select("u", "m").collect()
+    if not found:
+        return rows.join(low.select("u", "m"), "u")
+    hubs = F.broadcast(rows.sparkSession.createDataFrame(found, low.select("u", "m").schema))
     others = rows.join(hubs.select("u"), "u", "left_anti").join(low.filter(F.col("n") <= most).select("u", "m"), "u")
     return rows.join(hubs, "u").unionByName(others)
 
@@ -46,7 +49,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         before = now
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = with_lowest(both, 2 * now[0], True).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = checkpoint(with_lowest(both, 2 * now[0], True).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = with_lowest(large, now[0], False).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").unionByName(low.select("u", F.col("m").alias("v")))
         stars = checkpoint(small.distinct())
