@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import tempfile
 from collections.abc import Sequence
 
@@ -82,7 +83,7 @@ def suppress(nodes: DataFrame, edges: DataFrame, order: Sequence[str], most_roun
 def prune_by_degree(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """A10: in every component the node of most edges goes (ties: lower score, then larger id) until pairs are left; of a pair the lower score goes.
 
-    nodes: (id, score).  Components are small, since they are local; each is one group.
+    nodes: (id, score).  Which node goes depends on all that went before, so each component is one call, of E log E steps for its E edges.
     """
     roots = components(edges)
     rows = edges.filter("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().join(roots, F.col("u") == F.col("node")).drop("node")
@@ -95,11 +96,17 @@ def prune_by_degree(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         for u, v in zip(pdf.u, pdf.v, strict=True):
             near[u].add(v)
             near[v].add(u)
-        out = []
-        while any(near.values()):
-            k = max((n for n in near if near[n]), key=lambda n: (len(near[n]), -scores[n], n))
+        place = {k: -i for i, k in enumerate(sorted(near))}
+        entry = lambda k: (-len(near[k]), scores[k], place[k], k)
+        heap, out = [entry(k) for k in near], []
+        heapq.heapify(heap)
+        while heap:
+            n, _, _, k = heapq.heappop(heap)
+            if k not in near or not near[k] or -n != len(near[k]):
+                continue  # an older entry
             for other in near.pop(k):
                 near[other].discard(k)
+                heapq.heappush(heap, entry(other))
             out.append(k)
         return pd.DataFrame({"id": out})
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .graph import checkpoint
+
 
 def best_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first n rows of each group; order must be total (Q1)."""
@@ -44,30 +46,49 @@ def statistic_at(df: DataFrame, keys: Sequence[str], value: str, p: float) -> Da
     return ranked.filter(F.col("_k") == F.least(F.floor(F.col("_n") * p), F.col("_n") - 1) + 1).select(*keys, F.col(value).alias("at"))
 
 
-def element_at(df: DataFrame, value: str, p: float, most: int = 100_000) -> float | None:
-    """Q3 for a whole table: element min(floor(n * p), n - 1) of the ascending values, exactly.
+def element(df: DataFrame, value: str, index: Callable[[int], int], most: int = 100_000) -> float | None:
+    """Element index(n), from 0, of the n ascending values of a whole table, exactly; null values don't count.
 
-    A bracket around the element is narrowed by approximate quantiles and exact counts until it has few
-    distinct rows; only those are sorted in one place.
+    A bracket around the element is narrowed by approximate quantiles, checked by exact counts, until it has at
+    most `most` rows; only those are sorted in one place.  A quantile that is the element itself ends the search.
     """
     rows = df.select(F.col(value).alias("v")).filter("v is not null")
-    n = rows.count()
+    n, low, high = rows.agg(F.count("*"), F.min("v"), F.max("v")).first()
     if not n:
         return None
-    k, low, high = min(math.floor(n * p), n - 1), None, None
-    while True:
-        part = rows if low is None else rows.filter((F.col("v") >= F.lit(low)) & (F.col("v") <= F.lit(high)))
-        below = 0 if low is None else rows.filter(F.col("v") < F.lit(low)).count()
-        m = part.count()
-        if m <= most or (low is not None and low == high):
-            found = part.orderBy("v").limit(k - below + 1).agg(F.max("v")).first()[0] if low is None or low != high else low
-            return found
-        at = (k - below) / m
-        a, b = part.agg(F.percentile_approx("v", [max(0.0, at - 0.002), min(1.0, at + 0.002)], 10_000)).first()[0]
-        in_a, in_b = rows.agg(F.count(F.when(F.col("v") < F.lit(a), 1)), F.count(F.when(F.col("v") <= F.lit(b), 1))).first()
-        if not in_a <= k < in_b or (a, b) == (low, high):
+    k, below, m, slack = index(n), 0, n, 0.002
+    while low != high:
+        part = rows.filter((F.col("v") >= F.lit(low)) & (F.col("v") <= F.lit(high)))
+        if m <= most:
             return part.orderBy("v").limit(k - below + 1).agg(F.max("v")).first()[0]
-        low, high = a, b
+        at = (k - below) / m
+        a, mid, b = part.agg(F.percentile_approx("v", [max(0.0, at - slack), at, min(1.0, at + slack)], 10_000)).first()[0]
+        is_, v = F.lit, F.col("v")
+        under_a, upto_b, under, upto, before, after = rows.agg(
+            F.count_if(v < is_(a)), F.count_if(v <= is_(b)), F.count_if(v < is_(mid)), F.count_if(v <= is_(mid)), F.max(F.when(v < is_(mid), v)), F.min(F.when(v > is_(mid), v)),
+        ).first()
+        if under <= k < upto:
+            return mid
+        if under_a <= k < upto_b and (a, b) != (low, high):
+            low, high, below, m = a, b, under_a, upto_b - under_a
+        elif k < under:  # at least the middle's own rows leave the bracket
+            high, m, slack = before, under - below, min(0.5, slack * 4)
+        else:
+            low, below, m, slack = after, upto, m - (upto - below), min(0.5, slack * 4)
+    return low
+
+
+def element_at(df: DataFrame, value: str, p: float, most: int = 100_000) -> float | None:
+    """Q3 for a whole table: element min(floor(n * p), n - 1) of the ascending values."""
+    return element(df, value, lambda n: min(math.floor(n * p), n - 1), most)
+
+
+def medians_of_few(df: DataFrame, key: str, value: str) -> DataFrame:
+    """A5 for groups that are few but may be large: (key, median), the upper median of each, found without a group in one task.  Each group is searched on its own."""
+    names = [r[0] for r in df.select(key).distinct().collect()]  # few by the caller's word
+    rows = [(name, element_at(df.filter(F.col(key).eqNullSafe(F.lit(name))), value, 0.5)) for name in names]
+    kinds = dict(df.dtypes)
+    return df.sparkSession.createDataFrame(rows, f"`{key}` {kinds[key]}, median {kinds[value]}")
 
 
 def neighbour_overlaps(df: DataFrame, keys: Sequence[str], order: Sequence[str], share: float = 0.1) -> DataFrame:
@@ -92,16 +113,17 @@ def numbered(df: DataFrame, keys: Sequence[str], start: str, strand: str, name:
 
 
 def renamed(df: DataFrame, prefix: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Names with numbers padded to the width of the count, numbered by key in the order of keys, then by `order` inside each.
+    """Names with numbers padded to the width of the count, numbered in the order of keys, then of `order`.
 
-    Keys are few against rows; only their counts are added up in one place.
+    Rows are dealt out by ranges of that order and numbered inside each; only the ranges' counts are added up in one place.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy(*keys).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    width = len(str(df.count()))
-    own = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    rows = df.withColumn("_own", own).join(offsets.select(*keys, "_before"), list(keys))
-    return rows.withColumn("name", F.concat(F.lit(prefix), F.lpad((F.col("_before") + F.col("_own")).cast("string"), width, "0"))).drop("_own", "_before")
+    ranged = checkpoint(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    offsets = F.broadcast(counts.select("_part", F.coalesce(before, F.lit(0)).alias("_before")))  # a row for each partition
+    width = len(str(ranged.count()))
+    rows = ranged.withColumn("_own", F.row_number().over(W.partitionBy("_part").orderBy(*keys, *order))).join(offsets, "_part")
+    return rows.withColumn("name", F.concat(F.lit(prefix), F.lpad((F.col("_before") + F.col("_own")).cast("string"), width, "0"))).drop("_own", "_before", "_part")
 
 
 def all_fail(df: DataFrame, keys: Sequence[str], fails: Column) -> DataFrame:

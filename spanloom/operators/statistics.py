@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .intervals import union_length
+from .order import element
 
 
 def rollup_union(df: DataFrame, levels: Sequence[str], keys: Sequence[str], bin_width: int) -> DataFrame:
@@ -67,13 +68,16 @@ def model_score(length: Column, n_parts: Column, ratio: float, bonus: Column | f
 
 
 def fenced(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Values held within 1.5 interquartile ranges of the quartiles; quartile p is element floor((n - 1) * p)."""
-    by = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
+    """Values held within 1.5 interquartile ranges of the quartiles; quartile p is element floor((n - 1) * p).  Without keys the whole table's quartiles are searched for, so nothing is gathered."""
+    held = lambda q1, q3: F.least(F.greatest(F.col(value), q1 - 1.5 * (q3 - q1)), q3 + 1.5 * (q3 - q1))
+    if not keys:
+        q1, q3 = (element(df, value, lambda n, p=p: int((n - 1) * p)) for p in (0.25, 0.75))
+        return df if q1 is None else df.withColumn(value, held(F.lit(q1), F.lit(q3)))
+    by = W.partitionBy(*keys)
     ranked = df.withColumn("_k", F.row_number().over(by.orderBy(value))).withColumn("_n", F.count("*").over(by))
     at = lambda p: F.max(F.when(F.col("_k") == F.floor((F.col("_n") - 1) * p) + 1, F.col(value))).over(by)
     rows = ranked.withColumns({"_q1": at(0.25), "_q3": at(0.75)})
-    reach = 1.5 * (F.col("_q3") - F.col("_q1"))
-    return rows.withColumn(value, F.least(F.greatest(F.col(value), F.col("_q1") - reach), F.col("_q3") + reach)).drop("_k", "_n", "_q1", "_q3")
+    return rows.withColumn(value, held(F.col("_q1"), F.col("_q3"))).drop("_k", "_n", "_q1", "_q3")
 
 
 def isoform_histogram(df: DataFrame, gene: str) -> DataFrame:
@@ -120,9 +124,9 @@ def flank_length(median_gene: Column, median_gap: Column) -> Column:
 
 
 def shares(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Each row's part of its group's sum."""
-    by = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
-    return df.withColumn("p", F.col(value) / F.sum(value).over(by))
+    """Each row's part of its group's sum, of the table's without keys."""
+    total = F.sum(value).over(W.partitionBy(*keys)) if keys else F.lit(df.agg(F.sum(value)).first()[0])
+    return df.withColumn("p", F.col(value) / total)
 
 
 _STOPS = r"(TAA|TAG|TGA)$"

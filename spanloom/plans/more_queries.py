@@ -147,7 +147,7 @@ def length_statistics(spark, d):
     """A5 over several lengths, with upper medians."""
     rows = items(spark, d).select(F.lit("item").alias("what"), (F.col("end") - F.col("start") + 1).alias("n"))
     rows = rows.unionByName(read(spark, d, "documents").select(F.lit("text").alias("what"), F.col("n_chars").alias("n")))
-    return rows.groupBy("what").agg(F.count("*").alias("count"), F.sum("n").cast("long").alias("sum")).join(order.upper_median(rows, ["what"], "n"), "what")
+    return rows.groupBy("what").agg(F.count("*").alias("count"), F.sum("n").cast("long").alias("sum")).join(order.medians_of_few(rows, "what", "n"), "what")
 
 
 LENGTH_STATISTICS = f"""WITH r AS (SELECT 'item' AS what, e - s + 1 AS n FROM ({ITEMS_SQL}) UNION ALL SELECT 'text', n_chars FROM documents) SELECT what, count(*) AS count, sum(n)::BIGINT AS sum, list_sort(list(n))[CAST(floor(count(*) / 2) AS INTEGER) + 1] AS median FROM r GROUP BY what"""

@@ -326,7 +326,7 @@ def model_statistics(genes: DataFrame, cds: DataFrame, exons: DataFrame) -> Data
     rows = rows.unionByName(exons.select(F.lit("exon").alias("what"), length.alias("n")))
     rows = rows.unionByName(intervals.introns(exons, ["transcript_id"]).select(F.lit("intron").alias("what"), length.alias("n")))
     rows = rows.unionByName(intervals.gaps(genes, ["seqid"], ["gene_id"]).filter("gap > 0").select(F.lit("intergenic").alias("what"), F.col("gap").alias("n")))
-    return rows.groupBy("what").agg(F.count("*").alias("count"), F.sum("n").alias("sum"), F.avg("n").alias("mean")).join(order.upper_median(rows, ["what"], "n"), "what")
+    return rows.groupBy("what").agg(F.count("*").alias("count"), F.sum("n").alias("sum"), F.avg("n").alias("mean")).join(order.medians_of_few(rows, "what", "n"), "what")
 
 
 def routed(transcripts: DataFrame, coding_reasons: DataFrame) -> DataFrame:

@@ -326,3 +326,15 @@ def test_streaming(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted((r.u, r.n) for r in spark.sql("select * from isles").collect()) == [(1, 1), (1, 2)]
+
+
+def test_elements_of_odd_tables(spark):
+    """Few different values, one value of most rows, two far values: the element is exact, whatever the quantiles say."""
+    rng = random.Random(9)
+    tables = [[1] * 500 + [2] * 3, [5] * 300, [0] * 100 + [10**12] * 101, [rng.randrange(4) for _ in range(400)], [-1e300] + [float(k) for k in range(300)] + [1e300]]
+    for values in tables:
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(3)
+        for k in (0, 1, len(values) // 2, len(values) - 2, len(values) - 1):
+            assert order.element(df, "v", lambda n, k=k: k, 7) == sorted(values)[k]
+    groups = spark.createDataFrame([("a", 1), ("a", 9), (None, 4), ("b", None)], "k string, v long")
+    assert {r.k: r.median for r in order.medians_of_few(groups, "k", "v").collect()} == {"a": 9, None: 4, "b": None}
