@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import sequences as S
+from ..functions.genetic_code import stops
 from ..operators import graph, intervals, order, statistics
 
 # Repeat classes that don't count against genes.
@@ -190,8 +191,9 @@ def ranked_predictions(rows: DataFrame) -> DataFrame:
 def selected_orfs(orfs: DataFrame, scores: DataFrame, blast: DataFrame | None = None, pfam: DataFrame | None = None, keep_longer: int = 1_000_000, single_best: bool = False, most_overlap: float = 0.1) -> DataFrame:
     """Open reading frames (id, transcript_id, strand, start, end) worth keeping.
 
-    Kept with homology, or over `keep_longer`, or with a first-frame score over 0 that no other frame beats; of those
-    that overlap by over `most_overlap` of the shorter the first by homology, score and length stays.
+    Kept with homology, or from `keep_longer` positions on, or with a first-frame score over 0 that the other two frames
+    of the strand don't reach; of those that overlap by over `most_overlap` of the shorter, on either strand, the first by
+    homology, score and length stays.  single_best: of what then stays, the longest of most homology for each transcript.
     """
     rows = orfs.withColumn("len", F.col("end") - F.col("start") + 1).join(scores, "id", "left").withColumn("homology", F.lit(0))
     for hits in (blast, pfam):
@@ -199,13 +201,12 @@ def selected_orfs(orfs: DataFrame, scores: DataFrame, blast: DataFrame | None =
             rows = rows.join(hits.select(F.col("query").alias("id")).distinct().withColumn("_hit", F.lit(1)), "id", "left").withColumn("homology", F.col("homology") + F.coalesce("_hit", F.lit(0))).drop("_hit")
     coding = (F.col("score_1") > 0) & (F.col("score_1") > F.greatest("score_2", "score_3"))
     rows = rows.filter((F.col("homology") > 0) | (F.col("len") >= keep_longer) | F.coalesce(coding, F.lit(False)))
-    if single_best:
-        return order.best_per_group(rows, ["transcript_id"], [F.desc("homology"), F.desc("score_1"), F.desc("len"), F.col("id")])
     pairs = intervals.self_overlaps(rows.select("transcript_id", "id", "start", "end", "len"), ["transcript_id"], "id")
     both = intervals.nucleotides_in_common(F.col("start"), F.col("end"), F.col("start_r"), F.col("end_r"))
     edges = pairs.filter(both > most_overlap * F.least("len", "len_r")).select(F.col("id").alias("u"), F.col("id_r").alias("v"))
     nodes = rows.select("id", (-F.col("homology")).alias("a"), (-F.coalesce("score_1", F.lit(0.0))).alias("b"), (-F.col("len")).alias("c"))
-    return rows.join(graph.suppress(nodes, edges, ["a", "b", "c"]).select("id"), "id", "left_semi")
+    kept = rows.join(graph.suppress(nodes, edges, ["a", "b", "c"]).select("id"), "id", "left_semi")
+    return order.best_per_group(kept, ["transcript_id"], [F.desc("homology"), F.desc("len"), F.col("id")]) if single_best else kept
 
 
 def without_eclipsed(orfs: DataFrame) -> DataFrame:
@@ -346,9 +347,7 @@ def combined(sources: DataFrame, priority: Sequence[str] = ("augustus", "transfr
 
 
 def extended(df: DataFrame, seq: str, start: str, end: str, code: int = 1, most: int = 3000) -> DataFrame:
-    """F8 on the plus strand: `new_start`, at the furthest start codon in frame before `start` with no stop between, and `new_end`, at the first stop in frame from `end` on; null where there is none within `most`."""
-    from ..functions.genetic_code import stops
-
+    """F8 on the strand that seq is written on: `new_start`, at the furthest start codon in frame before `start` with no stop between, and `new_end`, at the first stop in frame from `end` on; null where there is none within `most`."""
     up = F.substr(F.col(seq), F.greatest(F.lit(1), F.col(start) - most).cast("int"), F.least(F.lit(most), F.col(start) - 1).cast("int"))
     trimmed = F.substr(up, (F.length(up) % 3 + 1).cast("int"), F.length(up))
     before = F.reverse(S.codons(F.upper(trimmed)))
@@ -360,6 +359,47 @@ def extended(df: DataFrame, seq: str, start: str, end: str, code: int = 1, most:
     return df.withColumn("new_start", (F.col(start) - 3 * F.array_max(starts)).cast("long")).withColumn("new_end", F.when(stop > 0, F.col(end) + 3 * stop).cast("long"))
 
 
+def ends_filled(models: DataFrame, genome: DataFrame, code: int = 1, most: int = 3000) -> DataFrame:
+    """Models (id, seqid, strand, start, end: a coding span in whole codons) with new_start and new_end, forced out to a start and a stop codon in frame on either strand; an end that finds none within `most` keeps its place, and `filled` is false.
+
+    On the minus strand positions are counted from the other end of the reverse complement, and back.
+    """
+    rows = models.join(genome.select("seqid", F.col("seq").alias("_seq")), "seqid")
+    n, minus = F.length("_seq").cast("long"), F.col("strand") == "-"
+    turn = lambda a, b: F.when(minus, n - F.col(b) + 1).otherwise(F.col(a))
+    rows = rows.withColumns({"_a": turn("start", "end"), "_b": turn("end", "start"), "_s": F.when(minus, S.revcomp(F.col("_seq"))).otherwise(F.upper("_seq"))})
+    own_stop = F.substr("_s", (F.col("_b") - 2).cast("int"), F.lit(3)).isin(stops(code))
+    own_start = F.substr("_s", F.col("_a").cast("int"), F.lit(3)) == "ATG"
+    found = extended(rows, "_s", "_a", "_b", code, most)
+    a = F.when(own_start, F.col("_a")).otherwise(F.col("new_start"))
+    b = F.when(own_stop, F.col("_b")).otherwise(F.col("new_end"))
+    found = found.withColumns({"filled": a.isNotNull() & b.isNotNull(), "_x": F.coalesce(a, F.col("_a")), "_y": F.coalesce(b, F.col("_b"))})
+    back = found.withColumns({"new_start": F.when(minus, n - F.col("_y") + 1).otherwise(F.col("_x")), "new_end": F.when(minus, n - F.col("_x") + 1).otherwise(F.col("_y"))})
+    return back.select(*models.columns, "new_start", "new_end", "filled")
+
+
+def stops_included(parts: DataFrame, genome: DataFrame, code: int = 1) -> DataFrame:
+    """coding parts (transcript_id, seqid, strand, start, end, phase) whose last part ends with one stop codon: it takes the next three positions if they are a stop codon that is lacking, and gives back further stop codons at its end.  Parts that don't end a whole codon, and those at a sequence's first positions on the minus strand, stay."""
+    key = "transcript_id"
+    minus = F.col("strand") == "-"
+    way = F.when(minus, -F.col("start")).otherwise(F.col("start"))
+    by = W.partitionBy(key).orderBy(way)
+    placed = parts.withColumns({"_k": F.row_number().over(by), "_n": F.count("*").over(W.partitionBy(key))})
+    ends = placed.groupBy(key).agg(F.max(F.when(F.col("_k") == 1, F.col("phase"))).alias("first"))
+    seqs = S.spliced(parts.join(genome, "seqid"), [key]).join(ends, key)
+    protein = S.translate(F.substr("seq", (F.coalesce("first", F.lit(0)) + 1).cast("int"), F.length("seq")), code)
+    seqs = seqs.select(key, F.length(F.regexp_extract(protein, r"(\*+)$", 1)).alias("_stops"))
+    last = placed.filter("_k = _n").select(key, "seqid", "strand", "start", "end", "phase").join(genome.select("seqid", F.col("seq").alias("_g")), "seqid").join(seqs, key)
+    whole = (F.col("end") - F.col("start") + 1 - F.coalesce("phase", F.lit(0))) % 3 == 0
+    after = F.when(minus, S.revcomp(F.substr("_g", F.greatest(F.lit(1), F.col("start") - 3).cast("int"), F.lit(3)))).otherwise(F.upper(F.substr("_g", (F.col("end") + 1).cast("int"), F.lit(3))))
+    room = ~minus | (F.col("start") > 3)
+    step = F.when(~(whole & room), 0).when(F.col("_stops") > 1, -3 * (F.col("_stops") - 1)).when((F.col("_stops") == 0) & after.isin(stops(code)), 3).otherwise(0)
+    changed = placed.join(last.select(key, step.cast("long").alias("_step")), key)
+    moved = F.when(F.col("_k") == F.col("_n"), F.col("_step")).otherwise(0)
+    return changed.withColumns({"start": F.when(minus, F.col("start") - moved).otherwise(F.col("start")), "end": F.when(minus, F.col("end")).otherwise(F.col("end") + moved)}).select(parts.columns)
+
+
+
 def supported(models: DataFrame, strict: bool = False, least_percent: float = 10.0, least_introns: int = 1, least_ratio: float = 0.01) -> DataFrame:
     """Models whose transcript support (percent) and, strictly, or else, whose intron support (number and ratio) reach the limits.  models: (transcript_percent, n_introns, intron_ratio)."""
     a = F.col("transcript_percent") >= least_percent

@@ -231,7 +231,7 @@ def test_pipelines(spark):
     assert sorted(r.id for r in pipelines.selected_orfs(orfs, frames).collect()) == ["b"]
     blast = spark.createDataFrame([("a",), ("c",)], "query string")
     assert sorted(r.id for r in pipelines.selected_orfs(orfs, frames, blast=blast).collect()) == ["a", "c"]
-    assert [r.id for r in pipelines.selected_orfs(orfs, frames, blast=blast, single_best=True).collect()] == ["a"]
+    assert [r.id for r in pipelines.selected_orfs(orfs, frames, blast=blast, single_best=True).collect()] == ["c"]
     assert sorted(r.id for r in pipelines.without_eclipsed(orfs).collect()) == ["a", "b", "c"]
     introns = spark.createDataFrame([("c", "+", 101, 200, 9), ("c", "+", 150, 220, 3), ("c", "+", 300, 400, 1)], "seqid string, strand string, start long, end long, depth long")
     assert sorted(r.start for r in pipelines.compatible_introns(introns).collect()) == [101, 300]
@@ -338,3 +338,28 @@ def test_elements_of_odd_tables(spark):
             assert order.element(df, "v", lambda n, k=k: k, 7) == sorted(values)[k]
     groups = spark.createDataFrame([("a", 1), ("a", 9), (None, 4), ("b", None)], "k string, v long")
     assert {r.k: r.median for r in order.medians_of_few(groups, "k", "v").collect()} == {"a": 9, None: 4, "b": None}
+
+
+def test_ends_on_both_strands(spark):
+    plus = "TTTTAACCATGGCCAAACCCGGGTTTTAACC"  # in frame: TAA CCATGG.. with ATG at 9 and TAA at 27
+    minus = plus.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    n = len(plus)
+    genome = spark.createDataFrame([("p", plus), ("m", minus)], "seqid string, seq string")
+    a, b = 12, 23
+    rows = [("x", "p", "+", a, b), ("y", "m", "-", n - b + 1, n - a + 1), ("z", "p", "+", 9, 29), ("w", "p", "+", 1, 3)]
+    got = {r.id: (r.new_start, r.new_end, r.filled) for r in pipelines.ends_filled(spark.createDataFrame(rows, "id string, seqid string, strand string, start long, end long"), genome).collect()}
+    assert plus[8:11] == "ATG" and plus[26:29] == "TAA"
+    assert got["x"] == (9, 29, True) and got["y"] == (n - 29 + 1, n - 9 + 1, True) and got["z"] == (9, 29, True) and got["w"][2] is False
+
+
+def test_stops_included(spark):
+    part = "transcript_id string, seqid string, strand string, start long, end long, phase int"
+    seq = "CCATGAAACCCTAATGAGGCCAA"  # ATG AAA CCC TAA TGA
+    turned = seq.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    n = len(seq)
+    genome = spark.createDataFrame([("p", seq), ("m", turned)], "seqid string, seq string")
+    at = lambda t, a, b: [(f"{t}+", "p", "+", a, b, 0), (f"{t}-", "m", "-", n - b + 1, n - a + 1, 0)]
+    rows = [*at("lacks", 3, 11), *at("has", 3, 14), *at("twice", 3, 17), *at("open", 3, 8), ("two+", "p", "+", 3, 5, 0), ("two+", "p", "+", 6, 11, 0)]
+    got = {(r.transcript_id, r.start, r.end) for r in pipelines.stops_included(spark.createDataFrame(rows, part), genome).collect()}
+    want = [("lacks", 3, 14), ("has", 3, 14), ("twice", 3, 14), ("open", 3, 8)]
+    assert got == {(f"{t}+", a, b) for t, a, b in want} | {(f"{t}-", n - b + 1, n - a + 1) for t, a, b in want} | {("two+", 3, 5), ("two+", 6, 14)}
