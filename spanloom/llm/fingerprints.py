@@ -38,24 +38,24 @@ def _triples(words: Column) -> Column:
     return F.zip_with(pairs, F.slice(words, F.lit(3), F.size(words)), lambda a, b: F.xxhash64(a, b))
 
 
-def paragraph_units(p: Column) -> Column:
-    """(lane, hash) of a paragraph: DENSE hashes of the whole, numbered, and one of every word triple, with lane -1; the last two words stand for shorter triples."""
-    whole = F.array(*[F.struct(F.lit(j).alias("lane"), F.xxhash64(F.lit(j), p).alias("h")) for j in range(DENSE)])
-    triples = _triples(F.transform(F.split(p, " "), lambda w: F.xxhash64(w)))
-    return F.concat(whole, F.transform(triples, lambda h: F.struct(F.lit(-1).alias("lane"), h.alias("h"))))
+def paragraph_hashes(p: Column) -> Column:
+    """DENSE hashes of the whole paragraph, then one of every word triple; the last two words stand for shorter triples."""
+    whole = F.array(*[F.xxhash64(F.lit(j), p) for j in range(DENSE)])
+    return F.concat(whole, _triples(F.transform(F.split(p, " "), lambda w: F.xxhash64(w))))
 
 
-def units(text: Column) -> Column:
-    """(lane, hash) of all the text's paragraphs."""
-    return F.flatten(F.transform(F.split(text, "\n"), paragraph_units))
+def units(paragraphs: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, pos, h) of rows (keys, x): each hash of each paragraph x with its place."""
+    rows = paragraphs.select(*keys, paragraph_hashes(F.col("x")).alias("hs"))  # apart from the generator, which then is compiled
+    return rows.select(*keys, F.posexplode("hs").alias("pos", "h"))
 
 
 def lane_sums() -> list[Column]:
-    """Aggregates over rows of (lane, h)."""
-    part = lambda j, half: (F.col("h") if not half else F.shiftrightunsigned("h", 32)).bitwiseAND(F.lit(_M31))
-    dense = [F.sum(F.when(F.col("lane") == j // 2, part(j, j % 2)).otherwise(0)).alias(f"d{j}") for j in range(2 * DENSE)]
-    sketch = [F.sum(F.when(F.col("lane") >= 0, 0).otherwise(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_TWO)))).alias(f"s{k}") for k in range(SKETCH)]
-    return [*dense, *sketch, F.sum(F.when(F.col("lane") >= 0, 0).otherwise(1)).alias("n_units")]
+    """Aggregates over rows of (pos, h)."""
+    part = lambda half: (F.col("h") if not half else F.shiftrightunsigned("h", 32)).bitwiseAND(F.lit(_M31))
+    dense = [F.sum(F.when(F.col("pos") == j // 2, part(j % 2)).otherwise(0)).alias(f"d{j}") for j in range(2 * DENSE)]
+    sketch = [F.sum(F.when(F.col("pos") < DENSE, 0).otherwise(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_TWO)))).alias(f"s{k}") for k in range(SKETCH)]
+    return [*dense, *sketch, F.sum(F.when(F.col("pos") < DENSE, 0).otherwise(1)).alias("n_units")]
 
 
 def lanes() -> Column:
@@ -88,8 +88,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprint_by(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """(keys, lanes) over all texts of each key; the sums are pre-aggregated before any shuffle."""
-    rows = df.select(*keys, units(F.coalesce(F.col(text), F.lit(""))).alias("us")).select(*keys, F.explode("us").alias("u")).select(*keys, "u.lane", "u.h")
-    return rows.groupBy(*keys).agg(*lane_sums()).select(*keys, lanes().alias("lanes"))
+    paragraphs = df.select(*keys, F.explode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("x"))
+    return units(paragraphs, keys).groupBy(*keys).agg(*lane_sums()).select(*keys, lanes().alias("lanes"))
 
 
 def _bucket(base: DataFrame) -> Column:
@@ -161,12 +161,11 @@ def op1(documents: DataFrame) -> DataFrame:
     rows = rows.select("bucket", "rn", "doc_id", "guest", "text", "n_chars", F.sha2("edited", 256).alias("sha"), F.when(F.col("guest"), F.array().cast("array<string>")).otherwise(new).alias("new"), F.when(F.col("guest"), 0).otherwise(F.col("p")).alias("p"), F.lag("q").over(order).alias("q"))
     segment = lambda i: F.when(i < F.col("p") - 1, KEPT).otherwise(0) + F.when((i >= 1) & (i < F.col("q") - 1), TAKEN).otherwise(0)
     parts = F.concat(F.transform(F.split("text", "\n"), lambda x, i: F.struct(segment(i).alias("seg"), x.alias("x"))), F.transform("new", lambda x: F.struct(F.lit(NEW).alias("seg"), x.alias("x"))))
-    us = F.flatten(F.transform(parts, lambda s: F.transform(paragraph_units(s["x"]), lambda u: F.struct(s["seg"].alias("seg"), u["lane"].alias("lane"), u["h"].alias("h")))))
     along = ["doc_id", "guest", "n_chars", "sha"]
-    rows = rows.select("bucket", "rn", *along, us.alias("us"))  # apart from the generator, which then is compiled
-    rows = rows.select("bucket", "rn", *along, F.explode("us").alias("u")).select("bucket", "rn", *along, "u.*")
+    rows = rows.select("bucket", "rn", *along, F.explode(parts).alias("p")).select("bucket", "rn", *along, "p.seg", "p.x")
     # What goes along is part of the key, so that all buffers are numbers and the sums stay in a hash aggregate.
-    sums = rows.groupBy("bucket", "rn", "seg", *along).agg(*lane_sums()).select("bucket", "rn", *along, F.struct("seg", lanes().alias("lanes")).alias("s"))
+    key = ["bucket", "rn", "seg", *along]
+    sums = units(rows, key).groupBy(*key).agg(*lane_sums()).select("bucket", "rn", *along, F.struct("seg", lanes().alias("lanes")).alias("s"))
     sides = sums.groupBy("bucket", "rn", *along).agg(F.map_from_entries(F.collect_list("s")).alias("segs"))  # five at most
     zero = F.struct(F.array_repeat(F.lit(0).cast("long"), 2 * DENSE).alias("dense"), F.array_repeat(F.lit(0).cast("long"), 2 * SKETCH).alias("sketch"), F.lit(0).cast("long").alias("n"))
     total = lambda which: reduce(combine, [F.coalesce(F.try_element_at("segs", F.lit(k)), zero) for k in which])
