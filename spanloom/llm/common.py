@@ -80,3 +80,22 @@ def kept(key: object, make: Callable[[], object]) -> object:
         module.own = make()
         module.key = key
     return module.own
+
+
+def released() -> None:
+    """A worker's store is given up: for operators that keep none."""
+    if (module := sys.modules.get("_spanloom_kept")) is not None:
+        module.key = module.own = None
+
+
+def trimmed() -> None:
+    """Memory that a worker's task has freed goes back to the machine, since the worker stays while others need it."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components, with_lowest
-from .common import checkpoint, small
+from .common import checkpoint, small, trimmed
 
 __all__ = ["BLOCK", "components", "grouped", "in_blocks", "roots", "smallest_of_root"]
 
@@ -62,6 +62,8 @@ def grouped(df: DataFrame, keys: list[str], run: Callable[[pa.Table], pa.RecordB
                 n += b - a
         if held and (out := run(pa.Table.from_batches(held))) is not None:
             yield out
+        held.clear()
+        trimmed()
 
     return df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys).mapInArrow(each, schema)
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import checkpoint, free_names, own_columns, small, text_of
+from .common import checkpoint, free_names, own_columns, released, small, text_of, trimmed
 from .graphs import BLOCK, components, grouped, in_blocks, roots, smallest_of_root
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -74,6 +74,7 @@ def signatures(rows: DataFrame, k: int = SHINGLE) -> DataFrame:
     factors = seeds(ROWS * BANDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
         for batch in batches:
             at = 0
             for texts in shingles.slices(batch.column(2), 1 << 20):
@@ -95,6 +96,7 @@ def signatures(rows: DataFrame, k: int = SHINGLE) -> DataFrame:
                     names=["doc_id", "h", "k1", "k2", "bands", "sig", "bytes"],
                 )
                 at += len(texts)
+        trimmed()
 
     return rows.mapInArrow(run, "doc_id long, h long, k1 long, k2 long, bands array<long>, sig binary, bytes long")
 
