@@ -243,7 +243,7 @@ def scores(texts: pa.Array, model: Model) -> np.ndarray:
 def score(documents: DataFrame, model: Model, name: str = "toxic_score") -> DataFrame:
     """documents' columns with one more of that name, which documents may not have."""
     columns = documents.columns
-    rows = documents.select(*own_columns(documents), text_of().alias(free_names(documents, "t_text")[0]))
+    rows = documents.select(*own_columns(documents), text_of()).toDF(*[f"c{k}" for k in range(len(columns) + 1)])  # plain names, whatever the caller's
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
