@@ -1,7 +1,11 @@
 """The corpus pipeline: toxicity, near duplicates, personal data, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it works on all rows that the stage before
-kept, and all stages but the last return the columns of documents.
+kept, and all stages but the last return the columns of documents, whatever their names, in their order.
+
+Null texts are empty: they aren't toxic unless empty texts are, all of them are copies of one another, and they
+are packed as an end id alone; nulls stay null in the columns.  Null ids count as the smallest where the copy to
+stay is chosen.  Of equal rows one stays.  An empty table gives no rows; without labels nothing is toxic.
 """
 
 from __future__ import annotations
@@ -41,11 +45,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each result written to the shared folder and read by the next stage."""
-    docs, folder = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over documents, each result written to the shared folder and read by the next stage; what the next stage has read is removed once its own result is written."""
+    docs, folder, before = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}", None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs.write.parquet(f"{folder}/{k}-{name}")
-            docs = spark.read.parquet(f"{folder}/{k}-{name}")
+            path = f"{folder}/{k}-{name}"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+            if before:
+                there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(before)
+                there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
+            before = path
     return docs
