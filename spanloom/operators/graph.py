@@ -7,17 +7,25 @@ import tempfile
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by files in the folder of spark.checkpoint.dir.  Where that is unset, a folder of our own on a local master; an error on a cluster, whose executors wouldn't see it."""
-    context = df.sparkSession.sparkContext
-    if not context.getConf().get("spark.checkpoint.dir", "") and context.getCheckpointDir() is None:
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which driver and executors share.  Where that is unset, one of our own on a local master; an error on a cluster, whose executors wouldn't see it."""
+    context = spark.sparkContext
+    if there := context.getConf().get("spark.checkpoint.dir", ""):
+        return there
+    if context.getCheckpointDir() is None:
         if not context.master.split("[")[0] == "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spanloom-"))
+    return context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by files in the shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
