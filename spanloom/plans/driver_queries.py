@@ -305,15 +305,14 @@ SELECT base, n, floor(n / sum(n) OVER () * 1e4 + 0.5) / 1e4 AS p FROM r"""
 
 
 def framed_kmer_loglik(spark, d):
-    parts = read(spark, d, "part").select(F.regexp_replace(F.translate(F.lower("p_name"), "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC"), "[^ACGT]", "").alias("seq"))
-    counts = statistics.framed_kmers(parts, "seq", 3)
+    counts = statistics.framed_kmers(dna(spark, d), "seq", 3)
     base = spark.createDataFrame([(b, 0.25) for b in "ACGT"], "base string, p double")
     rows = statistics.kmer_loglik(counts, base)
     return rows.select("kmer", F.col("frame").cast("long").alias("frame"), "n", F.col("n_prefix").cast("long").alias("n_prefix"), _rounded("loglik")[0].alias("loglik"))
 
 
-FRAMED_KMER_LOGLIK = """WITH q AS (SELECT regexp_replace(translate(lower(p_name), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC'), '[^ACGT]', '', 'g') AS seq FROM part),
-k AS (SELECT seq[i + 1:i + 3] AS kmer, i % 3 AS frame FROM q, range(0, greatest(0, length(seq) - 2)) t(i)), c AS (SELECT kmer, CAST(frame AS BIGINT) AS frame, count(*) AS n FROM k GROUP BY ALL),
+FRAMED_KMER_LOGLIK = f"""WITH q AS (SELECT {DNA_SQL} AS seq FROM documents),
+k AS (SELECT substr(seq, i + 1, 3) AS kmer, i % 3 AS frame FROM (SELECT seq, unnest(range(0, greatest(0, length(seq) - 2))) AS i FROM q)), c AS (SELECT kmer, CAST(frame AS BIGINT) AS frame, count(*) AS n FROM k GROUP BY ALL),
 p AS (SELECT *, CAST(sum(n) OVER (PARTITION BY kmer[1:2], frame) AS BIGINT) AS n_prefix FROM c)
 SELECT kmer, frame, n, n_prefix, floor(ln(((n + 1) / (n_prefix + 4)) / 0.25) * 1e4 + 0.5) / 1e4 AS loglik FROM p"""
 
@@ -434,11 +433,12 @@ FEATURE_NUMBERS = f"SELECT id, part, CAST(row_number() OVER (PARTITION BY part O
 
 
 def weight_matrix(spark, d):
-    rows = statistics.weight_matrix(dna(spark, d).filter(F.length("seq") >= 12).select(F.substring("seq", 1, 12).alias("seq")), "seq")
-    return rows.select(F.col("pos").cast("long").alias("pos"), "base", "n", "prob")
+    """Every run of 12 letters of the whole texts, one after the other, is a site."""
+    sites = dna(spark, d).select(F.explode(F.regexp_extract_all("seq", F.lit(".{12}"), F.lit(0))).alias("seq"))
+    return statistics.weight_matrix(sites, "seq").select(F.col("pos").cast("long").alias("pos"), "base", "n", "prob")
 
 
-WEIGHT_MATRIX = f"""WITH q AS (SELECT {DNA_SQL} AS seq FROM documents), c AS (SELECT i AS pos, seq[i + 1] AS base, count(*) AS n FROM q, range(0, 12) t(i) WHERE length(seq) >= 12 GROUP BY ALL),
+WEIGHT_MATRIX = f"""WITH q AS (SELECT unnest(regexp_extract_all({DNA_SQL}, '.{{12}}')) AS seq FROM documents), c AS (SELECT i AS pos, seq[i + 1] AS base, count(*) AS n FROM q, range(0, 12) t(i) GROUP BY ALL),
 g AS (SELECT pos, base, COALESCE(n, 0) AS n FROM (SELECT pos, base FROM (SELECT DISTINCT pos FROM c), (SELECT unnest(['A', 'C', 'G', 'T']) AS base)) LEFT JOIN c USING (pos, base))
 SELECT pos, base, n, round((n + 1) / (sum(n) OVER (PARTITION BY pos) + 4), 6) AS prob FROM g"""
 
