@@ -82,6 +82,14 @@ def kept(key: object, make: Callable[[], object]) -> object:
     return module.own
 
 
+def texts_in_batches(df: DataFrame) -> DataFrame:
+    """df, for mapInArrow: its session's Arrow batches are bounded by bytes, since ten thousand texts (the default) may be any size."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    return df
+
+
 def released() -> None:
     """A worker's store is given up: for operators that keep none."""
     if (module := sys.modules.get("_spanloom_kept")) is not None:

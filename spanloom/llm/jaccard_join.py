@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import checkpoint, free_names, own_columns, released, small, text_of, trimmed
+from .common import checkpoint, free_names, own_columns, released, small, text_of, texts_in_batches, trimmed
 from .graphs import BLOCK, components, grouped, in_blocks, roots, smallest_of_root
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -98,7 +98,7 @@ def signatures(rows: DataFrame, k: int = SHINGLE) -> DataFrame:
                 at += len(texts)
         trimmed()
 
-    return rows.mapInArrow(run, "doc_id long, h long, k1 long, k2 long, bands array<long>, sig binary, bytes long")
+    return texts_in_batches(rows).mapInArrow(run, "doc_id long, h long, k1 long, k2 long, bands array<long>, sig binary, bytes long")
 
 
 def surviving(sig: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float, tolerance: float) -> tuple[np.ndarray, np.ndarray]:

@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import checkpoint, small, text_of
+from .common import checkpoint, small, text_of, texts_in_batches
 
 K, MERGE = 3, 3
 #: Share of a template's k-grams that a span must hold.
@@ -111,7 +111,7 @@ def hits(documents: DataFrame, k: int = K) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), pa.array(np.diff(w.first), pa.int64()), pa.array(found, kind)], names=["doc_id", "h", "n_words", "hits"])
                 at += len(texts)
 
-    return documents.mapInArrow(run, "doc_id long, h long, n_words long, hits array<struct<pos:int,gram:array<string>>>")
+    return texts_in_batches(documents).mapInArrow(run, "doc_id long, h long, n_words long, hits array<struct<pos:int,gram:array<string>>>")
 
 
 def votes(found: DataFrame, k: int = K) -> DataFrame:

@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import kept, text_of, trimmed
+from .common import kept, text_of, texts_in_batches, trimmed
 
 WIDTH, END_ID, POOL = 4096, 2, 2048
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Words whose ids a worker keeps, and their letters; beyond, it starts anew with the next slice of texts.
-MOST_WORDS, MOST_LETTERS = 500_000, 8_000_000
+MOST_WORDS, MOST_LETTERS = 200_000, 3_000_000
 
 
 def best_counts(lengths: Counter, capacity: int) -> tuple[int, dict[int, int]]:
@@ -237,7 +237,7 @@ def pack(documents: DataFrame, path: str | None = None, width: int = WIDTH) -> D
         yield rows()
         trimmed()
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(run, SCHEMA)
+    return texts_in_batches(documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))).mapInArrow(run, SCHEMA)
 
 
 def op4(documents: DataFrame) -> DataFrame:

@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import kept, text_of
+from .common import kept, text_of, texts_in_batches
 
 UNKNOWN = 10.0
 MARK = "▁"
 #: Units that a worker keeps, and their letters; beyond, it starts anew with the next slice of texts.
-MOST_UNITS, MOST_LETTERS = 1_000_000, 16_000_000
+MOST_UNITS, MOST_LETTERS = 400_000, 6_000_000
 #: Longer units (text without blanks) are cut where no piece reaches over.
 LONG = 64
 UNIT = re.compile("\n| +[^ \n]*|[^ \n]+")
@@ -313,4 +313,4 @@ def op5(documents: DataFrame, path: str | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=[x.split()[0] for x in SCHEMA.split(", ")])
                 at += len(part)
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(run, SCHEMA)
+    return texts_in_batches(documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))).mapInArrow(run, SCHEMA)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import shingles
-from .common import free_names, kept, own_columns, text_of, trimmed
+from .common import free_names, kept, own_columns, text_of, texts_in_batches, trimmed
 
 MOST_TOXIC, MOST_ORDINARY, MOST_TEXT, MOST_BYTES = 1500, 3000, 1 << 20, 16 << 20
 #: Letters of the runs that are counted; least log ratio and G statistic of a distinctive run.
@@ -43,7 +43,7 @@ PASSAGES, FREQUENT, REPEATED = 100, 400, 5
 #: Most bytes of a dictionary (beyond what the samples need: a full one loses its best part), and the trainer's segments and what it compares, in bytes.
 DICTIONARY, SEGMENT, COMPARED = 16_384, 40, 8
 #: Windows whose differences a worker keeps, and their letters.
-MOST_WORDS, MOST_LETTERS = 200_000, 3_000_000
+MOST_WORDS, MOST_LETTERS = 150_000, 2_500_000
 PREDICT = 0.3
 
 
@@ -254,7 +254,7 @@ def score(documents: DataFrame, model: Model, name: str = "toxic_score") -> Data
                 at += len(texts)
         trimmed()
 
-    return rows.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField(name, T.DoubleType())]))
+    return texts_in_batches(rows).mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def op8(documents: DataFrame, labels: DataFrame) -> DataFrame:
