@@ -123,7 +123,7 @@ SELECT id AS gene_id, ['augustus', 'transfrag', 'homolog', 'other'][r + 1] AS so
 
 def accuracy_levels(spark, d):
     """Discounted lines as the reference, taxed ones as what is predicted."""
-    rows = read(spark, d, "lineitem").select(F.col("l_suppkey").alias("seqid"), F.lit("+").alias("strand"), F.col("l_partkey").alias("gene_id"), day("l_shipdate").alias("start"), (day("l_shipdate") + F.col("l_quantity").cast("long")).alias("end"), "l_discount", "l_tax")
+    rows = read(spark, d, "lineitem").select(F.col("l_suppkey").alias("seqid"), F.lit("+").alias("strand"), F.concat_ws(":", "l_partkey", "l_suppkey").alias("gene_id"), day("l_shipdate").alias("start"), (day("l_shipdate") + F.col("l_quantity").cast("long")).alias("end"), "l_discount", "l_tax")
     found = pipelines.accuracy(rows.filter("l_discount > 0.02").drop("l_discount", "l_tax"), rows.filter("l_tax > 0.02").drop("l_discount", "l_tax"))
     r = lambda c: (F.floor(F.col(c) * 1e4 + 0.5) / 1e4).alias(c)
     return found.select("level", "standard", "predicted", "tp", r("sensitivity"), r("specificity"))
@@ -134,8 +134,9 @@ ACCURACY_LEVELS = f"""WITH a AS ({_LINES} WHERE l_discount > 0.02), b AS ({_LINE
 n(what, n) AS (SELECT 'a', (SELECT {UNION_SQL} FROM (SELECT s, e, {BEFORE_SQL.format('supplier')} AS before FROM a)) UNION ALL SELECT 'b', (SELECT {UNION_SQL} FROM (SELECT s, e, {BEFORE_SQL.format('supplier')} AS before FROM b)) UNION ALL SELECT 'u', (SELECT {UNION_SQL} FROM (SELECT s, e, {BEFORE_SQL.format('supplier')} AS before FROM (SELECT * FROM a UNION ALL SELECT * FROM b)))),
 p AS (SELECT 'position' AS level, max(n) FILTER (what = 'a') AS standard, max(n) FILTER (what = 'b') AS predicted, max(n) FILTER (what = 'a') + max(n) FILTER (what = 'b') - max(n) FILTER (what = 'u') AS tp FROM n),
 x AS (SELECT DISTINCT supplier, s, e FROM a), y AS (SELECT DISTINCT supplier, s, e FROM b), q AS (SELECT 'part' AS level, (SELECT count(*) FROM x) AS standard, (SELECT count(*) FROM y) AS predicted, (SELECT count(*) FROM (FROM x INTERSECT FROM y)) AS tp),
-gx AS (SELECT DISTINCT string_agg(k, ',' ORDER BY k) AS c FROM (SELECT DISTINCT part, supplier || ':' || s || ':' || e AS k FROM a) GROUP BY part), gy AS (SELECT DISTINCT string_agg(k, ',' ORDER BY k) AS c FROM (SELECT DISTINCT part, supplier || ':' || s || ':' || e AS k FROM b) GROUP BY part),
-g AS (SELECT 'gene' AS level, (SELECT count(*) FROM gx) AS standard, (SELECT count(*) FROM gy) AS predicted, (SELECT count(*) FROM (FROM gx INTERSECT FROM gy)) AS tp)
+gx AS (SELECT part, supplier, string_agg(CASE WHEN k > 1 THEN s END || '-' || e, ',' ORDER BY s, e) AS c, first(e ORDER BY s, e) AS z FROM (SELECT *, row_number() OVER (PARTITION BY part, supplier ORDER BY s, e) AS k FROM (SELECT DISTINCT part, supplier, s, e FROM a)) GROUP BY ALL),
+gy AS (SELECT part, supplier, string_agg(CASE WHEN k > 1 THEN s END || '-' || e, ',' ORDER BY s, e) AS c, first(e ORDER BY s, e) AS z FROM (SELECT *, row_number() OVER (PARTITION BY part, supplier ORDER BY s, e) AS k FROM (SELECT DISTINCT part, supplier, s, e FROM b)) GROUP BY ALL),
+g AS (SELECT 'gene' AS level, (SELECT count(*) FROM gx) AS standard, (SELECT count(*) FROM gy) AS predicted, (SELECT count(*) FROM gx WHERE EXISTS (SELECT 1 FROM gy WHERE gy.supplier = gx.supplier AND gy.c IS NOT DISTINCT FROM gx.c AND gy.z = gx.z)) AS tp)
 SELECT level, standard, predicted, tp, floor(tp / standard * 1e4 + 0.5) / 1e4 AS sensitivity, floor(tp / predicted * 1e4 + 0.5) / 1e4 AS specificity FROM (FROM p UNION ALL FROM q UNION ALL FROM g)"""
 
 

@@ -305,16 +305,29 @@ def hint_support(cds: DataFrame, introns: DataFrame, evidence_exons: DataFrame,
     return covered.join(found, "gene_id", "left").withColumn("percent", F.floor(F.col("share") * 10000 + 0.5) / 100).fillna(0, ["n_introns", "n_supported"])
 
 
+def gene_accuracy(reference: DataFrame, predicted: DataFrame) -> DataFrame:
+    """Genes of the reference of which some transcript has the coding parts of a predicted one, but for the place of its start codon (the low end of the first part, or the high end of the last on the minus strand).  Both: (gene_id, seqid, strand, start, end), with transcript_id if genes have several."""
+    def chains(df: DataFrame) -> DataFrame:
+        t = F.col("transcript_id") if "transcript_id" in df.columns else F.lit("")
+        rows = df.groupBy("gene_id", t.alias("t"), "seqid", "strand").agg(F.array_sort(F.collect_set(F.struct(F.col("start").alias("a"), F.col("end").alias("b")))).alias("ps"))
+        open_ = lambda p, k: F.struct(F.when((F.col("strand") == "-") | (k > 0), p["a"]).alias("a"), F.when((F.col("strand") != "-") | (k < F.size("ps") - 1), p["b"]).alias("b"))
+        return rows.select("gene_id", "seqid", "strand", F.transform("ps", open_).alias("chain"))
+
+    own, other = chains(reference), chains(predicted).select("seqid", "strand", "chain").distinct()
+    met = own.join(other, ["seqid", "strand", "chain"], "left_semi").agg(F.count_distinct("gene_id").alias("tp"))
+    counts = reference.agg(F.count_distinct("gene_id").alias("standard")).join(predicted.agg(F.count_distinct("gene_id").alias("predicted"))).join(met)  # a row each
+    return counts.select("standard", "predicted", "tp", F.try_divide("tp", "standard").alias("sensitivity"), F.try_divide("tp", "predicted").alias("specificity"))
+
+
 def accuracy(reference: DataFrame, predicted: DataFrame) -> DataFrame:
-    """Sensitivity and specificity of coding positions, coding parts and whole genes (equal sets of parts)."""
+    """Sensitivity and specificity of coding positions, coding parts and genes."""
     base = lambda df: intervals.union_length(df, ["seqid", "strand"], 100_000)
     n = lambda df: F.coalesce(F.sum("covered"), F.lit(0)).cast("long")
     # Positions in both: a + b - (a or b).
     a, b, both = (base(x).agg(n(x).alias("n")).first()["n"] for x in (reference, predicted, reference.select("seqid", "strand", "start", "end").unionByName(predicted.select("seqid", "strand", "start", "end"))))
     spark = reference.sparkSession
-    chain = lambda df: df.groupBy("gene_id").agg(F.array_sort(F.collect_set(F.struct("seqid", "strand", "start", "end"))).alias("parts"))
     rows = statistics.set_accuracy(reference, predicted, ["seqid", "strand", "start", "end"]).withColumn("level", F.lit("part"))
-    rows = rows.unionByName(statistics.set_accuracy(chain(reference), chain(predicted), ["parts"]).withColumn("level", F.lit("gene")))
+    rows = rows.unionByName(gene_accuracy(reference, predicted).withColumn("level", F.lit("gene")))
     position = spark.createDataFrame([(a, b, a + b - both, (a + b - both) / a if a else None, (a + b - both) / b if b else None, "position")], "standard long, predicted long, tp long, sensitivity double, specificity double, level string")
     return rows.unionByName(position)
 

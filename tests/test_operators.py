@@ -268,6 +268,15 @@ def test_hints(spark):
     assert got == sorted(want)
 
 
+def test_gene_accuracy(spark):
+    """The place of the start codon doesn't count, on either strand; one equal transcript is enough."""
+    rows = "gene_id string, transcript_id string, seqid string, strand string, start long, end long"
+    ref = [("a", "a1", "c", "+", 10, 20), ("a", "a1", "c", "+", 31, 40), ("b", "b1", "c", "-", 110, 120), ("b", "b1", "c", "-", 131, 140), ("d", "d1", "c", "+", 1, 9), ("d", "d2", "c", "+", 2, 12)]
+    got = [("x", "x1", "c", "+", 13, 20), ("x", "x1", "c", "+", 31, 40), ("y", "y1", "c", "-", 110, 120), ("y", "y1", "c", "-", 131, 150), ("z", "z1", "c", "+", 5, 12), ("w", "w1", "c", "-", 13, 20)]
+    r = pipelines.gene_accuracy(spark.createDataFrame(ref, rows), spark.createDataFrame(got, rows)).first()
+    assert (r.standard, r.predicted, r.tp, r.sensitivity, r.specificity) == (3, 4, 3, 1.0, 0.75)
+
+
 def test_genome_names(spark):
     rows = [(k, i, s) for k, (i, s) in enumerate([("a", "acgtx" * 300), ("a", "AC"), ("a", "ACGTN" * 300), ("Chr1", "AC"), ("b", "AC")])]
     got = [(r.seq_id, r.seq[:5]) for r in S.clean_genome(spark.createDataFrame(rows, "ord long, seq_id string, seq string")).orderBy("ord").collect()]
