@@ -96,14 +96,33 @@ def released() -> None:
         module.key = module.own = None
 
 
-def trimmed() -> None:
-    """Memory that a worker's task has freed goes back to the machine, since the worker stays while others need it."""
+def _libc():
     import ctypes
 
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None  # another C library
+
+
+def frugal() -> None:
+    """A worker's memory is kept small: one thread for Arrow and the tokenizer, freed memory of either goes back soon."""
+    import os
+
+    import pyarrow as pa
+
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    pa.set_cpu_count(1)
+    pa.set_memory_pool(pa.system_memory_pool())
+    if libc := _libc():
+        libc.mallopt(-8, 1)  # M_ARENA_MAX
+        libc.mallopt(-1, 1 << 20)  # M_TRIM_THRESHOLD
+
+
+def trimmed() -> None:
+    """Memory that a worker's task has freed goes back to the machine, since the worker stays while others need it."""
     import pyarrow as pa
 
     pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):
-        pass  # another C library
+    if libc := _libc():
+        libc.malloc_trim(0)

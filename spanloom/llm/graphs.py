@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components, with_lowest
-from .common import checkpoint, small, trimmed
+from .common import checkpoint, frugal, small, trimmed
 
 __all__ = ["BLOCK", "components", "grouped", "in_blocks", "roots", "smallest_of_root"]
 
@@ -40,6 +40,7 @@ def grouped(df: DataFrame, keys: list[str], run: Callable[[pa.Table], pa.RecordB
     """run for the rows of each value of the integer keys; groups follow one another in a partition.  One group is in memory at a time, or as many whole groups as it takes to reach least_rows."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         held: list[pa.RecordBatch] = []
         last: tuple | None = None
         n = 0

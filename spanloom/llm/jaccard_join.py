@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import checkpoint, free_names, own_columns, released, small, text_of, texts_in_batches, trimmed
+from .common import checkpoint, free_names, frugal, own_columns, released, small, text_of, texts_in_batches, trimmed
 from .graphs import BLOCK, components, grouped, in_blocks, roots, smallest_of_root
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -74,6 +74,7 @@ def signatures(rows: DataFrame, k: int = SHINGLE) -> DataFrame:
     factors = seeds(ROWS * BANDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         released()
         for batch in batches:
             at = 0

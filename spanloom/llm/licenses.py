@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import checkpoint, small, text_of, texts_in_batches
+from .common import checkpoint, frugal, small, text_of, texts_in_batches
 
 K, MERGE = 3, 3
 #: Share of a template's k-grams that a span must hold.
@@ -96,6 +96,7 @@ def hits(documents: DataFrame, k: int = K) -> DataFrame:
     seen[(wanted & np.uint64(0xFFFF)).astype(np.int64)] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             at = 0
             for texts in shingles.slices(batch.column(2)):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import kept, text_of, texts_in_batches, trimmed
+from .common import frugal, kept, text_of, texts_in_batches, trimmed
 
 WIDTH, END_ID, POOL = 4096, 2, 2048
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -220,6 +220,7 @@ def pack(documents: DataFrame, path: str | None = None, width: int = WIDTH) -> D
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         packer, ids_of = Packer(width, TaskContext.get().partitionId() << 40), _word_ids(path)
 
         def rows() -> pa.RecordBatch:

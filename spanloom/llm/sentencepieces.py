@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import kept, text_of, texts_in_batches
+from .common import frugal, kept, text_of, texts_in_batches
 
 UNKNOWN = 10.0
 MARK = "▁"
@@ -297,6 +297,7 @@ def op5(documents: DataFrame, path: str | None = None) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(load(path))  # of the vocabulary's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         encoder = _encoder(path, shared.value)
         for batch in batches:
             at = 0

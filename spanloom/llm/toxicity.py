@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import shingles
-from .common import free_names, kept, own_columns, text_of, texts_in_batches, trimmed
+from .common import free_names, frugal, kept, own_columns, text_of, texts_in_batches, trimmed
 
 MOST_TOXIC, MOST_ORDINARY, MOST_TEXT, MOST_BYTES = 1500, 3000, 1 << 20, 16 << 20
 #: Letters of the runs that are counted; least log ratio and G statistic of a distinctive run.
@@ -246,6 +246,7 @@ def score(documents: DataFrame, model: Model, name: str = "toxic_score") -> Data
     rows = documents.select(*own_columns(documents), text_of()).toDF(*[f"c{k}" for k in range(len(columns) + 1)])  # plain names, whatever the caller's
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             at = 0
             for texts in shingles.slices(batch.column(batch.num_columns - 1)):
