@@ -106,17 +106,15 @@ def _libc():
 
 
 def frugal() -> None:
-    """A worker's memory is kept small: one thread for Arrow and the tokenizer, freed memory of either goes back soon."""
+    """A worker's memory is kept small: one thread and one arena for Arrow and the tokenizer."""
     import os
 
     import pyarrow as pa
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     pa.set_cpu_count(1)
-    pa.set_memory_pool(pa.system_memory_pool())
     if libc := _libc():
         libc.mallopt(-8, 1)  # M_ARENA_MAX
-        libc.mallopt(-1, 1 << 20)  # M_TRIM_THRESHOLD
 
 
 def trimmed() -> None:

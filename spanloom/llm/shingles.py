@@ -18,7 +18,7 @@ _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
 #: Bytes of text that are worked on at a time.
-SLICE = 1 << 21
+SLICE = 1 << 22
 
 
 class Words(NamedTuple):
