@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import kept, text_of, trimmed
+from .common import frugal, kept, text_of, trimmed
 
 WIDTH, END_ID, POOL = 4096, 2, 2048
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Words whose ids a worker keeps, and their letters; beyond, it starts anew with the next slice of texts.
-MOST_WORDS, MOST_LETTERS = 1_000_000, 16_000_000
+MOST_WORDS, MOST_LETTERS = 500_000, 16_000_000
+#: Bytes of text that are worked on at a time.
+SLICE = 1 << 21
 
 
 def best_counts(lengths: Counter, capacity: int) -> tuple[int, dict[int, int]]:
@@ -123,6 +125,7 @@ class Packer:
 class WordIds:
     """Ids of the texts of a batch, by way of their words: white space separates, so each word is encoded once per worker.
 
+    The words known are one Arrow array, found by comparing whole words: a dict of as many strings takes far more memory.
     ASCII letters of texts below U+0300 are lower-cased first; there, that can't change a composition.
     Texts with the vocabulary's special strings are encoded whole.
     """
@@ -136,11 +139,15 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.words = pa.array([], pa.large_string())
         self.flat = np.empty(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 16, np.int64)  # of word k: ends[k + 1]
         self.n = self.letters = 0
 
+    @property
+    def known(self) -> list[str]:
+        return self.words.to_pylist()
+
     def _append(self, counts: np.ndarray, ids: np.ndarray) -> None:
         used = self.ends[self.n]
         while used + len(ids) > len(self.flat):
@@ -151,31 +158,45 @@ class WordIds:
         self.ends[self.n + 1 : self.n + len(counts) + 1] = used + np.cumsum(counts)
         self.n += len(counts)
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> list[int]:
+        """Ids of more words; the numbers of words in the order in which their ids were appended."""
         self.letters += sum(map(len, words))
-        simple, other, parts = [], [], []
-        for w in words:
+        simple, other, parts, order = [], [], [], []
+        for k, w in enumerate(words):
             m = self.SIMPLE.fullmatch(w)
             if m:
-                simple.append(w)
+                simple.append(k)
                 parts.append(2 if m[2] else 1)
             else:
-                other.append(w)
+                other.append(k)
         for k in range(0, len(simple), 10_000):
             some, n_parts = simple[k : k + 10_000], np.array(parts[k : k + 10_000])
-            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            e = self.tokenizer.encode(" ".join([words[i] for i in some]), add_special_tokens=False)
             of = np.array(e.word_ids, np.int64)
             if of[-1] + 1 != n_parts.sum():
                 other += some
                 continue
             owner = np.repeat(np.arange(len(some)), n_parts)
-            self.known.update(zip(some, range(self.n, self.n + len(some)), strict=True))
+            order += some
             self._append(np.bincount(owner[of], minlength=len(some)), np.array(e.ids, np.uint32))
         for k in range(0, len(other), 10_000):
             some = other[k : k + 10_000]
-            ids = [e.ids for e in self.tokenizer.encode_batch(some, add_special_tokens=False)]
-            self.known.update(zip(some, range(self.n, self.n + len(some)), strict=True))
+            ids = [e.ids for e in self.tokenizer.encode_batch([words[i] for i in some], add_special_tokens=False)]
+            order += some
             self._append(np.array([len(x) for x in ids]), np.array([x for y in ids for x in y], np.uint32))
+        return order
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """The number of each of these distinct words in the store; unknown ones are learned."""
+        among = pc.index_in(self.words, value_set=words)
+        place, at = np.full(len(words), -1, np.int64), np.flatnonzero(pc.is_valid(among).to_numpy(zero_copy_only=False))
+        place[among.drop_null().to_numpy()] = at
+        if len(missing := np.flatnonzero(place < 0)):
+            before = self.n
+            missing = missing[self._learn(words.take(pa.array(missing)).to_pylist())]
+            place[missing] = np.arange(before, self.n)
+            self.words = pa.concat_arrays([self.words, words.take(pa.array(missing))])
+        return place
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Little-endian ids of each text, END_ID at the end."""
@@ -188,10 +209,7 @@ class WordIds:
         plain = pc.replace_substring(pc.if_else(whole, pa.scalar("", pa.large_string()), plain), "\n", " ")
         lists = pc.split_pattern(plain, " ")
         coded = pc.dictionary_encode(lists.values if lists.offset == 0 else lists.flatten())
-        words = coded.dictionary.to_pylist()
-        if missing := [w for w in words if w not in self.known]:
-            self._learn(missing)
-        place = np.array([self.known[w] for w in words], np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+        place = self._places(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
         starts = self.ends[place]
         n = self.ends[place + 1] - starts
         after = np.cumsum(n)
@@ -220,6 +238,7 @@ def pack(documents: DataFrame, path: str | None = None, width: int = WIDTH) -> D
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         packer, ids_of = Packer(width, TaskContext.get().partitionId() << 40), _word_ids(path)
 
         def rows() -> pa.RecordBatch:
@@ -228,7 +247,7 @@ def pack(documents: DataFrame, path: str | None = None, width: int = WIDTH) -> D
 
         for batch in batches:
             at = 0
-            for part in shingles.slices(batch.column(1)):
+            for part in shingles.slices(batch.column(1), SLICE):
                 for doc, ids in zip(batch.column(0).slice(at, len(part)).to_pylist(), ids_of.encode(part), strict=True):
                     packer.add(doc, ids)
                 at += len(part)

@@ -290,6 +290,28 @@ def test_long_texts_without_blanks():
     assert len(packer.known) < 200 and sum(map(len, packer.known)) == packer.letters
 
 
+def test_store_of_words_is_compact():
+    """100,000 words, each new: what the store keeps is some of their letters and ids, and all ids are right, from the store too."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    words = sorted({"".join(w) for w in rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (100_000, 9))})
+    texts = pa.array([" ".join(words[k : k + 500]) for k in range(0, len(words), 500)], pa.large_string())
+    packer = packing.WordIds(packing.tokenizer_path())
+    packer.encode(texts.slice(0, 1))
+    arrow = pa.total_allocated_bytes()
+    tracemalloc.start()
+    packer.encode(texts)
+    taken = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    tracemalloc.stop()
+    assert taken < 100 * len(words) and sorted(packer.known) == words
+    for _ in range(2):
+        got = packer.encode(texts.slice(7, 3))
+        assert [g.tolist() for g in got] == [[*packer.tokenizer.encode(t.as_py(), add_special_tokens=False).ids, packing.END_ID] for t in texts.slice(7, 3)]
+
+
 def test_licenses(documents, empty, texts):
     rows = licenses.op6(documents).collect()
     assert len(rows) == len(texts) and licenses.op6(empty).count() == 0
