@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,6 +13,11 @@ from pyspark.sql import functions as F
 from .intervals import union_length
 from .order import element
 
+_ACGT = np.frombuffer(b"ACGT", np.uint8)
+#: The number of each base; 4 for every other byte.
+_BASES = np.full(256, 4, np.uint8)
+_BASES[_ACGT] = range(4)
+
 
 def rollup_union(df: DataFrame, levels: Sequence[str], keys: Sequence[str], bin_width: int) -> DataFrame:
     """A4: counts and union lengths in total and down the levels; null stands for "all".
@@ -85,11 +92,75 @@ def isoform_histogram(df: DataFrame, gene: str) -> DataFrame:
     return df.groupBy(gene).agg(F.count("*").alias("isoforms")).groupBy("isoforms").agg(F.count("*").alias("genes"))
 
 
+#: Bytes of sequences that are counted at a time.
+_SLICE = 1 << 16
+
+
+def _count_framed(texts: pa.Array, k: int, add: Callable[[np.ndarray], None]) -> None:
+    """add(keys) for the k-mers of ACGT in each of the texts; a key is 3 * code + frame, a code has two bits a base, the last base lowest.
+
+    The texts are one run of bytes that is worked on in slices, so a long sequence takes no more memory than many short ones.
+    """
+    if not pa.types.is_large_string(texts.type):
+        texts = texts.cast(pa.large_string())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    if len(ends) < 2 or ends[0] == ends[-1]:
+        return
+    data, ends = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+    if data.max() > 127:  # one byte for each code point: places are those of letters
+        first = (data & 0xC0) != 0x80
+        ends = np.concatenate([[0], np.cumsum(first)])[ends]
+        data = data[first]
+    for at in range(0, len(data) - k + 1, _SLICE):
+        part = _BASES[data[at : at + _SLICE + k - 1]]
+        n = len(part) - k + 1
+        code, good = np.zeros(n, np.int64 if k > 14 else np.int32), np.ones(n, bool)
+        for j in range(k):
+            code = code << 2 | part[j : j + n] & 3
+            good &= part[j : j + n] < 4
+        a, b = np.searchsorted(ends, at, "right") - 1, np.searchsorted(ends, at + n)  # texts that the slice touches
+        sizes = np.diff(np.clip(ends[a : b + 1], at, at + n))
+        frame = (np.arange(n, dtype=np.int32) + np.repeat((at - ends[a:b]) % 3, sizes).astype(np.int32)) % 3
+        over = ends[a + 1 : b + 1] - at  # k-mers that begin up to k - 1 places before the end of a text reach over it
+        for j in range(1, k):
+            good[(x := over - j)[(0 <= x) & (x < n)]] = False
+        add(code[good] * 3 + frame[good])
+
+
 def framed_kmers(df: DataFrame, seq: str, k: int) -> DataFrame:
-    """(kmer, frame, n): every position's k-mer with its frame, counted where it stands before anything moves."""
-    at = F.posexplode(F.transform(F.sequence(F.lit(1), F.length(seq) - k + 1), lambda i: F.substring(seq, i, k))).alias("p", "kmer")
-    rows = df.filter(F.length(seq) >= k).select(at).filter(~F.col("kmer").rlike("[^ACGT]"))
-    return rows.groupBy("kmer", (F.col("p") % 3).alias("frame")).agg(F.count("*").alias("n"))
+    """(kmer, frame, n): every position's k-mer with its frame (k up to 30), counted in arrays where it stands; a row is made for each different one of a partition, not for each position."""
+    if not 0 < k <= 30:
+        raise ValueError("k-mers have 1 to 30 letters")
+    dense = 3 << 2 * k if k <= 8 else 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(dense, np.int64)
+
+        def rows(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            code, letters = keys // 3, np.empty((len(keys), k), np.uint8)
+            for j in range(k):
+                letters[:, k - 1 - j] = _ACGT[code >> 2 * j & 3]
+            kmers = pa.Array.from_buffers(pa.string(), len(keys), [None, pa.py_buffer((np.arange(len(keys) + 1) * k).astype(np.int32)), pa.py_buffer(letters.tobytes())])
+            return pa.RecordBatch.from_arrays([kmers, pa.array((keys % 3).astype(np.int32)), pa.array(n.astype(np.int64))], names=["kmer", "frame", "n"])
+
+        for batch in batches:
+            found: list[np.ndarray] = []
+
+            def add(keys: np.ndarray) -> None:
+                nonlocal counts
+                if dense:
+                    counts += np.bincount(keys, minlength=dense)
+                else:
+                    found.append(keys)  # noqa: B023
+
+            _count_framed(batch.column(0), k, add)
+            if found:
+                yield rows(*np.unique(np.concatenate(found), return_counts=True))
+        if dense:
+            yield rows(at := np.flatnonzero(counts), counts[at])
+
+    texts = df.select(F.coalesce(F.col(seq).cast("string"), F.lit("")).alias("seq"))
+    return texts.mapInArrow(run, "kmer string, frame int, n long").groupBy("kmer", "frame").agg(F.sum("n").alias("n"))
 
 
 def kmer_loglik(counts: DataFrame, base: DataFrame) -> DataFrame:

@@ -372,3 +372,23 @@ def test_stops_included(spark):
     got = {(r.transcript_id, r.start, r.end) for r in pipelines.stops_included(spark.createDataFrame(rows, part), genome).collect()}
     want = [("lacks", 3, 14), ("has", 3, 14), ("twice", 3, 14), ("open", 3, 8)]
     assert got == {(f"{t}+", a, b) for t, a, b in want} | {(f"{t}-", n - b + 1, n - a + 1) for t, a, b in want} | {("two+", 3, 5), ("two+", 6, 14)}
+
+
+@pytest.mark.parametrize("k", [1, 3, 10])
+@pytest.mark.parametrize("piece", [7, 1 << 20])
+def test_framed_kmers(spark, monkeypatch, k, piece):
+    """Against a plain loop, with texts that end in the middle of a slice; no row is made for each position."""
+    monkeypatch.setattr(statistics, "_SLICE", piece)
+    rng = random.Random(8)
+    texts = [None, "", "", "A", "AC", "ACG", "acgACGTNNACG", "日本ACGTACé\U0001f600GTACGTT", *("".join(rng.choice("ACGT" * 9 + "Nx") for _ in range(rng.randint(0, 60))) for _ in range(40))]
+    df = spark.createDataFrame([(t,) for t in texts], "seq string").repartition(3)
+    found = statistics.framed_kmers(df, "seq", k)
+    want = {}
+    for t in texts:
+        for p in range(len(t or "") - k + 1):
+            if set(t[p : p + k]) <= set("ACGT"):
+                want[t[p : p + k], p % 3] = want.get((t[p : p + k], p % 3), 0) + 1
+    rows = found.collect()
+    assert {(r.kmer, r.frame): r.n for r in rows} == want and len(rows) == len(want)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert statistics.framed_kmers(df.limit(0), "seq", k).count() == 0
